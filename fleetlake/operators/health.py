@@ -38,13 +38,15 @@ def sensor_stats(df: DataFrame, sensors: Sequence[str] = SENSOR_COLUMNS, by: Seq
 
 
 def with_sensor_stats(df: DataFrame, sensors: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Every row with a ``__stats`` struct of the global (or per-``by``) moments.
+    """Every row with a ``__stats`` struct: the global (or per-``by``) moments of
+    each sensor, and how many sensors vary at all.
 
     The global row is a scalar subquery, computed once and shipped as a value.
     """
     moments = sensor_stats(df, sensors, by)
     names = [c for c in moments.columns if c not in by]
-    packed = moments.select(*by, F.struct(*names).alias("__stats"))
+    varying = total_of(F.coalesce(F.col(c) > 0, F.lit(False)).cast("int") for c in names if c.endswith("_std"))
+    packed = moments.select(*by, F.struct(*names, varying.alias("__varying")).alias("__stats"))
     if not by:
         return df.withColumn("__stats", packed.scalar())
     return join_on(df, packed, by)
@@ -73,18 +75,18 @@ def _scored(df, weights, series, stats_by, sensors, limits) -> DataFrame:
         return dated.withColumn("health_score", F.lit(100.0))
     prepared = with_sensor_stats(dated, present, stats_by)
 
-    def varies(sensor: str) -> Column:
-        return F.coalesce(F.col(f"__stats.{sensor}_std") > 0, F.lit(False))
-
     def deviation(sensor: str) -> Column:
         mean, std = F.col(f"__stats.{sensor}_mean"), F.col(f"__stats.{sensor}_std")
-        return F.when(varies(sensor), F.abs((F.col(sensor) - mean) / std)).otherwise(0.0)
+        return F.when(std > 0, F.abs((F.col(sensor) - mean) / std)).otherwise(0.0)
 
-    counted = total_of(varies(s).cast("int") for s in present)
-    average = F.try_divide(total_of(deviation(s) for s in present), counted)
+    # each step names its result, so that none is computed once per use
+    measured = prepared.withColumns(
+        {"__deviation": total_of(deviation(s) for s in present), "__counted": F.col("__stats.__varying")}
+    ).drop("__stats")
+    averaged = measured.withColumn("__average", F.try_divide(F.col("__deviation"), F.col("__counted")))
     life_used = F.try_divide(F.col(series.clock), F.col("__last"))
     penalties = [
-        clip(average, 0, MAX_DEVIATION) * weights.sensor_deviation_weight,
+        clip(F.col("__average"), 0, MAX_DEVIATION) * weights.sensor_deviation_weight,
         _flag_penalty(df, "has_sensor_spike", SPIKE_PENALTY * weights.spike_penalty_weight),
         life_used * DEGRADATION_PENALTY * weights.degradation_penalty_weight,
         _flag_penalty(df, "has_sensor_range_violation", QUALITY_PENALTY * weights.quality_penalty_weight),
@@ -92,8 +94,12 @@ def _scored(df, weights, series, stats_by, sensors, limits) -> DataFrame:
     raw = F.lit(100.0)
     for penalty in penalties:
         raw = raw - penalty
-    score = F.when(counted == 0, 100.0).otherwise(clip(raw, 0, 100))
-    return prepared.withColumn("health_score", score).drop("__stats")
+    score = F.when(F.col("__counted") == 0, 100.0).otherwise(clip(F.col("__raw"), 0, 100))
+    return (
+        averaged.withColumn("__raw", raw)
+        .withColumn("health_score", score)
+        .drop("__deviation", "__counted", "__average", "__raw")
+    )
 
 
 def _flag_penalty(df: DataFrame, flag: str, amount: float) -> Column:

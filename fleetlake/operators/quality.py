@@ -11,12 +11,12 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.columns import any_of, outside, percentage
-from fleetlake.functions.windows import cycle_gap, spike
+from fleetlake.functions.windows import Spikes, cycle_gap
 from fleetlake.operators.series import gap_list, over_series, spike_columns
 from fleetlake.operators.silver import DUPLICATE_KEYS
 from fleetlake.operators.skew import flag_copies
@@ -30,6 +30,7 @@ from fleetlake.settings import (
     Freshness,
     SensorRange,
     Series,
+    SeriesWindow,
     Settings,
     SkewLimits,
     SpikeRule,
@@ -325,7 +326,7 @@ def freshness_check(
 
 
 def _gap_row(units: Column) -> Column:
-    failed = F.col("__gaps")
+    failed = F.col("gaps")
     details = F.concat(
         F.lit("Found "), failed.cast("string"), F.lit(" cycle gaps across "), units.cast("string"), F.lit(" units")
     )
@@ -334,7 +335,7 @@ def _gap_row(units: Column) -> Column:
 
 
 def _spike_row(sensor: str, rule: SpikeRule) -> Column:
-    failed = F.col(f"__spikes_{sensor}")
+    failed = F.col(f"spikes_{sensor}")
     details = f"window={rule.window}, sigma={rule.sigma}"
     return _row(f"spike_{sensor}", "spike", _graded(failed, SPIKE_FAIL_PERCENT), TOTAL, failed, details)
 
@@ -358,13 +359,15 @@ def series_results(
     series = series.on(df)
     present = [s for s in sensors if s in df.columns] if spikes else []
 
-    def flags(w: WindowSpec) -> dict[str, Column]:
-        found = {f"__spikes_{s}": spike(s, rule, w) for s in present}
-        return {**found, "__gaps": cycle_gap(series.clock, w)} if gaps else found
+    tests = Spikes(present, rule)
+
+    def flags(w: SeriesWindow) -> dict[str, Column | str]:
+        found = {f"spikes_{s}": tests.text(s) for s in present}
+        return {**found, "gaps": cycle_gap(series.clock, w)} if gaps else found
 
     slim = df.select(*series.keys, *series.order, *series.ties, *present)
-    flagged = over_series(slim, flags, series=series, before=rule.window, limits=limits)
-    counted = [f"__spikes_{s}" for s in present] + (["__gaps"] if gaps else [])
+    flagged = over_series(slim, *tests.stages, flags, series=series, before=tests.before, limits=limits)
+    counted = [f"spikes_{s}" for s in present] + (["gaps"] if gaps else [])
     per_unit = flagged.groupBy(*series.keys).agg(
         F.count(F.lit(1)).alias("__total"), *(F.count_if(c).alias(c) for c in counted)
     )

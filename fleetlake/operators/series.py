@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from fleetlake.functions.windows import cycle_gap, next_value, rate_of_change, rolling, spike
+from fleetlake.functions.windows import FullRolling, Spikes, cycle_gap, next_value, rate_of_change, rolling
 from fleetlake.operators.skew import (
     GroupProfile,
     join_on,
@@ -25,13 +25,15 @@ from fleetlake.operators.skew import (
     with_group_totals,
 )
 from fleetlake.session import cut_lineage
-from fleetlake.settings import Series, SkewLimits, SpikeRule
+from fleetlake.settings import Series, SeriesWindow, SkewLimits, SpikeRule
 
-Stage = Callable[[WindowSpec], Mapping[str, Column]]
+Stage = Callable[[SeriesWindow], Mapping[str, Column | str]]
 
 # monotonically_increasing_id keeps the partition above the 33 low bits
 _PARTITION_BITS = 33
 
+SCRATCH = "__"
+
 
 def _with_position(
     df: DataFrame, order: Sequence[Column | str], name: str, keys: Sequence[str], partitions: int
@@ -94,9 +96,10 @@ def over_series(
     """Add window columns to a series table in one exchange.
 
     ``stages`` map a window to new columns; a later stage may use the columns
-    of an earlier one. Together they look at most ``before`` rows back and
-    ``after`` rows ahead. ``totals`` are aggregates over the whole unit,
-    ``running`` are sums from its first row on.
+    of an earlier one, and those named ``__*`` are scratch and not kept.
+    Together they look at most ``before`` rows back and ``after`` rows ahead.
+    ``totals`` are aggregates over the whole unit, ``running`` are sums from
+    its first row on.
     """
     series = series.on(df)
     totals, running = dict(totals or {}), dict(running or {})
@@ -138,16 +141,29 @@ def over_split_series(
 def _plain(df, stages, series, totals, running) -> DataFrame:
     w = series.window()
     unit = W.partitionBy(*series.keys)
+    columns = df.columns
     for stage in stages:
-        df = df.select("*", *(column.alias(name) for name, column in stage(w).items()))
+        new = stage(w)
+        columns += [name for name in new if not name.startswith(SCRATCH)]
+        df = _add(df, new)
+    if stages:
+        df = df.select(*columns)
     if totals:
         df = df.withColumns({name: total.over(unit) for name, total in totals.items()})
     if running:
-        cumulative = w.rowsBetween(W.unboundedPreceding, 0)
+        cumulative = w.spec.rowsBetween(W.unboundedPreceding, 0)
         df = df.withColumns({name: _running(value, value, cumulative) for name, value in running.items()})
     return df
 
 
+def _add(df: DataFrame, new: Mapping[str, Column | str]) -> DataFrame:
+    """Add columns; SQL texts go to Spark in one call."""
+    texts = [f"{text} AS {name}" for name, text in new.items() if isinstance(text, str)]
+    if len(texts) == len(new):
+        return df.selectExpr("*", *texts)
+    return df.select("*", *((F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in new.items()))
+
+
 def _running(value: Column, summed: Column, frame: WindowSpec) -> Column:
     """Running sum that skips NULL values and stays NULL on them."""
     return F.when(value.isNotNull(), F.sum(summed).over(frame))
@@ -157,7 +173,6 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
     rows = limits.chunk_rows
     if rows <= max(before, after):
         raise ValueError(f"chunks of {rows} rows cannot hold frames of {max(before, after)} rows")
-    added: list[str] = [*totals, *running]
     original = df.columns
     position = F.col("__position")
     numbered = _with_position(
@@ -172,15 +187,16 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
             F.when((offset < after) & (home > 0), home - 1),
         )
     )
-    w = W.partitionBy(*series.keys, "__chunk").orderBy("__position")
+    w = SeriesWindow((*series.keys, "__chunk"), ("__position",))
     chunked = numbered.withColumn("__home", home).withColumn("__chunk", F.explode(copies))
+    kept: list[str] = []
     for stage in stages:
         new = stage(w)
-        added = [*new, *added]
-        chunked = chunked.select("*", *(column.alias(name) for name, column in new.items()))
+        kept += [name for name in new if not name.startswith(SCRATCH)]
+        chunked = _add(chunked, new)
     own = F.col("__home") == F.col("__chunk")
     if running:
-        cumulative = w.rowsBetween(W.unboundedPreceding, 0)
+        cumulative = w.spec.rowsBetween(W.unboundedPreceding, 0)
         chunked = chunked.withColumns(
             {name: _running(value, F.when(own, value), cumulative) for name, value in running.items()}
         )
@@ -189,7 +205,7 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
         chunked = _add_offsets(chunked, numbered.withColumn("__chunk", home), running, series)
     if totals:
         chunked = with_group_totals(chunked, totals, series.keys, limits, profile=_few(profile))
-    return chunked.select(*original, *added)
+    return chunked.select(*original, *kept, *totals, *running)
 
 
 def _add_offsets(chunked, numbered, running, series) -> DataFrame:
@@ -235,7 +251,7 @@ def gap_list(df: DataFrame, series: Series = Series(), **options) -> DataFrame:
     clock = series.clock
     steps = df.select(*series.keys, clock).distinct()
     gaps = over_series(
-        steps, lambda w: {"previous_cycle": F.lag(clock, 1).over(w)}, series=series, **options
+        steps, lambda w: {"previous_cycle": F.lag(clock, 1).over(w.spec)}, series=series, **options
     ).withColumn("gap_size", F.col(clock) - F.col("previous_cycle"))
     return gaps.filter(F.col("gap_size") > 1).select(
         *series.keys, F.col(clock).alias("current_cycle"), "previous_cycle", "gap_size"
@@ -251,14 +267,14 @@ def rolling_columns(
 ) -> DataFrame:
     """``{column}_rolling_{stat}_{n}`` for every (stat, n) asked for a column."""
     wanted = {c: pairs for c, pairs in spec.items() if c in df.columns}
-
-    def stage(w: WindowSpec) -> dict[str, Column]:
-        return {
-            f"{c}_rolling_{stat}_{n}": rolling(c, stat, n, w, full) for c, pairs in wanted.items() for stat, n in pairs
-        }
-
-    longest = max((n for pairs in wanted.values() for _, n in pairs), default=1)
-    return over_series(df, stage, series=series, before=longest, **options)
+    names = {f"{c}_rolling_{stat}_{n}": (c, stat, n) for c, pairs in wanted.items() for stat, n in pairs}
+    if full:
+        windows = FullRolling(wanted)
+        stages = [*windows.stages, lambda _: {name: windows.text(*what) for name, what in names.items()}]
+    else:
+        stages = [lambda w: {name: rolling(*what, w, full=False) for name, what in names.items()}]
+    longest = max((n for _, _, n in names.values()), default=1)
+    return over_series(df, *stages, series=series, before=longest, **options)
 
 
 def change_columns(df: DataFrame, columns: Sequence[str], series: Series = Series(), **options) -> DataFrame:
@@ -291,10 +307,9 @@ def spike_columns(
     df: DataFrame, sensors: Sequence[str], rule: SpikeRule = SpikeRule(), series: Series = Series(), **options
 ) -> DataFrame:
     """One ``spike_{sensor}`` flag per sensor that is present."""
-    present = [s for s in sensors if s in df.columns]
-    return over_series(
-        df, lambda w: {f"spike_{s}": spike(s, rule, w) for s in present}, series=series, before=rule.window, **options
-    )
+    spikes = Spikes([s for s in sensors if s in df.columns], rule)
+    flags = {f"spike_{s}": spikes.text(s) for s in sensors if s in df.columns}
+    return over_series(df, *spikes.stages, lambda _: flags, series=series, before=spikes.before, **options)
 
 
 def running_counts(df: DataFrame, flags: Mapping[str, str], series: Series = Series(), **options) -> DataFrame:

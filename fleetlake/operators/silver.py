@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from fleetlake.functions.columns import any_of, quality_status, range_violation
-from fleetlake.functions.windows import cycle_gap, spike
+from fleetlake.functions.columns import quality_status, range_violation
+from fleetlake.functions.windows import Spikes, cycle_gap
 from fleetlake.operators.series import numbered_series, over_series, over_split_series
 from fleetlake.operators.skew import flag_copies, profile_groups, split_hot
 from fleetlake.settings import (
@@ -19,6 +19,7 @@ from fleetlake.settings import (
     SETTING_COLUMNS,
     SensorRange,
     Series,
+    SeriesWindow,
     Settings,
     SkewLimits,
     SpikeRule,
@@ -44,10 +45,6 @@ def flag_ranges(df: DataFrame, ranges: Mapping[str, SensorRange]) -> DataFrame:
     return df.withColumn("has_sensor_range_violation", range_violation(df.columns, ranges))
 
 
-def _any_spike(sensors: Sequence[str], rule: SpikeRule, w: WindowSpec):
-    return any_of(spike(s, rule, w) for s in sensors)
-
-
 def flag_spikes(
     df: DataFrame,
     sensors: Sequence[str] = SENSOR_COLUMNS,
@@ -56,13 +53,9 @@ def flag_spikes(
     **options,
 ) -> DataFrame:
     present = [s for s in sensors if s in df.columns]
-    return over_series(
-        df,
-        lambda w: {"has_sensor_spike": _any_spike(present, rule, w)},
-        series=series,
-        before=rule.window,
-        **options,
-    )
+    spikes = Spikes(present, rule)
+    flag = {"has_sensor_spike": spikes.any(present)}
+    return over_series(df, *spikes.stages, lambda _: flag, series=series, before=spikes.before, **options)
 
 
 def assign_quality_status(df: DataFrame) -> DataFrame:
@@ -115,20 +108,24 @@ def to_silver(
     within_units = set(series.keys) <= set(keys)
     profile = profile_groups(typed, series.keys, limits)
     sensors = [s for s in SENSOR_COLUMNS if s in typed.columns]
-    rule = settings.spikes
+    spikes = Spikes(sensors, settings.spikes)
 
-    def flags(w: WindowSpec):
-        return {"has_cycle_gap": cycle_gap(series.clock, w), "has_sensor_spike": _any_spike(sensors, rule, w)}
+    def flags(w: SeriesWindow) -> dict[str, Column | str]:
+        return {
+            "has_cycle_gap": cycle_gap(series.clock, w),
+            "has_sensor_spike": spikes.any(sensors),
+        }
 
-    window = {"series": unique, "before": rule.window, "limits": limits, "profile": profile}
+    stages = (*spikes.stages, flags)
+    window = {"series": unique, "before": spikes.before, "limits": limits, "profile": profile}
     if not within_units:
-        flagged = over_series(split_duplicates(typed, keys, limits=limits)[0], flags, **window)
+        flagged = over_series(split_duplicates(typed, keys, limits=limits)[0], *stages, **window)
     elif not profile.hot_groups:
-        flagged = over_series(_without_copies(typed, series, keys), flags, **window)
+        flagged = over_series(_without_copies(typed, series, keys), *stages, **window)
     else:
         rest, hot = split_hot(typed, profile, series.keys)
         clean = _without_copies(rest, series, keys), split_duplicates(hot, keys, limits=limits)[0]
-        flagged = over_split_series(*clean, flags, **window)
+        flagged = over_split_series(*clean, *stages, **window)
     stamped = F.lit(now).cast("timestamp") if now else F.current_timestamp()
     return assign_quality_status(flagged).select(
         *bronze.columns,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlake.functions.columns import equipment_key
-from fleetlake.functions.windows import cycle_gap, rolling, spike
+from fleetlake.functions.windows import FullRolling, Spikes, cycle_gap
 from fleetlake.operators import series as S
 from fleetlake.operators.features import COUNTED_FLAGS
 from fleetlake.operators.skew import flag_copies
@@ -219,19 +219,30 @@ def spike_flag_exclude_current(spark, sf):
 def series_window_hot_units(spark, sf):
     """The flag and rolling windows with the larger units split into chunks."""
 
-    def stage(w):
-        rolled = {f"{c}_{stat}": rolling(c, stat, 20, w) for c in FOUR for stat in ("mean", "std")}
-        spikes = {f"{c}_spike": spike(c, V.SPIKES, w) for c in FOUR}
-        return {**rolled, **spikes, "has_cycle_gap": cycle_gap("cycle", w)}
+    windows = FullRolling({c: [(stat, 20) for stat in ("mean", "std")] for c in FOUR})
+    spikes = Spikes(FOUR, V.SPIKES)
+
+    def columns(w):
+        rolled = {f"{c}_{stat}": windows.text(c, stat, 20) for c in FOUR for stat in ("mean", "std")}
+        return {**rolled, "has_cycle_gap": cycle_gap("cycle", w)}
 
     found = S.over_series(
         V.multi(spark, sf, V.SMALL_LIMITS),
-        stage,
+        *windows.stages,
+        columns,
         series=UNIQUE_SERIES,
         before=20,
         totals={"last_cycle": F.max("cycle")},
         limits=V.SMALL_LIMITS,
     )
+    found = S.over_series(
+        found,
+        *spikes.stages,
+        lambda _: {f"{c}_spike": spikes.text(c) for c in FOUR},
+        series=UNIQUE_SERIES,
+        before=spikes.before,
+        limits=V.SMALL_LIMITS,
+    )
     return rounded(found.drop(*FOUR))
 
 
@@ -300,13 +311,9 @@ def duplicate_flag_hot_keys(spark, sf):
     + " FROM multi",
 )
 def rolling_benchmark(spark, sf):
-    found = S.over_series(
-        V.multi(spark, sf),
-        lambda w: {f"rolling_{stat}": rolling("sensor_02", stat, 10, w) for stat in ("mean", "std")},
-        series=UNIQUE_SERIES,
-        before=10,
-    )
-    return rounded(found.drop(*FOUR))
+    rolled = S.rolling_columns(V.multi(spark, sf), {"sensor_02": [("mean", 10), ("std", 10)]}, UNIQUE_SERIES)
+    named = rolled.withColumnsRenamed({f"sensor_02_rolling_{stat}_10": f"rolling_{stat}" for stat in ("mean", "std")})
+    return rounded(named.drop(*FOUR))
 
 
 @query(

@@ -71,6 +71,25 @@ FEATURE_SPEC = {
 # --- end of fixed values ---
 
 
+@dataclass(frozen=True)
+class SeriesWindow:
+    """The window over one series, as a specification and as SQL text.
+
+    Stages with hundreds of columns hand Spark text: it is parsed in one call.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    @property
+    def spec(self) -> WindowSpec:
+        return W.partitionBy(*self.keys).orderBy(*self.order)
+
+    @property
+    def sql(self) -> str:
+        return f"PARTITION BY {', '.join(self.keys)} ORDER BY {', '.join(self.order)}"
+
+
 @dataclass(frozen=True)
 class Series:
     """What makes one time series: its keys, its clock, and the tie-breakers."""
@@ -91,8 +110,8 @@ class Series:
     def clock(self) -> str:
         return self.order[0]
 
-    def window(self) -> WindowSpec:
-        return W.partitionBy(*self.keys).orderBy(*self.order, *self.ties)
+    def window(self) -> SeriesWindow:
+        return SeriesWindow(self.keys, (*self.order, *self.ties))
 
 
 UNIQUE_SERIES = Series(ties=())
