@@ -26,7 +26,7 @@ from fleetlake.sinks.tables import (
     write_silver,
 )
 from fleetlake.sources.layers import discover_sources, read_layer, read_split
-from fleetlake.sources.text import file_checksums, scan_rul_text, scan_sensor_text
+from fleetlake.sources.text import scan_rul_text, scan_sensor_text, source_checksums
 
 
 def ingest(
@@ -47,13 +47,12 @@ def ingest(
     sources = discover_sources(spark, paths.source_dir, dataset_ids or [settings.default_dataset_id])
     if not sources:
         return {}
-    candidates = file_checksums(spark, sources)
-    # one row per source file, the same list Spark keeps of them
+    candidates = source_checksums(spark, [path for parts in sources.values() for path in parts])
+    # a row per source, like the list of files that Spark itself keeps
     new = {r.source_file: r for r in skip_ingested(candidates, ledger.manifest()).collect()}
-    results = {path.rsplit("/", 1)[-1]: 0 for path in sources}
-    is_rul = {name: name.startswith("RUL") for name in new}
-    readings = [r.source_path for name, r in new.items() if not is_rul[name]]
-    lives = [r.source_path for name, r in new.items() if is_rul[name]]
+    results = dict.fromkeys(sources, 0)
+    readings = [path for name in new for path in sources[name] if not name.startswith("RUL")]
+    lives = [path for name in new for path in sources[name] if name.startswith("RUL")]
     written = []
     if readings:
         scanned = scan_sensor_text(spark, readings, run_id, now, settings.column_names)

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.functions.columns import source_name
+
 SOURCE_NAMES = ("train_{}.txt", "test_{}.txt", "RUL_{}.txt")
 
 
@@ -57,9 +59,10 @@ def require_source(spark: SparkSession, path: str) -> str:
     return path
 
 
-def discover_sources(spark: SparkSession, source_dir: str, dataset_ids: Sequence[str]) -> list[str]:
-    """Paths of the train, test and RUL files that exist, in that order per data set."""
+def discover_sources(spark: SparkSession, source_dir: str, dataset_ids: Sequence[str]) -> dict[str, list[str]]:
+    """Files of each train, test and RUL source that exists, by source name."""
     require_source(spark, source_dir)
     wanted = [name.format(d) for d in dataset_ids for name in SOURCE_NAMES]
-    found = {r.path.rsplit("/", 1)[-1]: r.path for r in list_files(spark, source_dir, "*.txt").collect()}
-    return [found[name] for name in wanted if name in found]
+    files = list_files(spark, source_dir, "*.txt").withColumn("name", source_name(F.col("path")))
+    found = files.filter(F.col("name").isin(wanted)).select("name", "path").collect()
+    return {name: sorted(r.path for r in found if r.name == name) for name in wanted if any(r.name == name for r in found)}

@@ -22,9 +22,9 @@ from fleetlake.sources.text import (
 )
 
 
-def stream_lines(spark: SparkSession, source_dir: str, pattern: str = "*.txt", files_per_batch: int = 1000) -> DataFrame:
-    """Lines of files not seen before. A file is always whole within one batch."""
-    reader = spark.readStream.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
+def stream_lines(spark: SparkSession, source_dir: str, pattern: str = "*.txt") -> DataFrame:
+    """Lines of files not seen before, in one batch, so that no source is split over two."""
+    reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     return with_origin(reader.text(source_dir))
 
 
