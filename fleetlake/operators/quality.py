@@ -92,8 +92,12 @@ def _row(
     )
 
 
-TOTAL = F.col("__total")
-COUNT = {"__total": F.count(F.lit(1))}
+def _total() -> Column:
+    return F.col("__total")
+
+
+def _count() -> dict[str, Column]:
+    return {"__total": F.count(F.lit(1))}
 
 
 def collect_results(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -132,8 +136,8 @@ def unexpected_columns(df: DataFrame, include_metadata: bool = True) -> Check:
 
 def _schema_check(name: str, bad_status: str, label: str, findings: list[str]) -> Check:
     if findings:
-        return Check(COUNT, _row(name, "schema", bad_status, details=f"{label}: {findings}"))
-    return Check(COUNT, _row(name, "schema", "PASS", TOTAL))
+        return Check(_count(), _row(name, "schema", bad_status, details=f"{label}: {findings}"))
+    return Check(_count(), _row(name, "schema", "PASS", _total()))
 
 
 def schema_checks(df: DataFrame, include_metadata: bool = True) -> list[Check]:
@@ -150,26 +154,26 @@ def _nulls(column: str) -> dict[str, Column]:
 def null_check(df: DataFrame, column: str) -> Check:
     name = f"null_{column}"
     if column not in df.columns:
-        return Check(COUNT, _row(name, "completeness", "FAIL", details=f"Column {column} not found"))
+        return Check(_count(), _row(name, "completeness", "FAIL", details=f"Column {column} not found"))
     nulls = F.col(f"__null_{column}")
     status = F.when(nulls == 0, "PASS").otherwise("FAIL")
-    return Check({**COUNT, **_nulls(column)}, _row(name, "completeness", status, TOTAL, nulls))
+    return Check({**_count(), **_nulls(column)}, _row(name, "completeness", status, _total(), nulls))
 
 
 def completeness_check(column: str, threshold: float = COMPLETENESS_THRESHOLD) -> Check:
     """An empty table counts as incomplete."""
     nulls = F.col(f"__null_{column}")
-    share = F.coalesce(1.0 - F.try_divide(nulls, TOTAL), F.lit(0.0))
+    share = F.coalesce(1.0 - F.try_divide(nulls, _total()), F.lit(0.0))
     status = F.when(share < threshold, "FAIL").when(share < 1.0, "WARN").otherwise("PASS")
     row = _row(
         f"completeness_{column}",
         "completeness",
         status,
-        TOTAL,
+        _total(),
         nulls,
         F.format_string(f"completeness=%.4f, threshold={threshold}", share),
     )
-    return Check({**COUNT, **_nulls(column)}, row)
+    return Check({**_count(), **_nulls(column)}, row)
 
 
 def completeness_checks(
@@ -191,14 +195,14 @@ def duplicate_check(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Data
     keys_present = [k for k in keys if k in df.columns]
     if not keys_present:
         missing = _row("duplicate_records", "duplicate", "WARN", details=f"None of the key columns {list(keys)} found")
-        return collect_results(df, [Check(COUNT, missing)])
+        return collect_results(df, [Check(_count(), missing)])
     copies = df.groupBy(*keys_present).agg(F.count(F.lit(1)).alias("__n"))
     failed = F.col("__failed")
     row = _row(
         "duplicate_records",
         "duplicate",
         F.when(failed == 0, "PASS").otherwise("FAIL"),
-        TOTAL,
+        _total(),
         failed,
         f"key_columns={keys_present}",
     )
@@ -226,8 +230,8 @@ def range_check(sensor: str, bounds: SensorRange) -> Check:
     name = f"__outside_{sensor}"
     failed = F.col(name)
     status = _graded(failed, RANGE_FAIL_PERCENT)
-    row = _row(f"range_{sensor}", "range", status, TOTAL, failed, f"range=[{bounds.min}, {bounds.max}]")
-    return Check({**COUNT, name: F.count_if(outside(sensor, bounds))}, row)
+    row = _row(f"range_{sensor}", "range", status, _total(), failed, f"range=[{bounds.min}, {bounds.max}]")
+    return Check({**_count(), name: F.count_if(outside(sensor, bounds))}, row)
 
 
 def range_checks(df: DataFrame, ranges: Mapping[str, SensorRange] | None = None) -> list[Check]:
@@ -236,7 +240,7 @@ def range_checks(df: DataFrame, ranges: Mapping[str, SensorRange] | None = None)
 
 
 def _graded(failed: Column, fail_percent: float) -> Column:
-    share = F.coalesce(F.try_divide(failed, TOTAL) * 100, F.lit(0.0))
+    share = F.coalesce(F.try_divide(failed, _total()) * 100, F.lit(0.0))
     return F.when(failed == 0, "PASS").when(share < fail_percent, "WARN").otherwise("FAIL")
 
 
@@ -290,16 +294,16 @@ def freshness_check(
     """
     name, limit = f"freshness_{layer}", freshness.hours(layer)
     if column not in df.columns:
-        return Check(COUNT, _row(name, "freshness", "FAIL", details=f"Timestamp column {column} not found"))
+        return Check(_count(), _row(name, "freshness", "FAIL", details=f"Timestamp column {column} not found"))
     kind = df.schema[column].dataType
     newest = F.col("__newest")
     if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        details = F.when(TOTAL == 0, "Dataset is empty").when(newest.isNull(), "All timestamp values are null")
-        status = F.when((TOTAL == 0) | newest.isNull(), "FAIL").otherwise("WARN")
+        details = F.when(_total() == 0, "Dataset is empty").when(newest.isNull(), "All timestamp values are null")
+        status = F.when((_total() == 0) | newest.isNull(), "FAIL").otherwise("WARN")
         row = _row(
             name, "freshness", status, details=details.otherwise(f"Timestamp type not datetime: {kind.simpleString()}")
         )
-        return Check({**COUNT, "__newest": F.max(column)}, row)
+        return Check({**_count(), "__newest": F.max(column)}, row)
     moment = F.col(column)
     if isinstance(kind, T.TimestampNTZType):
         micros = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), moment).cast("timestamp"))
@@ -308,18 +312,18 @@ def freshness_check(
     present = F.unix_micros(F.lit(now).cast("timestamp") if now else F.current_timestamp())
     age = (present - newest) / 3_600_000_000
     status = (
-        F.when((TOTAL == 0) | newest.isNull(), "FAIL")
+        F.when((_total() == 0) | newest.isNull(), "FAIL")
         .when(age <= limit, "PASS")
         .when(age <= 2 * limit, "WARN")
         .otherwise("FAIL")
     )
     details = (
-        F.when(TOTAL == 0, "Dataset is empty")
+        F.when(_total() == 0, "Dataset is empty")
         .when(newest.isNull(), "All timestamp values are null")
         .otherwise(F.format_string(f"age_hours=%.2f, threshold={limit}h", age))
     )
-    checked = F.when(newest.isNotNull(), TOTAL).otherwise(0)
-    return Check({**COUNT, "__newest": F.max(micros)}, _row(name, "freshness", status, checked, 0, details))
+    checked = F.when(newest.isNotNull(), _total()).otherwise(0)
+    return Check({**_count(), "__newest": F.max(micros)}, _row(name, "freshness", status, checked, 0, details))
 
 
 # --- series: gaps and spikes ------------------------------------------------
@@ -331,13 +335,13 @@ def _gap_row(units: Column) -> Column:
         F.lit("Found "), failed.cast("string"), F.lit(" cycle gaps across "), units.cast("string"), F.lit(" units")
     )
     status = F.when(failed == 0, "PASS").otherwise("WARN")
-    return _row("cycle_gaps", "cycle_gap", status, TOTAL, failed, details)
+    return _row("cycle_gaps", "cycle_gap", status, _total(), failed, details)
 
 
 def _spike_row(sensor: str, rule: SpikeRule) -> Column:
     failed = F.col(f"spikes_{sensor}")
     details = f"window={rule.window}, sigma={rule.sigma}"
-    return _row(f"spike_{sensor}", "spike", _graded(failed, SPIKE_FAIL_PERCENT), TOTAL, failed, details)
+    return _row(f"spike_{sensor}", "spike", _graded(failed, SPIKE_FAIL_PERCENT), _total(), failed, details)
 
 
 def series_results(
@@ -355,7 +359,7 @@ def series_results(
     """
     if any(c not in df.columns for c in (series.clock, "unit_id")):
         rows = [_row("cycle_gaps", "cycle_gap", "FAIL", details="Required columns unit_id and cycle not found")]
-        return collect_results(df, [Check(COUNT, row) for row in rows if gaps])
+        return collect_results(df, [Check(_count(), row) for row in rows if gaps])
     series = series.on(df)
     present = [s for s in sensors if s in df.columns] if spikes else []
 
@@ -438,9 +442,9 @@ def validate_silver(
 
 
 def not_empty_check() -> Check:
-    details = F.concat(F.lit("Gold dataset has "), TOTAL.cast("string"), F.lit(" records"))
-    status = F.when(TOTAL > 0, "PASS").otherwise("FAIL")
-    return Check(COUNT, _row("gold_not_empty", "completeness", status, TOTAL, details=details))
+    details = F.concat(F.lit("Gold dataset has "), _total().cast("string"), F.lit(" records"))
+    status = F.when(_total() > 0, "PASS").otherwise("FAIL")
+    return Check(_count(), _row("gold_not_empty", "completeness", status, _total(), details=details))
 
 
 def validate_gold(

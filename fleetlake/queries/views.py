@@ -162,12 +162,10 @@ def nulls(spark: SparkSession, sf: str) -> DataFrame:
 
 NULLS = _sql_readings("nulls", _DENSE, NULLED, {})
 
-DAYS = F.date_diff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date")).cast("bigint")
-
-
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     """The whole reading schema with days as cycles: gaps and copies occur."""
-    return _readings(table(spark, sf, "lineitem"), DAYS, SENSORS, SETTINGS)
+    days = F.date_diff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date")).cast("bigint")
+    return _readings(table(spark, sf, "lineitem"), days, SENSORS, SETTINGS)
 
 
 DAILY = _sql_readings(
