@@ -92,15 +92,15 @@ class FullRolling:
 
         def parts_of(c: str, kind: str) -> list[str]:
             if below == 1:
-                raw = [c, *(_lagged("raw", size, j, c) for j in range(1, parts))]
+                raw = [c, *(_lagged("raw", size, parts, j, c) for j in range(1, parts))]
                 return [f"CAST({p} AS DOUBLE)" for p in raw] if kind == "sum" else raw
-            return [_scratch(kind, below, c), *(_lagged(kind, size, j, c) for j in range(1, parts))]
+            return [_scratch(kind, below, c), *(_lagged(kind, size, parts, j, c) for j in range(1, parts))]
 
         def fetch(w: SeriesWindow) -> dict[str, str]:
             if below == 1:
-                return {_lagged("raw", size, j, c): _lag(c, j, w) for c in columns for j in range(1, parts)}
+                return {_lagged("raw", size, parts, j, c): _lag(c, j, w) for c in columns for j in range(1, parts)}
             return {
-                _lagged(kind, size, j, c): _lag(_scratch(kind, below, c), j * below, w)
+                _lagged(kind, size, parts, j, c): _lag(_scratch(kind, below, c), j * below, w)
                 for c, kinds in columns.items()
                 for kind in kinds
                 for j in range(1, parts)
@@ -157,8 +157,8 @@ def _scratch(kind: str, n: int, column: str) -> str:
     return f"__{kind}{n}_{column}"
 
 
-def _lagged(kind: str, n: int, part: int, column: str) -> str:
-    return f"__{kind}{n}_part{part}_{column}"
+def _lagged(kind: str, n: int, parts: int, part: int, column: str) -> str:
+    return f"__{kind}{n}_part{part}of{parts}_{column}"
 
 
 class Spikes:

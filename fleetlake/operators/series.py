@@ -142,12 +142,9 @@ def _plain(df, stages, series, totals, running) -> DataFrame:
     w = series.window()
     unit = W.partitionBy(*series.keys)
     columns = df.columns
-    for stage in stages:
-        new = stage(w)
-        columns += [name for name in new if not name.startswith(SCRATCH)]
-        df = _add(df, new)
+    df, kept = _add_stages(df, stages, w)
     if stages:
-        df = df.select(*columns)
+        df = df.select(*columns, *kept)
     if totals:
         df = df.withColumns({name: total.over(unit) for name, total in totals.items()})
     if running:
@@ -156,12 +153,23 @@ def _plain(df, stages, series, totals, running) -> DataFrame:
     return df
 
 
-def _add(df: DataFrame, new: Mapping[str, Column | str]) -> DataFrame:
-    """Add columns; SQL texts go to Spark in one call."""
-    texts = [f"{text} AS {name}" for name, text in new.items() if isinstance(text, str)]
-    if len(texts) == len(new):
-        return df.selectExpr("*", *texts)
-    return df.select("*", *((F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in new.items()))
+def _add_stages(df: DataFrame, stages: Sequence[Stage], w: SeriesWindow) -> tuple[DataFrame, list[str]]:
+    """The table with all new columns, and the names of those to keep.
+
+    Scratch columns that two stages both define are computed once. SQL texts
+    go to Spark in one call per stage.
+    """
+    kept: list[str] = []
+    scratch: set[str] = set()
+    for stage in stages:
+        new = {name: c for name, c in stage(w).items() if name not in scratch}
+        scratch |= {name for name in new if name.startswith(SCRATCH)}
+        kept += [name for name in new if not name.startswith(SCRATCH)]
+        if all(isinstance(c, str) for c in new.values()):
+            df = df.selectExpr("*", *(f"{text} AS {name}" for name, text in new.items()))
+        else:
+            df = df.select("*", *((F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in new.items()))
+    return df, kept
 
 
 def _running(value: Column, summed: Column, frame: WindowSpec) -> Column:
@@ -189,11 +197,7 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
     )
     w = SeriesWindow((*series.keys, "__chunk"), ("__position",))
     chunked = numbered.withColumn("__home", home).withColumn("__chunk", F.explode(copies))
-    kept: list[str] = []
-    for stage in stages:
-        new = stage(w)
-        kept += [name for name in new if not name.startswith(SCRATCH)]
-        chunked = _add(chunked, new)
+    chunked, kept = _add_stages(chunked, stages, w)
     own = F.col("__home") == F.col("__chunk")
     if running:
         cumulative = w.spec.rowsBetween(W.unboundedPreceding, 0)

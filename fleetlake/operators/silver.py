@@ -84,7 +84,7 @@ def split_duplicates(
 
 
 def _split_after_first(df, keys, order, limits) -> tuple[DataFrame, DataFrame]:
-    numbered = numbered_series(df, order or [c for c in df.columns if c not in keys], keys, "__copy", limits)
+    numbered = numbered_series(df, order or [c for c in df.columns if c not in keys] or keys, keys, "__copy", limits)
     return numbered.filter("__copy = 1").drop("__copy"), numbered.filter("__copy > 1").drop("__copy")
 
 

@@ -27,7 +27,7 @@ def line(unit, cycle, rng):
 def lake(spark, tmp_path):
     """Three units of 20 to 40 cycles in each of the three files."""
     rng = random.Random(3)
-    paths = Paths.below(str(tmp_path / "data"))
+    paths = Paths.below(str(tmp_path))
     source = tmp_path / "data" / "source"
     source.mkdir(parents=True)
     for kind in ("train", "test"):
