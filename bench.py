@@ -58,7 +58,9 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     def layer(name: str, df: DataFrame) -> DataFrame:
-        return spark.read.parquet(write_layer(df, scratch_path(spark, f"bench-{name}")))
+        """A layer in as many files as there are cores, so that scans are parallel."""
+        spread = df.repartition(spark.sparkContext.defaultParallelism)
+        return spark.read.parquet(write_layer(spread, scratch_path(spark, f"bench-{name}")))
 
     multi = layer("multi", V.multi(spark, sf))
     clean = layer("clean", V.clean(spark, sf))

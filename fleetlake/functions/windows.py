@@ -73,14 +73,19 @@ class FullRolling:
         return {_scratch(stat, n, c): rolling(c, stat, n, w) for c, stat, n in self._framed}
 
     def _chain(self, n: int, sizes: Sequence[int]) -> list[int] | None:
-        """Window sizes leading up to ``n``; None if a step would take too many parts."""
-        chain = []
+        """Window sizes leading up to ``n``; None if a step would take too many parts.
+
+        The first step may take many rows, which are single columns; later
+        steps take few parts, since each part brings all its statistics.
+        """
+        chain: list[int] = []
         while n > 1:
-            wanted = [n // m for m in sizes if m < n and n % m == 0 and n // m <= MAX_PARTS]
-            any_size = [k for k in range(MAX_PARTS, 1, -1) if n % k == 0]
-            if not wanted and not any_size:
-                return None
-            self._parts[n] = min(wanted) if wanted else any_size[0]
+            factors = [k for k in range(2, MAX_PARTS + 1) if n % k == 0]
+            shared = [k for k in factors if n // k in sizes]
+            if n not in self._parts:
+                if not factors:
+                    return None
+                self._parts[n] = shared[0] if shared else n if n <= MAX_PARTS else factors[0]
             chain.append(n)
             n //= self._parts[n]
         return chain
@@ -142,6 +147,7 @@ class FullRolling:
 
 
 MAX_PARTS = 7
+NOISE = 1e-12
 _NEEDS = {"mean": ("sum",), "std": ("sum", "sq"), "min": ("sum", "min"), "max": ("sum", "max")}
 
 
@@ -165,13 +171,13 @@ class Spikes:
     """Where a value leaves the rolling mean by more than ``sigma`` deviations.
 
     A window of equal values never spikes: its mean may differ from the values
-    by rounding noise only, which the ``max > min`` test keeps out. Missing
-    values and unfilled windows are no spikes.
+    by rounding noise, which is far below ``NOISE``. Missing values and
+    unfilled windows are no spikes.
     """
 
     def __init__(self, sensors: Sequence[str], rule: SpikeRule) -> None:
         self._rule = rule
-        self._rolling = FullRolling({s: [(stat, rule.window) for stat in STATISTICS] for s in sensors})
+        self._rolling = FullRolling({s: [(stat, rule.window) for stat in ("mean", "std")] for s in sensors})
         self.before = self._rolling.before + (1 if rule.exclude_current else 0)
         self.stages = [*self._rolling.stages, self._tests(sensors)]
 
@@ -179,15 +185,11 @@ class Spikes:
         n = self._rule.window
 
         def limits(w: SeriesWindow) -> dict[str, str]:
-            """Mean, tolerance, and whether the window varies, of the window tested against."""
+            """Mean and deviation of the window tested against."""
             found = {}
             for s in sensors:
-                value = {stat: self._rolling.text(s, stat, n) for stat in STATISTICS}
-                tests = {
-                    "mean": value["mean"],
-                    "tolerance": f"{self._rule.sigma} * {value['std']}",
-                    "varies": f"{value['max']} > {value['min']}",
-                }
+                mean, std = (self._rolling.text(s, stat, n) for stat in ("mean", "std"))
+                tests = {"mean": mean, "std": std}
                 for name, test in tests.items():
                     found[f"__{name}_{s}"] = _lag(test, 1, w) if self._rule.exclude_current else test
             return found
@@ -195,8 +197,9 @@ class Spikes:
         return limits
 
     def text(self, sensor: str) -> str:
-        away = f"abs({sensor} - __mean_{sensor}) > __tolerance_{sensor}"
-        return f"coalesce(__varies_{sensor} AND {away}, false)"
+        varies = f"__std_{sensor} > {NOISE} * abs(__mean_{sensor})"
+        away = f"abs({sensor} - __mean_{sensor}) > {self._rule.sigma} * __std_{sensor}"
+        return f"coalesce({varies} AND {away}, false)"
 
     def any(self, sensors: Sequence[str]) -> str:
         return " OR ".join(self.text(s) for s in sensors) or "false"

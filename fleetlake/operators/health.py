@@ -32,24 +32,29 @@ def _stamp(now: datetime | None) -> Column:
 
 def sensor_stats(df: DataFrame, sensors: Sequence[str] = SENSOR_COLUMNS, by: Sequence[str] = ()) -> DataFrame:
     """Mean and sample deviation of every sensor present, in one pass."""
-    present = [s for s in sensors if s in df.columns]
-    moments = [f(s).alias(f"{s}_{n}") for s in present for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
-    return df.groupBy(*by).agg(*moments)
+    moments = _moments([s for s in sensors if s in df.columns])
+    return df.groupBy(*by).agg(*(moment.alias(name) for name, moment in moments.items()))
 
 
-def with_sensor_stats(df: DataFrame, sensors: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def with_sensor_stats(
+    df: DataFrame, sensors: Sequence[str], by: Sequence[str] = (), limits: SkewLimits = SkewLimits()
+) -> DataFrame:
     """Every row with a ``__stats`` struct: the global (or per-``by``) moments of
     each sensor, and how many sensors vary at all.
 
     The global row is a scalar subquery, computed once and shipped as a value.
     """
-    moments = sensor_stats(df, sensors, by)
-    names = [c for c in moments.columns if c not in by]
-    varying = total_of(F.coalesce(F.col(c) > 0, F.lit(False)).cast("int") for c in names if c.endswith("_std"))
-    packed = moments.select(*by, F.struct(*names, varying.alias("__varying")).alias("__stats"))
-    if not by:
-        return df.withColumn("__stats", packed.scalar())
-    return join_on(df, packed, by)
+    moments = _moments([s for s in sensors if s in df.columns])
+    varying = total_of(F.coalesce(F.col(c) > 0, F.lit(False)).cast("int") for c in moments if c.endswith("_std"))
+    packed = F.struct(*moments, varying.alias("__varying"))
+    if by:
+        return with_group_totals(df, moments, by, limits).withColumn("__stats", packed).drop(*moments)
+    one = df.agg(*(moment.alias(name) for name, moment in moments.items()))
+    return df.withColumn("__stats", one.select(packed).scalar())
+
+
+def _moments(sensors: Sequence[str]) -> dict[str, Column]:
+    return {f"{s}_{n}": f(s) for s in sensors for n, f in (("mean", F.avg), ("std", F.stddev_samp))}
 
 
 def health_score(
@@ -73,7 +78,7 @@ def _scored(df, weights, series, stats_by, sensors, limits) -> DataFrame:
     present = [s for s in sensors if s in df.columns]
     if not present:
         return dated.withColumn("health_score", F.lit(100.0))
-    prepared = with_sensor_stats(dated, present, stats_by)
+    prepared = with_sensor_stats(dated, present, stats_by, limits)
 
     def deviation(sensor: str) -> Column:
         mean, std = F.col(f"__stats.{sensor}_mean"), F.col(f"__stats.{sensor}_std")
