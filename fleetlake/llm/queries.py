@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.llm import secret_ledger as S
 from fleetlake.llm.common import table
+from fleetlake.llm.shards import shard_by_bytes
 from fleetlake.llm.url_rules import judge_urls
 from fleetlake.queries.registry import Query
+from fleetlake.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -54,3 +57,67 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _secret_sql() -> str:
+    """Positions from the text between the matches; the two further kinds as the method has them."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    kinds = " UNION ALL ".join(
+        f"SELECT n, {rank} AS rank, {quoted(r.kind)} AS kind, {r.least} AS least, string_split_regex(t, {quoted(r.pattern)}) AS gaps, "
+        f"regexp_extract_all(t, {quoted(r.pattern)}) AS hits, regexp_extract_all(t, {quoted(r.pattern)}, {r.group}) AS vals FROM docs"
+        for rank, r in enumerate(S.RULES)
+    )
+    return f"""
+    WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+    matched AS ({kinds}),
+    each AS (SELECT *, unnest(generate_series(1, len(hits))) AS i FROM matched WHERE len(hits) > 0),
+    placed AS (
+      SELECT n, rank, kind, hits[i] AS hit,
+             (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+              + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0))::BIGINT AS s
+      FROM each WHERE length(vals[i]) >= least),
+    spelled AS (SELECT *, kind || ':' || s || ':' || (s + length(hit)) AS span FROM placed),
+    joined AS (
+      SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY s, rank) AS spans
+      FROM spelled GROUP BY n)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM docs LEFT JOIN joined USING (n)
+    """
+
+
+@query("op6_secret_scan", _secret_sql())
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a version of its path, scanned through a new ledger."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = scratch_path(spark, "secret-ledger")
+    S.update_ledger(docs, ledger)
+    found = S.findings(docs, ledger)
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(r.kind)).cast("long").alias(f"n_{r.kind}") for r in S.BASE),
+        F.sha2(S.joined_spans(of(*(r.kind for r in S.BASE))), 256).alias("base_sha256"),
+        S.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+SHARDS = 40
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of forty shards of near equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
+    sharded = shard_by_bytes(docs, SHARDS, payload=["doc_id", "text_crc32"])
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
