@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.llm import language, quality_model
 from fleetlake.llm import secret_ledger as S
-from fleetlake.llm.common import table
+from fleetlake.llm.common import id_hash, table
+from fleetlake.llm.pieces import encode_pieces
 from fleetlake.llm.shards import shard_by_bytes
 from fleetlake.llm.url_rules import judge_urls
 from fleetlake.queries.registry import Query
@@ -121,3 +124,37 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and what they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_pieces(docs, MODEL, keep=["doc_id"])
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_hash(F.col("doc_id"), 3) == 1, F.lit(False))
+    net = language.train(docs, ~held_out)
+    return language.predict(docs.withColumn("held_out", held_out), net, keep=["doc_id", "held_out"])
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels of four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_hash(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_model.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
