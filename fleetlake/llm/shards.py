@@ -111,8 +111,12 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 def _digit(i: int) -> Column:
     """The i-th digit of the order, from the most significant; signed words count up from their least."""
-    word = F.col(f"__w{i // DIGITS}").bitwiseXOR(F.lit(-(2**63)))
-    return F.shiftrightunsigned(word, 64 - BITS * (i % DIGITS + 1)).bitwiseAND(F.lit(2**BITS - 1)).cast("int")
+    shifted = F.shiftrightunsigned(_unsigned(i // DIGITS), 64 - BITS * (i % DIGITS + 1))
+    return shifted.bitwiseAND(F.lit(2**BITS - 1)).cast("int")
+
+
+def _unsigned(word: int) -> Column:
+    return F.col(f"__w{word}").bitwiseXOR(F.lit(-(2**63)))
 
 
 def _bound(prefix: tuple[int, ...]) -> tuple[int, ...]:
@@ -135,11 +139,11 @@ def _splitters(rows: DataFrame, n_shards: int, tolerance: float) -> list[tuple[i
         for j, interval in list(held.items()):
             before = interval.before
             counts = bins[interval.prefix]
-            for digit, within in sorted(counts.items()):
+            for digit, (within, number) in sorted(counts.items()):
                 if before + within >= wanted[j]:
                     break
                 before += within
-            last = depth + 1 == WORDS * DIGITS
+            last = number == 1 or depth + 1 == WORDS * DIGITS
             near = min(wanted[j] - before, before + within - wanted[j]) <= allowed
             if near or last:
                 up = digit + (before + within - wanted[j] < wanted[j] - before)
@@ -161,24 +165,36 @@ def _carried(prefix: tuple[int, ...]) -> tuple[int, ...]:
     return tuple(digits)
 
 
-def _histogram(rows: DataFrame, prefixes: list[tuple[int, ...]], depth: int) -> dict[tuple[int, ...], dict[int, int]]:
-    """Exact bytes by next digit of each interval; at most 2 ** BITS rows for each boundary."""
-    inside = F.lit(None).cast("int")
-    for n, prefix in enumerate(prefixes):
-        here = reduce(lambda a, b: a & b, (_digit(i) == d for i, d in enumerate(prefix)), F.lit(True))
-        inside = F.when(here, F.lit(n)).otherwise(inside)
-    counted = (
-        rows.select(inside.alias("n"), _digit(depth).alias("digit"), "size")
-        .where("n IS NOT NULL")
-        .groupBy("n", "digit")
-        .agg(F.sum("size").alias("bytes"))
-    )
-    out: dict[tuple[int, ...], dict[int, int]] = {p: {} for p in prefixes}
+def _histogram(rows: DataFrame, prefixes: list[tuple[int, ...]], depth: int) -> dict[tuple[int, ...], dict[int, tuple[int, int]]]:
+    """Exact bytes and rows by next digit of each interval; at most 2 ** BITS rows for each boundary."""
+    # The digits so far, as one number for each word they reach into.
+    heads = []
+    for word in range(-(-depth // DIGITS)):
+        digits = min(DIGITS, depth - word * DIGITS)
+        heads.append(F.shiftrightunsigned(_unsigned(word), 64 - BITS * digits).alias(f"h{word}"))
+    known = {_heads(p): p for p in prefixes}
+    keyed = rows.select(*heads, _digit(depth).alias("digit"), "size")
+    if heads:
+        keyed = keyed.where(F.col("h0").isin(sorted({k[0] for k in known})))
+    columns = [f"h{word}" for word in range(len(heads))]
+    # Other words may share the first with a boundary: they cost a row each in the last depths only.
+    for i, column in enumerate(columns[1:], 1):
+        keyed = keyed.where(F.col(column).isin(sorted({k[i] for k in known})))
+    counted = keyed.groupBy(*columns, "digit").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    out: dict[tuple[int, ...], dict[int, tuple[int, int]]] = {p: {} for p in prefixes}
     for row in counted.collect():
-        out[prefixes[row.n]][row.digit] = row.bytes
+        if (prefix := known.get(tuple(row[: len(heads)]))) is not None:
+            out[prefix][row.digit] = (row.bytes, row.n)
     return out
 
 
+def _heads(prefix: tuple[int, ...]) -> tuple[int, ...]:
+    """The numbers that ``_histogram`` makes of these digits, as signed words."""
+    words = (prefix[i : i + DIGITS] for i in range(0, len(prefix), DIGITS))
+    values = (reduce(lambda a, d: a << BITS | d, word, 0) for word in words)
+    return tuple(v - 2**64 if v >= 2**63 else v for v in values)
+
+
 def _shard(splitters: list[tuple[int, ...]]) -> Column:
     """How many splitters lie at or before a row's place."""
     beyond = F.lit(0)
@@ -188,6 +204,8 @@ def _shard(splitters: list[tuple[int, ...]]) -> Column:
             mine = F.col(f"__w{i}")
             if words[i] >= 2**63:  # past the last place
                 at_or_after = F.lit(False)
+            elif all(w == -(2**63) for w in words[i + 1 :]):
+                at_or_after = mine >= words[i]
             else:
                 at_or_after = (mine > words[i]) | ((mine == words[i]) & at_or_after)
         beyond = beyond + at_or_after.cast("int")
