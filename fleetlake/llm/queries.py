@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import language, quality_model
+from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
 from fleetlake.llm.common import id_hash, table
 from fleetlake.llm.pieces import encode_pieces
@@ -158,3 +158,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_hash(F.col("doc_id"), 5) == 0, F.lit(False))
     model = quality_model.train(docs, table(spark, sf_dir, "labels"), ~held_out)
     return quality_model.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
+@query("op8_lm_score")
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability, learned from six sevenths of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_hash(F.col("doc_id"), 7) == 2, F.lit(False))
+    trained = ngram_model.train(docs, ~held_out)
+    return ngram_model.score(docs.withColumn("held_out", held_out), trained, keep=["doc_id", "held_out"])
