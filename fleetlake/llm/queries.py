@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
 from fleetlake.llm.common import id_hash, table
+from fleetlake.llm.nearest import nearest
 from fleetlake.llm.pieces import encode_pieces
 from fleetlake.llm.shards import shard_by_bytes
 from fleetlake.llm.url_rules import judge_urls
@@ -167,3 +168,9 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_hash(F.col("doc_id"), 7) == 2, F.lit(False))
     trained = ngram_model.train(docs, ~held_out)
     return ngram_model.score(docs.withColumn("held_out", held_out), trained, keep=["doc_id", "held_out"])
+
+
+@query("op2_nearest")
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest of every twentieth vector, among all."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
