@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
 from fleetlake.llm.common import id_hash, table
+from fleetlake.llm.near_copies import near_copies
 from fleetlake.llm.nearest import nearest
 from fleetlake.llm.pieces import encode_pieces
 from fleetlake.llm.shards import shard_by_bytes
@@ -174,3 +175,10 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest of every twentieth vector, among all."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op5_near_copies")
+def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_copies(docs, size=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
