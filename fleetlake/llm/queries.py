@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
 from fleetlake.llm.common import id_hash, table
+from fleetlake.llm.leaks import find_leaks
 from fleetlake.llm.near_copies import near_copies
 from fleetlake.llm.nearest import nearest
 from fleetlake.llm.pieces import encode_pieces
@@ -182,3 +183,10 @@ def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_copies(docs, size=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, table(spark, sf_dir, "benchmark"))
