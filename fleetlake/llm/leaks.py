@@ -175,20 +175,40 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     items count once, different texts of one id are different items. An empty
     table on either side gives no rows. Other columns are not read.
     """
-    spark = docs.sparkSession
     kinds = [f.schema[c].dataType.simpleString() for f, c in ((docs, doc_id), (items, item_id))]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start_word int, n_words int"
+    taken = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    parts = [taken.mapInArrow(_search(members), schema) for members in _item_blocks(items, item_id, text)]
+    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``find_leaks`` finds nothing in, with all their columns and without an exchange."""
+    at = docs.columns.index(text)
+
+    def clean(members: list[tuple[object, str]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = Block(members)
+            for batch in by_bytes(batches, at, BATCH_BYTES):
+                found = {hit[0] for hit in block.search([t or "" for t in batch.column(at).to_pylist()])}
+                yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in found], pa.int64()))
+
+        return run
+
+    for members in _item_blocks(items, item_id, text):
+        docs = docs.mapInArrow(clean(members), docs.schema)
+    return docs
+
+
+def _item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, str]]]:
+    """Distinct items with a text, about ``BLOCK_BYTES`` at a time."""
     usable = items.where(F.col(text).isNotNull()).select(item_id, text).distinct()
     size = usable.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
-    taken = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    parts = []
     for b in range(blocks):
         mine = usable.where(F.pmod(F.xxhash64(item_id, text), F.lit(blocks)) == b)
-        members = sorted(((r[0], r[1]) for r in mine.collect()), key=str)  # about BLOCK_BYTES
-        if members:
-            parts.append(taken.mapInArrow(_search(members), schema))
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+        if members := sorted(((r[0], r[1]) for r in mine.collect()), key=str):
+            yield members
 
 
 def _search(members: list[tuple[object, str]]):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import by_bytes, stored
+from fleetlake.llm.common import by_bytes, spare, stored
 from fleetlake.llm.components import components
 from fleetlake.llm.words import MULTIPLIER, mixed, shingles, split_words, word_hashes
 
@@ -79,7 +79,7 @@ def least_agreeing(similarity: float) -> int:
 def near_copies(
     docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row for each row of ``docs``: the id, text_key, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: the id, text_key, n_shingles, component_id, kept, keeper.
 
     Words are runs of non-blank characters in lower case (A-Z), shingles are
     ``size`` of them; a text of fewer words has one shingle, one without words
@@ -88,8 +88,9 @@ def near_copies(
     component is known by its least id; kept is true where that is the row's
     own. Repeated rows share their component. A row with a NULL id belongs to
     its text's component but is never kept, and a component of such rows alone
-    has a NULL id. ``text_key`` is a hash of the text. Other columns are not
-    read, whatever their names.
+    has a NULL id. ``text_key`` is a hash of the text. ``keeper`` marks one id
+    and text of each component, the least id's if any has one, and every row
+    without words. Other columns are not read, whatever their names.
     """
     taken = docs.select(
         F.col(id_column).alias("doc_id"), text_key(F.col(text_column)).alias("text_key"), F.coalesce(text_column, F.lit("")).alias("text")
@@ -117,27 +118,44 @@ def near_copies(
         rows.where("set_key IS NOT NULL")
         .groupBy("set_key")
         .agg(
-            F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n"),
-            F.first("signature").alias("signature"),
+            # The least id, NULL last, with its text.
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
+            F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
         )
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
     clusters = stored(components(_alike(classes, percent)), "clusters")
     linked = components(_confirmed(taken, classes, clusters, size, percent))
-    named = classes.select("class", "set_key", "least").join(linked.withColumnRenamed("node", "class"), "class", "left")
+    named = classes.select("class", "set_key", "first").join(linked.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     # One row for each component, however many documents it has.
-    firsts = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = named.join(firsts, "component").select("set_key", "component_id")
+    firsts = named.groupBy("component").agg(F.min("first").alias("chosen"))
+    by_set = named.join(firsts, "component").select("set_key", "chosen")
     out = rows.drop("signature").join(by_set, "set_key", "left")
-    own = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    alone = F.col("set_key").isNull()
+    own = F.when(alone, F.col("doc_id")).otherwise(F.col("chosen.doc_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("text_key") == F.col("chosen.text_key"))
     return out.select(
         F.col("doc_id").alias(id_column), "text_key", "n_shingles", own.alias("component_id"),
-        F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"),
+        F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"), (alone | same).alias("keeper"),
     )
 
 
+def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one document of each component; rows that repeat an id and text are one document."""
+    name = spare("__document", docs.columns)
+
+    def document(key: Column) -> Column:
+        return F.unhex(F.md5(F.concat_ws("/", F.hex(key), F.col(id_column).cast("string"))))
+
+    judged = near_copies(docs, size, percent, id_column, text_column)
+    keepers = judged.where("keeper").select(document(F.col("text_key")).alias(name)).distinct()
+    # Repeated rows meet in their map tasks; the join needs no exchange of texts besides.
+    single = docs.withColumn(name, document(text_key(F.col(text_column)))).dropDuplicates([name])
+    return single.join(keepers, name, "left_semi").drop(name)
+
+
 def text_key(text: Column) -> Column:
     """A hash that tells texts apart; NULL counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
@@ -243,7 +261,7 @@ def _alike(classes: DataFrame, percent: int) -> DataFrame:
 def _confirmed(taken: DataFrame, classes: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
     """Links a, b that join what is linked by full sets, found within clusters."""
     # One text for each class in a cluster: the one whose key the class has kept.
-    wanted = clusters.join(classes.select("class", "text_key", "n"), clusters.node == F.col("class")).select(
+    wanted = clusters.join(classes.select("class", F.col("first.text_key").alias("text_key"), "n"), clusters.node == F.col("class")).select(
         "class", F.col("component").alias("cluster"), "text_key", "n"
     )
     # Copies of a hot text meet in their map tasks, so the one exchange of texts holds few of them.

@@ -198,3 +198,21 @@ def joined_spans(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
+
+
+def mask(text: Column, spans: Column, by: str = "[secret]") -> Column:
+    """``text`` with each stretch that spans cover replaced by ``by``; NULL stays NULL."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        ahead = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(by))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            # A span that begins inside the one before belongs to the same stretch.
+            F.when(s["start"] >= acc["at"], ahead).otherwise(acc["out"]).alias("out"),
+        )
+
+    masked = F.aggregate(
+        spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    )
+    return F.when(F.size(spans) > 0, masked).otherwise(text)
