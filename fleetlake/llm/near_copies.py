@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import by_bytes, spare, stored
-from fleetlake.llm.components import components
+from fleetlake.llm.components import components, stars
 from fleetlake.llm.words import MULTIPLIER, mixed, shingles, split_words, word_hashes
 
 #: Bands of rows: a pair of similarity 0.85 misses all with a chance of 8e-7, one of 0.8 with 7e-5.
@@ -253,7 +253,8 @@ def _alike(classes: DataFrame, percent: int) -> DataFrame:
                         np.minimum.at(label, y[agree], label[x[agree]])
                 step += 1
             pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            # Buckets of a group name the same least members again and again: few links are left of many.
+            yield pa.RecordBatch.from_arrays([pa.array(side) for side in stars(*pairs)], ["a", "b"])
 
     return blocks.mapInArrow(compare, "a long, b long").distinct()
 
@@ -286,9 +287,8 @@ def _confirmed(taken: DataFrame, classes: DataFrame, clusters: DataFrame, size:
             for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 group = [np.frombuffer(b, np.uint64) for b in items.slice(start, end - start).to_pylist()]
                 pairs += [(int(names[start + i]), int(names[start + j])) for i, j in linked_pairs(group, percent)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"]
-            )
+            found = np.array(pairs, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(side) for side in stars(found[:, 0], found[:, 1])], ["a", "b"])
 
     return blocks.mapInArrow(confirm, "a long, b long").distinct()
 

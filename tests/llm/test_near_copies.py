@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from fleetlake.llm import near_copies as C
-from fleetlake.llm.components import components
+from fleetlake.llm.components import components, stars
 from fleetlake.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -109,6 +109,17 @@ def test_signature_estimates_similarity():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
+def test_stars_join_what_links_join():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 400, 300), rng.integers(0, 400, 300)
+    node, least = stars(a, b)
+    label = {n: n for n in [*a.tolist(), *b.tolist()]}
+    for _ in range(400):
+        for x, y in zip(a.tolist(), b.tolist()):
+            label[x] = label[y] = min(label[x], label[y])
+    assert dict(zip(node.tolist(), least.tolist())) == {n: m for n, m in label.items() if n != m}
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(1000, i) for i in range(1001, 1400)] + [(5, 5)]
     df = spark.createDataFrame(links, "a long, b long")
