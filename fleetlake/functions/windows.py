@@ -198,7 +198,8 @@ class Spikes:
 
     def text(self, sensor: str) -> str:
         varies = f"__std_{sensor} > {NOISE} * abs(__mean_{sensor})"
-        away = f"abs({sensor} - __mean_{sensor}) > {self._rule.sigma} * __std_{sensor}"
+        slack = f"{self._rule.tolerance} * greatest(abs({sensor}), abs(__mean_{sensor}))"
+        away = f"abs({sensor} - __mean_{sensor}) > {self._rule.sigma} * __std_{sensor} + {slack}"
         return f"coalesce({varies} AND {away}, false)"
 
     def any(self, sensors: Sequence[str]) -> str:

@@ -37,19 +37,24 @@ def sensor_stats(df: DataFrame, sensors: Sequence[str] = SENSOR_COLUMNS, by: Seq
 
 
 def with_sensor_stats(
-    df: DataFrame, sensors: Sequence[str], by: Sequence[str] = (), limits: SkewLimits = SkewLimits()
+    df: DataFrame,
+    sensors: Sequence[str],
+    by: Sequence[str] = (),
+    limits: SkewLimits = SkewLimits(),
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Every row with a ``__stats`` struct: the global (or per-``by``) moments of
     each sensor, and how many sensors vary at all.
 
-    The global row is a scalar subquery, computed once and shipped as a value.
+    The global row is a scalar subquery, computed once and shipped as a value,
+    from ``source`` where ``df`` is the same rows behind a join.
     """
     moments = _moments([s for s in sensors if s in df.columns])
     varying = total_of(F.coalesce(F.col(c) > 0, F.lit(False)).cast("int") for c in moments if c.endswith("_std"))
     packed = F.struct(*moments, varying.alias("__varying"))
     if by:
         return with_group_totals(df, moments, by, limits).withColumn("__stats", packed).drop(*moments)
-    one = df.agg(*(moment.alias(name) for name, moment in moments.items()))
+    one = (source if source is not None else df).agg(*(moment.alias(name) for name, moment in moments.items()))
     return df.withColumn("__stats", one.select(packed).scalar())
 
 
@@ -78,7 +83,7 @@ def _scored(df, weights, series, stats_by, sensors, limits) -> DataFrame:
     present = [s for s in sensors if s in df.columns]
     if not present:
         return dated.withColumn("health_score", F.lit(100.0))
-    prepared = with_sensor_stats(dated, present, stats_by, limits)
+    prepared = with_sensor_stats(dated, present, stats_by, limits, df)
 
     def deviation(sensor: str) -> Column:
         mean, std = F.col(f"__stats.{sensor}_mean"), F.col(f"__stats.{sensor}_std")

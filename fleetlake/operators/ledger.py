@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from fleetlake.operators.skew import join_on
 from fleetlake.sources.layers import path_exists
 
+SEQUENCE = "sequence"
+#: Where an event stands among those of the same instant.
+BEGUN, ENDED = 0, 1
+
+# --- Fixed values: tables and columns of the ledger ---
 RUN_COUNTERS = (
     "records_ingested",
     "records_silver",
@@ -27,11 +32,11 @@ RUN_SCHEMA = (
     "pipeline_run_id string, pipeline_name string, dataset_id string, started_at timestamp, "
     "completed_at timestamp, status string, "
     + ", ".join(f"{c} bigint" for c in RUN_COUNTERS)
-    + ", error_message string, event_at timestamp"
+    + ", error_message string, event_at timestamp, sequence int"
 )
 TASK_SCHEMA = (
     "pipeline_run_id string, task_name string, started_at timestamp, completed_at timestamp, "
-    "records_processed bigint, status string, event_at timestamp"
+    "records_processed bigint, status string, event_at timestamp, sequence int"
 )
 QUALITY_SCHEMA = (
     "quality_result_id string, pipeline_run_id string, dataset_layer string, dataset_name string, "
@@ -42,6 +47,7 @@ MANIFEST_SCHEMA = (
     "source_file string, file_checksum string, dataset_id string, row_count bigint, "
     "ingested_at timestamp, pipeline_run_id string, status string"
 )
+# --- end of fixed values ---
 SCHEMAS = {
     "pipeline_runs": RUN_SCHEMA,
     "pipeline_task_metrics": TASK_SCHEMA,
@@ -51,9 +57,14 @@ SCHEMAS = {
 
 
 def latest(events: DataFrame, keys: Sequence[str], by: str = "event_at", drop_by: bool = True) -> DataFrame:
-    """Newest non-NULL value of every field per key, combined before the shuffle."""
-    fields = [c for c in events.columns if c not in keys and c != by]
-    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(by))).alias(c) for c in fields]
+    """Newest non-NULL value of every field per key, combined before the shuffle.
+
+    Events of one instant follow their ``sequence``; what is equal in both too
+    is settled by the value, the greatest, so that every run agrees.
+    """
+    fields = [c for c in events.columns if c not in keys and c not in (by, SEQUENCE)]
+    place = [F.col(by)] + ([F.coalesce(SEQUENCE, F.lit(0))] if SEQUENCE in events.columns else [])
+    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*place, F.col(c)))).alias(c) for c in fields]
     if not drop_by:
         newest.append(F.max(by).alias(by))
     return events.groupBy(*keys).agg(*newest)
@@ -166,13 +177,14 @@ class Ledger:
             started_at=now,
             status="RUNNING",
             event_at=now,
+            sequence=BEGUN,
         )
         return run_id
 
     def complete_run(self, run_id: str, status: str, now: datetime | None = None, **fields) -> None:
         """Close a run; counters that are not passed keep what was reported before."""
         now = now or datetime.now(UTC)
-        self._event("pipeline_runs", pipeline_run_id=run_id, status=status, completed_at=now, event_at=now, **fields)
+        self._event("pipeline_runs", pipeline_run_id=run_id, status=status, completed_at=now, event_at=now, sequence=ENDED, **fields)
 
     def start_task(self, run_id: str, task: str, now: datetime | None = None) -> None:
         now = now or datetime.now(UTC)
@@ -183,6 +195,7 @@ class Ledger:
             started_at=now,
             status="RUNNING",
             event_at=now,
+            sequence=BEGUN,
         )
 
     def complete_task(
@@ -197,6 +210,7 @@ class Ledger:
             records_processed=records,
             status=status,
             event_at=now,
+            sequence=ENDED,
         )
 
     def record_results(self, results: DataFrame, layer: str, dataset_name: str) -> None:

@@ -452,8 +452,15 @@ def validate_gold(
     run_id: str = "",
     now: datetime | None = None,
     settings: Settings = Settings(),
-    keys: Sequence[str] = KEY_COLUMNS,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Rows at all, and none twice. Unit ids repeat across data sets, so by
+    default a row is known by unit, cycle, and equipment key or data set where
+    the table has one.
+    """
+    if keys is None:
+        place = next((c for c in ("equipment_key", "dataset_id") if c in df.columns), None)
+        keys = [*KEY_COLUMNS, *([place] if place else [])]
     results = [collect_results(df, [not_empty_check()])]
     if all(k in df.columns for k in KEY_COLUMNS):
         results.append(duplicate_check(df, keys))
@@ -478,7 +485,7 @@ def validate(
     """Run a layer's suite. Results are recorded, not gating, unless ``fail_on`` is set."""
     results = SUITES[layer](df, run_id, now, settings)
     if fail_on:
-        bad = results.filter(F.col("status") == fail_on).select("check_name").limit(20).collect()
+        bad = results.filter(F.col("status") == fail_on).select("check_name").collect()  # a row per check
         if bad:
             raise QualityFailure(f"{layer}: {[r.check_name for r in bad]} are {fail_on}")
     return results

@@ -33,6 +33,8 @@ Stage = Callable[[SeriesWindow], Mapping[str, Column | str]]
 _PARTITION_BITS = 33
 
 SCRATCH = "__"
+#: Rows of a partition of a global rank.
+RANKED_ROWS = 1_000_000
 
 
 def _with_position(
@@ -346,9 +348,12 @@ def _from_unit_edge(df, name, edge, combine, series, limits) -> DataFrame:
 def global_rank(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None) -> DataFrame:
     """``row_number`` over all rows without a single-partition window.
 
-    ``order`` must leave no ties, so that every run ranks alike.
+    ``order`` must leave no ties, so that every run ranks alike. Unless given,
+    the number of partitions grows with the rows, ``RANKED_ROWS`` for each.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-df.count() // RANKED_ROWS))
     return _with_position(df, order, name, (), partitions)
 
 

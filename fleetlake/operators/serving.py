@@ -22,8 +22,13 @@ def fleet_metrics(summary: DataFrame, digits: int = 1) -> DataFrame:
 
 
 def health_histogram(summary: DataFrame, bins: int = 20, low: float = 0.0, high: float = 100.0) -> DataFrame:
-    """(bin, bin_start, units) over equal bins; the top edge belongs to the last one."""
-    bucket = F.least(F.width_bucket("health_score", F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
+    """(bin, bin_start, units) over equal bins; the top edge belongs to the last one.
+
+    Scores below ``low`` are in bin 0, those above ``high`` in bin ``bins`` + 1.
+    """
+    score = F.col("health_score")
+    placed = F.width_bucket(score, F.lit(low), F.lit(high), F.lit(bins))
+    bucket = F.when(score == high, F.lit(bins)).otherwise(placed)
     counted = summary.filter(F.col("health_score").isNotNull()).groupBy(bucket.cast("bigint").alias("bin"))
     width = (high - low) / bins
     return counted.agg(F.count(F.lit(1)).alias("units")).select(
@@ -76,13 +81,13 @@ def status_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
 
 
-def raw_sensor_columns(columns: Sequence[str], limit: int = 10) -> list[str]:
-    """The first sensor columns that are readings and not features."""
+def raw_sensor_columns(columns: Sequence[str], limit: int | None = None) -> list[str]:
+    """The sensor columns that are readings and not features; a view that shows few passes ``limit``."""
     raw = [c for c in columns if c.startswith("sensor_") and "_rolling" not in c and "_rate" not in c]
     return raw[:limit]
 
 
-def select_sensors(df: DataFrame, limit: int = 10) -> DataFrame:
+def select_sensors(df: DataFrame, limit: int | None = None) -> DataFrame:
     return df.select("unit_id", "cycle", *raw_sensor_columns(df.columns, limit))
 
 

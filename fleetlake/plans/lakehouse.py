@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from fleetlake.operators.health import dim_equipment, equipment_health, equipmen
 from fleetlake.operators.ledger import Ledger, skip_ingested
 from fleetlake.operators.quality import range_violations, validate
 from fleetlake.operators.silver import quarantined_duplicates, to_silver
-from fleetlake.settings import Settings
+from fleetlake.settings import Paths, Settings
 from fleetlake.sinks.tables import (
     file_row_counts,
     quarantine_duplicates,
@@ -25,10 +25,14 @@ from fleetlake.sinks.tables import (
     write_gold,
     write_silver,
 )
-from fleetlake.sources.layers import discover_sources, read_layer, read_split
+from fleetlake.sources.layers import discover_sources, path_exists, read_layer, read_split
 from fleetlake.sources.text import scan_rul_text, scan_sensor_text, source_checksums
 
 
+class EmptySource(ValueError):
+    """A source without a line, or with blank lines only."""
+
+
 def ingest(
     spark: SparkSession,
     settings: Settings,
@@ -42,30 +46,45 @@ def ingest(
     Bronze is written first and the manifest last, and a file replaces its own
     partition only, so a run that died in between can simply be repeated.
     """
-    now = now or datetime.now(UTC)
     paths = settings.paths
     sources = discover_sources(spark, paths.source_dir, dataset_ids or [settings.default_dataset_id])
+    return land_sources(spark, sources, paths, ledger, run_id, settings.column_names, now)
+
+
+def land_sources(
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    paths: Paths,
+    ledger: Ledger,
+    run_id: str,
+    columns: Sequence[str],
+    now: datetime | None = None,
+) -> dict[str, int]:
+    """Land whole sources, ``{name: path of a file or a folder of parts}``, that the manifest does not hold yet."""
+    now = now or datetime.now(UTC)
     if not sources:
         return {}
-    candidates = source_checksums(spark, [path for parts in sources.values() for path in parts])
-    # a row per source, like the list of files that Spark itself keeps
-    new = {r.source_file: r for r in skip_ingested(candidates, ledger.manifest()).collect()}
+    candidates = source_checksums(spark, list(sources.values()))
+    checksums = {r.source_file: r.file_checksum for r in candidates.collect()}  # a row per source
+    if empty := sorted(set(sources) - set(checksums)):
+        raise EmptySource(f"no lines in {', '.join(empty)}")
+    found = spark.createDataFrame(list(checksums.items()), "source_file string, file_checksum string")
+    new = {r.source_file: r for r in skip_ingested(found, ledger.manifest()).collect()}
     results = dict.fromkeys(sources, 0)
-    readings = [path for name in new for path in sources[name] if not name.startswith("RUL")]
-    lives = [path for name in new for path in sources[name] if name.startswith("RUL")]
+    readings = [sources[name] for name in new if not name.startswith("RUL")]
+    lives = [sources[name] for name in new if name.startswith("RUL")]
     written = []
     if readings:
-        scanned = scan_sensor_text(spark, readings, run_id, now, settings.column_names)
-        written.append(write_bronze(scanned, paths))
+        written.append(write_bronze(scan_sensor_text(spark, readings, run_id, now, columns), paths))
     if lives:
         written.append(write_bronze_rul(scan_rul_text(spark, lives, run_id, now), paths))
     if not written:
         return results
     known = F.col("source_file").isin(list(new))
     counts = {r.source_file: r.row_count for path in written for r in _counts(spark, path, known)}
-    entries = [
-        (name, r.file_checksum, counts.get(name, 0), now, run_id) for name, r in new.items()
-    ]
+    if blank := sorted(set(new) - set(counts)):
+        raise EmptySource(f"no readings in {', '.join(blank)}")
+    entries = [(name, r.file_checksum, counts[name], now, run_id) for name, r in new.items()]
     manifest = spark.createDataFrame(
         entries,
         "source_file string, file_checksum string, row_count bigint, ingested_at timestamp, pipeline_run_id string",
@@ -75,6 +94,8 @@ def ingest(
 
 
 def _counts(spark: SparkSession, path: str, known) -> list:
+    if not path_exists(spark, path):  # nothing but blank sources so far
+        return []
     return file_row_counts(read_layer(spark, path).filter(known)).collect()
 
 
@@ -102,20 +123,26 @@ def end_to_end(
     more than the tasks at hand. Quality results are recorded and do not stop
     the run unless ``fail_on`` names a status.
     """
-    now = now or datetime.now(UTC)
+    began = datetime.now(UTC)
+    now = now or began
+
+    def clock() -> datetime:
+        """The caller's time, running."""
+        return now + (datetime.now(UTC) - began)
+
     paths = settings.paths
     ids = list(dataset_ids or [settings.default_dataset_id])
     ledger = Ledger(spark, paths.metadata_dir)
     run_id = ledger.create_run("sensor_lakehouse", ",".join(ids), now)
 
     def step(name: str, work: Callable[[], int]) -> int:
-        ledger.start_task(run_id, name)
+        ledger.start_task(run_id, name, clock())
         try:
             records = work()
         except Exception:
-            ledger.complete_task(run_id, name, "FAILED")
+            ledger.complete_task(run_id, name, "FAILED", now=clock())
             raise
-        ledger.complete_task(run_id, name, "SUCCESS", records)
+        ledger.complete_task(run_id, name, "SUCCESS", records, clock())
         return records
 
     def bronze() -> DataFrame:
@@ -144,18 +171,20 @@ def end_to_end(
 
     def validate_bronze() -> int:
         check(bronze(), "bronze", "sensor_readings")
-        if failures("range"):
-            quarantine_range_violations(range_violations(bronze(), settings.ranges), paths, True)
+        found = failures("range")
+        quarantine_range_violations(range_violations(bronze(), settings.ranges), paths, found, ids)
         return 0
 
     def clean() -> int:
         write_silver(to_silver(bronze(), settings, now), paths)
-        if failures("duplicate"):
-            quarantine_duplicates(quarantined_duplicates(bronze(), limits=settings.limits), paths, True)
+        found = failures("duplicate")
+        quarantine_duplicates(quarantined_duplicates(bronze(), limits=settings.limits), paths, found, ids)
         return silver().count()
 
     def derive() -> int:
-        write_features(ml_features(silver(), settings.features, limits=settings.limits), paths)
+        # Features are partitioned by data set: those of other runs stay. Scores rest on statistics over all.
+        own = silver().filter(F.col("dataset_id").isin(ids))
+        write_features(ml_features(own, settings.features, limits=settings.limits), paths)
         written = write_gold(health_tables(silver(), settings, now), paths)
         health = read_layer(spark, written["fact_equipment_health"])
         write_gold({"equipment_health_summary": equipment_summary(health, silver(), now)}, paths)
@@ -175,6 +204,7 @@ def end_to_end(
         ledger.complete_run(
             run_id,
             "SUCCESS",
+            clock(),
             quality_checks_passed=counts.passed,
             quality_checks_failed=counts.failed,
             **totals,
@@ -192,6 +222,6 @@ def end_to_end(
         step("validate_gold", validate_gold)
         step("update_metrics", rollup)
     except Exception as error:
-        ledger.complete_run(run_id, "FAILED", error_message=str(error)[:1000], **totals)
+        ledger.complete_run(run_id, "FAILED", clock(), error_message=str(error), **totals)
         raise
     return run_id

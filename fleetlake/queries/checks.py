@@ -287,12 +287,19 @@ def validate_silver(spark, sf):
 GOLD_ROW = _result("gold_not_empty", "completeness", "CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END", "n", "0")
 
 
+SHARED_CTE = """shared AS (SELECT dataset_id, unit_id, cycle FROM clean
+  UNION ALL SELECT 'FD009' AS dataset_id, unit_id, cycle FROM clean)"""
+
+
 @query(
     "validate_gold",
-    with_ctes(V.CLEAN) + _all(f"{GOLD_ROW} FROM (SELECT count(*) AS n FROM clean)", _duplicate("clean", "unit_id, cycle")),
+    with_ctes(V.CLEAN, SHARED_CTE)
+    + _all(f"{GOLD_ROW} FROM (SELECT count(*) AS n FROM shared)", _duplicate("shared", "unit_id, cycle, dataset_id")),
 )
 def validate_gold(spark, sf):
-    return _plain(Q.validate_gold(V.clean(spark, sf), "run-1", NOW))
+    """A table in which every unit id belongs to two data sets, as unit ids do."""
+    clean = V.clean(spark, sf)
+    return _plain(Q.validate_gold(clean.unionByName(clean.withColumn("dataset_id", F.lit("FD009"))), "run-1", NOW))
 
 
 STATUS_SQL = "CASE WHEN value < 100 THEN 'PASS' WHEN value < 300 THEN 'WARN' ELSE 'FAIL' END"

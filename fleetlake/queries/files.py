@@ -135,15 +135,14 @@ def _lake(spark, name: str):
 @query(
     "discover_files",
     with_ctes(V.FULL)
-    + """SELECT source_file, count(*) AS first_rows, CAST(0 AS BIGINT) AS second_rows FROM full_readings
-WHERE dataset_id IN ('FD001', 'FD002') GROUP BY source_file""",
+    + """SELECT source_file, count(*) AS first_rows, CAST(0 AS BIGINT) AS second_rows FROM full_readings GROUP BY source_file""",
 )
 def discover_files(spark, sf):
     """Rows per source of an ingest, and of a second one that skips them all."""
     settings, ledger = _lake(spark, "discover")
     write_sources(V.full(spark, sf), settings.paths.source_dir)
-    first = lakehouse.ingest(spark, settings, ledger, "run-1", ["FD001", "FD002"], NOW)
-    second = lakehouse.ingest(spark, settings, ledger, "run-2", ["FD001", "FD002"], NOW)
+    first = lakehouse.ingest(spark, settings, ledger, "run-1", settings.dataset_ids, NOW)
+    second = lakehouse.ingest(spark, settings, ledger, "run-2", settings.dataset_ids, NOW)
     rows = [(name, first[name], second[name]) for name in first]
     return spark.createDataFrame(rows, "source_file string, first_rows bigint, second_rows bigint")
 
@@ -165,20 +164,31 @@ def ingest(spark, sf):
 @query(
     "incremental_ingest",
     with_ctes(V.FULL)
-    + "SELECT source_file, count(*) AS row_count, count(*) AS stored FROM full_readings GROUP BY source_file",
+    + f"SELECT {NUMBERS}, {SOURCE} AS source_file, dataset_id, row_number() OVER (PARTITION BY dataset_id "
+    "ORDER BY unit_id % 3 = 2, unit_id, cycle) AS source_row_number, CAST(0 AS BIGINT) AS taken_again FROM full_readings",
 )
 def incremental(spark, sf):
-    """Two runs of the stream, the second after more sources arrived."""
+    """Sources in parts: two runs of the stream, the second after each source got
+    another part and a stray file came by, then a batch ingest that finds all done.
+    """
     settings, ledger = _lake(spark, "stream")
     paths, checkpoint = settings.paths, scratch_path(spark, "stream-checkpoint")
     readings = V.full(spark, sf)
-    for run, datasets in (("run-1", (1, 2)), ("run-2", (3, 4))):
-        write_sources(readings, paths.source_dir, datasets=datasets)
-        incremental_ingest(spark, paths.source_dir, paths, ledger, checkpoint, run)
-    stored = K.file_row_counts(R.read_layer(spark, f"{paths.bronze_dir}/sensor_readings"))
-    return ledger.manifest().select("source_file", "row_count").join(
-        stored.withColumnRenamed("row_count", "stored"), "source_file"
-    )
+    for run in (1, 2):
+        late = (F.col("unit_id") % 3 == 2) == F.lit(run == 2)
+        for number in (1, 2, 3, 4):
+            rows = readings.filter(late & (F.col("dataset_id") == f"FD00{number}")).select(*READING_COLUMNS)
+            line = rows.coalesce(1).sortWithinPartitions("unit_id", "cycle").select(F.concat_ws("  ", *rows.columns))
+            if not line.isEmpty():
+                written = scratch_path(spark, "part")
+                line.write.text(written)
+                R.move_path(spark, spark.read.text(written).inputFiles()[0], f"{paths.source_dir}/train_FD00{number}.txt/part-{run}")
+        readings.limit(3).select(F.lit("not a source")).coalesce(1).write.mode("append").text(f"{paths.source_dir}/readme.txt")
+        incremental_ingest(spark, paths.source_dir, paths, ledger, checkpoint, f"run-{run}")
+    again = sum(lakehouse.ingest(spark, settings, ledger, "run-3", settings.dataset_ids, NOW).values())
+    bronze = R.read_layer(spark, f"{paths.bronze_dir}/sensor_readings")
+    stored = bronze.select(*READING_COLUMNS, "source_file", "dataset_id", "source_row_number")
+    return rounded(stored.withColumn("taken_again", F.lit(again).cast("bigint")))
 
 
 @query("read_parquet", f"SELECT l_orderkey, {r('l_tax + 0.0', 'l_tax')} FROM lineitem")
@@ -212,11 +222,11 @@ def read_layer(spark, sf):
     return R.read_split(spark, path, "train", ["unit_id", "cycle", "source_row_number"])
 
 
-@query("scan_silver_glob", with_ctes(V.MULTI) + "SELECT dataset_id, unit_id, cycle FROM multi WHERE dataset_id = 'FD002'")
+@query("scan_silver_glob", with_ctes(V.MULTI) + "SELECT dataset_id, unit_id, cycle FROM multi")
 def scan_silver_glob(spark, sf):
     path = scratch_path(spark, "silver")
     K.write_layer(V.multi(spark, sf), path, ["dataset_id"])
-    return R.read_layer(spark, path).filter("dataset_id = 'FD002'").select("dataset_id", "unit_id", "cycle")
+    return R.read_layer(spark, path).select("dataset_id", "unit_id", "cycle")
 
 
 @query("write_parquet", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
@@ -251,7 +261,9 @@ def silver_sink(spark, sf):
 )
 def quarantine_duplicates_sink(spark, sf):
     settings, _ = _lake(spark, "quarantine")
-    path = K.quarantine_duplicates(split_duplicates(V.hourly(spark, sf))[1], settings.paths)
+    copies = split_duplicates(V.hourly(spark, sf))[1]
+    for ids in (["FD001", "FD002"], ["FD003", "FD004"]):  # two runs; the second keeps what the first found
+        path = K.quarantine_duplicates(copies.filter(F.col("dataset_id").isin(ids)), settings.paths, True, ids)
     return R.read_layer(spark, path, ["unit_id", "cycle", "source_row_number"])
 
 
@@ -266,7 +278,8 @@ def quarantine_ranges_sink(spark, sf):
 
     settings, _ = _lake(spark, "quarantine")
     violations = range_violations(V.multi(spark, sf), {"sensor_03": SensorRange(0.0, 90.0)})
-    path = K.quarantine_range_violations(violations, settings.paths)
+    for ids in (["FD001", "FD002"], ["FD003", "FD004"]):
+        path = K.quarantine_range_violations(violations.filter(F.col("dataset_id").isin(ids)), settings.paths, True, ids)
     return rounded(R.read_layer(spark, path, ["unit_id", "cycle", "dataset_id", "value"]))
 
 

@@ -350,11 +350,11 @@ def line_tasks(spark, sf):
     ]
     begun = lines.select(
         *keys, start.alias("started_at"), F.lit("RUNNING").alias("status"),
-        F.struct(F.unix_micros(start).alias("at"), F.lit(0).alias("kind"), F.col("l_partkey").alias("tie")).alias("event_at"),
+        start.alias("event_at"), F.lit(G.BEGUN).alias("sequence"),
     )
     ended = lines.select(
         *keys, end.alias("completed_at"), F.lit("SUCCESS").alias("status"), F.col("l_partkey").alias("records_processed"),
-        F.struct(F.unix_micros(end).alias("at"), F.lit(1).alias("kind"), F.col("l_partkey").alias("tie")).alias("event_at"),
+        end.alias("event_at"), F.lit(G.ENDED).alias("sequence"),
     )
     return begun.unionByName(ended, allowMissingColumns=True)
 

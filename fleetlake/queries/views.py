@@ -196,7 +196,8 @@ def sql_spike(column: str, rule: SpikeRule = SPIKES, order: str = SERIES) -> str
     )
     return (
         f"coalesce(count({column}) {f} >= {n} AND max({column}) {f} > min({column}) {f} "
-        f"AND abs({column} - avg({column}) {f}) > {rule.sigma} * stddev_samp({column}) {f}, false)"
+        f"AND abs({column} - avg({column}) {f}) > {rule.sigma} * stddev_samp({column}) {f} "
+        f"+ {rule.tolerance} * greatest(abs({column}), abs(avg({column}) {f})), false)"
     )
 
 

@@ -155,11 +155,17 @@ class HealthWeights:
 
 @dataclass(frozen=True)
 class SpikeRule:
-    """``exclude_current`` tests a point against the rows before it only."""
+    """``exclude_current`` tests a point against the rows before it only.
+
+    A value on the limit is no spike: one has to lie beyond it by more than
+    ``tolerance`` of the larger of value and mean, which is far above what
+    rounding can add and far below what a sensor can tell apart.
+    """
 
     window: int = 10
     sigma: float = 3.0
     exclude_current: bool = False
+    tolerance: float = 1e-9
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.settings import Paths
+from fleetlake.sources.layers import delete_path
+
+BRONZE_PARTITIONS = ("dataset_id", "source_file")
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
@@ -22,12 +25,12 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
 
 
 def write_bronze(readings: DataFrame, paths: Paths) -> str:
-    """One partition per source file, so a repeated ingest replaces instead of adding."""
-    return write_layer(readings.drop("split"), f"{paths.bronze_dir}/sensor_readings", ["source_file"])
+    """One partition per data set and source, so a repeated ingest replaces instead of adding."""
+    return write_layer(readings.drop("split"), f"{paths.bronze_dir}/sensor_readings", BRONZE_PARTITIONS)
 
 
 def write_bronze_rul(rul: DataFrame, paths: Paths) -> str:
-    return write_layer(rul, f"{paths.bronze_dir}/rul", ["source_file"])
+    return write_layer(rul, f"{paths.bronze_dir}/rul", BRONZE_PARTITIONS)
 
 
 def write_silver(silver: DataFrame, paths: Paths) -> str:
@@ -43,23 +46,30 @@ def write_gold(tables: Mapping[str, DataFrame], paths: Paths) -> dict[str, str]:
     return {name: write_layer(df, f"{paths.gold_dir}/analytics/{name}") for name, df in tables.items()}
 
 
-def quarantine(df: DataFrame, paths: Paths, name: str, found: bool | None = None) -> str | None:
-    """Write quarantined rows, only if there are any.
+def quarantine(
+    df: DataFrame, paths: Paths, name: str, found: bool | None = None, dataset_ids: Sequence[str] | None = None
+) -> str | None:
+    """Write quarantined rows, only if there are any; other data sets keep theirs.
 
-    A caller that has the check's result at hand passes ``found`` and saves
-    the look at the data.
+    ``dataset_ids`` are the data sets that were looked at: what an earlier run
+    left of them is cleared, also where this one finds nothing. A caller that
+    has the check's result at hand passes ``found`` and saves the look at the
+    data.
     """
+    path = f"{paths.quarantine_dir}/{name}"
     if found is None:
         found = not df.isEmpty()
-    return write_layer(df, f"{paths.quarantine_dir}/{name}") if found else None
+    for dataset_id in dataset_ids or ():
+        delete_path(df.sparkSession, f"{path}/dataset_id={dataset_id}")
+    return write_layer(df, path, [c for c in ("dataset_id",) if c in df.columns]) if found else None
 
 
-def quarantine_duplicates(copies: DataFrame, paths: Paths, found: bool | None = None) -> str | None:
-    return quarantine(copies, paths, "duplicates", found)
+def quarantine_duplicates(copies: DataFrame, paths: Paths, found: bool | None = None, dataset_ids=None) -> str | None:
+    return quarantine(copies, paths, "duplicates", found, dataset_ids)
 
 
-def quarantine_range_violations(violations: DataFrame, paths: Paths, found: bool | None = None) -> str | None:
-    return quarantine(violations, paths, "sensor_range_violations", found)
+def quarantine_range_violations(violations: DataFrame, paths: Paths, found: bool | None = None, dataset_ids=None) -> str | None:
+    return quarantine(violations, paths, "sensor_range_violations", found, dataset_ids)
 
 
 def file_row_counts(df: DataFrame) -> DataFrame:

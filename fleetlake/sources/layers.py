@@ -4,21 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.functions.columns import source_name
-
 SOURCE_NAMES = ("train_{}.txt", "test_{}.txt", "RUL_{}.txt")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path and the file system it is on."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException:
-        return False
-    return True
+    """Asked of the file system; nothing is listed."""
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, system = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file, making the folders above its new name."""
+    place, system = _file_system(spark, target)
+    system.mkdirs(place.getParent())
+    system.rename(_file_system(spark, path)[0], place)
 
 
 def read_layer(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,10 +72,8 @@ def require_source(spark: SparkSession, path: str) -> str:
     return path
 
 
-def discover_sources(spark: SparkSession, source_dir: str, dataset_ids: Sequence[str]) -> dict[str, list[str]]:
-    """Files of each train, test and RUL source that exists, by source name."""
+def discover_sources(spark: SparkSession, source_dir: str, dataset_ids: Sequence[str]) -> dict[str, str]:
+    """Path of each train, test and RUL source that exists, a file or a folder of parts, by source name."""
     require_source(spark, source_dir)
-    wanted = [name.format(d) for d in dataset_ids for name in SOURCE_NAMES]
-    files = list_files(spark, source_dir, "*.txt").withColumn("name", source_name(F.col("path")))
-    found = files.filter(F.col("name").isin(wanted)).select("name", "path").collect()
-    return {name: sorted(r.path for r in found if r.name == name) for name in wanted if any(r.name == name for r in found)}
+    wanted = {name.format(d): f"{source_dir.rstrip('/')}/{name.format(d)}" for d in dataset_ids for name in SOURCE_NAMES}
+    return {name: path for name, path in wanted.items() if path_exists(spark, path)}

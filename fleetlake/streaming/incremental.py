@@ -3,46 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlake.operators.ledger import Ledger
+from fleetlake.plans.lakehouse import land_sources
 from fleetlake.settings import READING_COLUMNS, Paths
-from fleetlake.sinks.tables import write_bronze, write_bronze_rul
-from fleetlake.sources.text import (
-    hashed_lines,
-    rul_rows,
-    sensor_rows,
-    with_dataset,
-    with_origin,
-    with_row_numbers,
-)
 
+#: A source's path, a file's own or that of the folder its parts are in.
+SOURCE = r"^(.*/((?:train|test|RUL)_FD\d{3}\.txt))(?:/[^/]*)?$"
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
-def stream_lines(spark: SparkSession, source_dir: str, pattern: str = "*.txt") -> DataFrame:
-    """Lines of files not seen before, in one batch, so that no source is split over two."""
-    reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-    return with_origin(reader.text(source_dir))
 
+def stream_sources(spark: SparkSession, source_dir: str, pattern: str = "*") -> DataFrame:
+    """Names and paths of sources with a file not seen before; files of other names are passed over.
 
-def land_batch(
-    lines: DataFrame, paths: Paths, ledger: Ledger, run_id: str, columns: Sequence[str] = READING_COLUMNS
-) -> None:
-    """Write one batch of whole files. Repeating a batch replaces what it wrote."""
-    now = datetime.now(UTC)
-    is_rul = F.col("source_file").startswith("RUL")
-    write_bronze(sensor_rows(lines.filter(~is_rul), run_id, now, columns), paths)
-    write_bronze_rul(rul_rows(lines.filter(is_rul), run_id, now), paths)
-    numbered = with_row_numbers(lines)
-    counts = numbered.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
-    hashed = hashed_lines(numbered).select("source_file", "file_checksum")
-    files = with_dataset(counts.join(hashed, "source_file")).withColumns(
-        {"ingested_at": F.lit(now).cast("timestamp"), "pipeline_run_id": F.lit(run_id)}
+    Only paths are read here. A source that is a folder of parts is named by
+    each of its new parts.
+    """
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE)
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
     )
-    ledger.record_ingestion(files)
+    name, path = (F.regexp_extract("path", SOURCE, i) for i in (2, 1))
+    return reader.load(source_dir).select(name.alias("source_file"), path.alias("source_path")).filter("source_file <> ''")
 
 
 def incremental_ingest(
@@ -52,20 +40,26 @@ def incremental_ingest(
     ledger: Ledger,
     checkpoint: str,
     run_id: str = "",
-    pattern: str = "*.txt",
+    pattern: str = "*",
     columns: Sequence[str] = READING_COLUMNS,
 ) -> StreamingQuery:
     """Ingest everything that is new, then stop.
 
-    The checkpoint remembers paths, so a file changed under its old name is
-    left to the batch ingest, whose manifest compares contents.
+    A batch says which sources were touched; each of them lands whole, the way
+    the batch ingest lands it and with the same manifest. So a source to which
+    parts are added keeps its earlier rows, a repeated batch changes nothing,
+    and a later batch ingest finds all of it done. The checkpoint remembers
+    paths: a file changed under its old name is left to the batch ingest, whose
+    manifest compares contents.
     """
 
     def land(batch: DataFrame, _: int) -> None:
-        land_batch(batch, paths, ledger, run_id, columns)
+        touched = batch.groupBy("source_file").agg(F.min("source_path").alias("path")).orderBy("source_file")
+        sources = {r.source_file: r.path for r in touched.collect()}  # a row per source
+        land_sources(spark, sources, paths, ledger, run_id, columns)
 
     query = (
-        stream_lines(spark, source_dir, pattern)
+        stream_sources(spark, source_dir, pattern)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

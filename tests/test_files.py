@@ -93,10 +93,48 @@ def test_checksums(spark, tmp_path):
     path = tmp_path / "train_FD001.txt"
     path.write_bytes(b"hello world")
     assert T.file_checksums(spark, str(path)).first().file_checksum == hashlib.sha256(b"hello world").hexdigest()
-    assert T.source_checksums(spark, str(path)).first().file_checksum == hashlib.sha256(b"hello world").hexdigest()
-    by_lines = T.file_checksums(spark, str(path), max_bytes=4).first().file_checksum
-    path.write_bytes(b"hello there")
-    assert T.file_checksums(spark, str(path), max_bytes=4).first().file_checksum != by_lines
+    seen = set()
+    for content in (b"hello world", b"hello there", b" hello there", b"hello there\n\n", b"\nhello there", b"there\nhello", b"hello\nthere"):
+        path.write_bytes(content)
+        by_lines = T.file_checksums(spark, str(path), "lines").first().file_checksum
+        assert T.source_checksums(spark, str(path)).first().file_checksum == by_lines
+        seen.add(by_lines)
+    assert len(seen) == 7
+    with pytest.raises(ValueError, match="unknown checksum"):
+        T.file_checksums(spark, str(path), "size")
+
+
+def test_checksum_of_a_source_does_not_depend_on_its_parts(spark, tmp_path):
+    lines = [f"{i} {i * i}" for i in range(1000)]
+    whole, parts = tmp_path / "a" / "train_FD001.txt", tmp_path / "b" / "train_FD001.txt"
+    whole.parent.mkdir()
+    parts.mkdir(parents=True)
+    whole.write_text("\n".join(lines) + "\n")
+    for n in range(4):
+        (parts / f"part-{n}").write_text("\n".join(lines[n * 250 : n * 250 + 250]) + "\n")
+    found = {T.source_checksums(spark, str(p)).first().file_checksum for p in (whole, parts)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    found |= {T.source_checksums(spark, str(p)).first().file_checksum for p in (whole, parts)}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found) == 1
+
+
+def test_empty_source_is_named(spark, lake):
+    open(f"{lake.paths.source_dir}/train_FD002.txt", "w").close()
+    ledger = G.Ledger(spark, lake.paths.metadata_dir)
+    with pytest.raises(lakehouse.EmptySource, match="train_FD002"):
+        lakehouse.ingest(spark, lake, ledger, "run-1", ["FD002"], NOW)
+
+
+def test_equal_stamps_and_a_future_run(spark, lake):
+    later = datetime(2100, 1, 1)
+    run = lakehouse.end_to_end(spark, lake, ["FD001"], later)
+    ledger = G.Ledger(spark, lake.paths.metadata_dir)
+    assert ledger.runs().filter(F.col("pipeline_run_id") == run).first().status == "SUCCESS"
+    ledger.start_task("r", "t", later)
+    ledger.complete_task("r", "t", "SUCCESS", 3, later)
+    task = ledger.tasks().filter("pipeline_run_id = 'r'").first()
+    assert (task.status, task.records_processed, task.duration_seconds) == ("SUCCESS", 3, 0.0)
 
 
 def test_ingest_is_idempotent(spark, lake):
