@@ -92,6 +92,17 @@ def _row(
     )
 
 
+def _facts(**values) -> Column:
+    """What a check measured and against what, as JSON that ``from_json`` reads back; NULL facts are left out."""
+
+    def column(value) -> Column:
+        if isinstance(value, (list, tuple)):
+            return F.array(*(F.lit(v) for v in value))
+        return value if isinstance(value, Column) else F.lit(value)
+
+    return F.to_json(F.struct(*(column(v).alias(name) for name, v in values.items())))
+
+
 def _total() -> Column:
     return F.col("__total")
 
@@ -115,28 +126,27 @@ def collect_results(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def required_columns(df: DataFrame, include_metadata: bool = True) -> Check:
     required = READING_COLUMNS + (METADATA_COLUMNS if include_metadata else ())
     missing = [c for c in required if c not in df.columns]
-    return _schema_check("required_columns", "FAIL", "Missing columns", missing)
+    return _schema_check("required_columns", "FAIL", missing)
 
 
 def column_types(df: DataFrame) -> Check:
     wrong = [
-        f"{f.name}: expected {'integer' if EXPECTED_TYPES[f.name] is WHOLE else 'floating'}, "
-        f"got {f.dataType.simpleString()}"
+        f"{f.name} {f.dataType.simpleString()}"
         for f in df.schema.fields
         if f.name in EXPECTED_TYPES and not isinstance(f.dataType, EXPECTED_TYPES[f.name])
     ]
-    return _schema_check("column_types", "FAIL", "Type mismatches", wrong)
+    return _schema_check("column_types", "FAIL", wrong)
 
 
 def unexpected_columns(df: DataFrame, include_metadata: bool = True) -> Check:
     known = {*READING_COLUMNS, *SILVER_COLUMNS, *(METADATA_COLUMNS if include_metadata else ())}
     extra = [c for c in df.columns if c not in known]
-    return _schema_check("unexpected_columns", "WARN", "Unexpected columns", extra)
+    return _schema_check("unexpected_columns", "WARN", extra)
 
 
-def _schema_check(name: str, bad_status: str, label: str, findings: list[str]) -> Check:
-    if findings:
-        return Check(_count(), _row(name, "schema", bad_status, details=f"{label}: {findings}"))
+def _schema_check(name: str, bad_status: str, columns: list[str]) -> Check:
+    if columns:
+        return Check(_count(), _row(name, "schema", bad_status, details=_facts(columns=columns)))
     return Check(_count(), _row(name, "schema", "PASS", _total()))
 
 
@@ -154,7 +164,7 @@ def _nulls(column: str) -> dict[str, Column]:
 def null_check(df: DataFrame, column: str) -> Check:
     name = f"null_{column}"
     if column not in df.columns:
-        return Check(_count(), _row(name, "completeness", "FAIL", details=f"Column {column} not found"))
+        return Check(_count(), _row(name, "completeness", "FAIL", details=_facts(absent=[column])))
     nulls = F.col(f"__null_{column}")
     status = F.when(nulls == 0, "PASS").otherwise("FAIL")
     return Check({**_count(), **_nulls(column)}, _row(name, "completeness", status, _total(), nulls))
@@ -171,7 +181,7 @@ def completeness_check(column: str, threshold: float = COMPLETENESS_THRESHOLD) -
         status,
         _total(),
         nulls,
-        F.format_string(f"completeness=%.4f, threshold={threshold}", share),
+        _facts(share=F.round(share, 6), least=threshold),
     )
     return Check({**_count(), **_nulls(column)}, row)
 
@@ -194,7 +204,7 @@ def duplicate_check(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Data
     """One result row. Counts every copy; keys are combined before the shuffle."""
     keys_present = [k for k in keys if k in df.columns]
     if not keys_present:
-        missing = _row("duplicate_records", "duplicate", "WARN", details=f"None of the key columns {list(keys)} found")
+        missing = _row("duplicate_records", "duplicate", "WARN", details=_facts(absent=list(keys)))
         return collect_results(df, [Check(_count(), missing)])
     copies = df.groupBy(*keys_present).agg(F.count(F.lit(1)).alias("__n"))
     failed = F.col("__failed")
@@ -204,7 +214,7 @@ def duplicate_check(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Data
         F.when(failed == 0, "PASS").otherwise("FAIL"),
         _total(),
         failed,
-        f"key_columns={keys_present}",
+        _facts(keys=keys_present),
     )
     measures = {
         "__total": F.coalesce(F.sum("__n"), F.lit(0)),
@@ -230,7 +240,7 @@ def range_check(sensor: str, bounds: SensorRange) -> Check:
     name = f"__outside_{sensor}"
     failed = F.col(name)
     status = _graded(failed, RANGE_FAIL_PERCENT)
-    row = _row(f"range_{sensor}", "range", status, _total(), failed, f"range=[{bounds.min}, {bounds.max}]")
+    row = _row(f"range_{sensor}", "range", status, _total(), failed, _facts(low=bounds.min, high=bounds.max))
     return Check({**_count(), name: F.count_if(outside(sensor, bounds))}, row)
 
 
@@ -294,15 +304,13 @@ def freshness_check(
     """
     name, limit = f"freshness_{layer}", freshness.hours(layer)
     if column not in df.columns:
-        return Check(_count(), _row(name, "freshness", "FAIL", details=f"Timestamp column {column} not found"))
+        return Check(_count(), _row(name, "freshness", "FAIL", details=_facts(absent=[column])))
     kind = df.schema[column].dataType
     newest = F.col("__newest")
     if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        details = F.when(_total() == 0, "Dataset is empty").when(newest.isNull(), "All timestamp values are null")
+        details = _facts(rows=_total(), stamped=newest.isNotNull(), type=kind.simpleString())
         status = F.when((_total() == 0) | newest.isNull(), "FAIL").otherwise("WARN")
-        row = _row(
-            name, "freshness", status, details=details.otherwise(f"Timestamp type not datetime: {kind.simpleString()}")
-        )
+        row = _row(name, "freshness", status, details=details)
         return Check({**_count(), "__newest": F.max(column)}, row)
     moment = F.col(column)
     if isinstance(kind, T.TimestampNTZType):
@@ -317,11 +325,7 @@ def freshness_check(
         .when(age <= 2 * limit, "WARN")
         .otherwise("FAIL")
     )
-    details = (
-        F.when(_total() == 0, "Dataset is empty")
-        .when(newest.isNull(), "All timestamp values are null")
-        .otherwise(F.format_string(f"age_hours=%.2f, threshold={limit}h", age))
-    )
+    details = _facts(rows=_total(), stamped=newest.isNotNull(), age_hours=F.round(age, 4), limit_hours=limit)
     checked = F.when(newest.isNotNull(), _total()).otherwise(0)
     return Check({**_count(), "__newest": F.max(micros)}, _row(name, "freshness", status, checked, 0, details))
 
@@ -331,16 +335,14 @@ def freshness_check(
 
 def _gap_row(units: Column) -> Column:
     failed = F.col("gaps")
-    details = F.concat(
-        F.lit("Found "), failed.cast("string"), F.lit(" cycle gaps across "), units.cast("string"), F.lit(" units")
-    )
+    details = _facts(gaps=failed, units=units)
     status = F.when(failed == 0, "PASS").otherwise("WARN")
     return _row("cycle_gaps", "cycle_gap", status, _total(), failed, details)
 
 
 def _spike_row(sensor: str, rule: SpikeRule) -> Column:
     failed = F.col(f"spikes_{sensor}")
-    details = f"window={rule.window}, sigma={rule.sigma}"
+    details = _facts(window=rule.window, sigma=rule.sigma)
     return _row(f"spike_{sensor}", "spike", _graded(failed, SPIKE_FAIL_PERCENT), _total(), failed, details)
 
 
@@ -442,7 +444,7 @@ def validate_silver(
 
 
 def not_empty_check() -> Check:
-    details = F.concat(F.lit("Gold dataset has "), _total().cast("string"), F.lit(" records"))
+    details = _facts(rows=_total())
     status = F.when(_total() > 0, "PASS").otherwise("FAIL")
     return Check(_count(), _row("gold_not_empty", "completeness", status, _total(), details=details))
 
