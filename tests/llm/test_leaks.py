@@ -30,6 +30,8 @@ def brute(docs, items):
             grams = lambda x: Counter(tuple(x[j : j + size]) for j in range(max(1, len(x) - size + 1)))
             want, best = grams(v), (0.0, 0)
             inside = set(want)
+            if inside.isdisjoint(grams(w)):
+                continue
             for s in range(max(1, len(w) - len(v) + 1)):
                 window = w[s : s + len(v)]
                 have = grams(window)
