@@ -14,6 +14,7 @@ from fleetlake.operators.health import dim_equipment, equipment_health, equipmen
 from fleetlake.operators.ledger import Ledger, skip_ingested
 from fleetlake.operators.quality import range_violations, validate
 from fleetlake.operators.silver import quarantined_duplicates, to_silver
+from fleetlake.plans.marts import STORED, build_marts, write_marts
 from fleetlake.settings import Paths, Settings
 from fleetlake.sinks.tables import (
     file_row_counts,
@@ -190,10 +191,17 @@ def end_to_end(
         write_gold({"equipment_health_summary": equipment_summary(health, silver(), now)}, paths)
         return read_layer(spark, f"{paths.gold_dir}/ml_features").count()
 
+    def marts() -> int:
+        tables = {n: read_layer(spark, f"{paths.gold_dir}/analytics/{n}") for n in ("fact_equipment_health", "equipment_health_summary")}
+        written = write_marts(build_marts(silver(), *tables.values(), settings.limits), paths)
+        return read_layer(spark, written["fact_sensor_readings"]).count()
+
     def validate_gold() -> int:
         check(read_layer(spark, f"{paths.gold_dir}/ml_features"), "gold", "ml_features")
         for name in ("dim_equipment", "fact_equipment_health", "equipment_health_summary"):
             check(read_layer(spark, f"{paths.gold_dir}/analytics/{name}"), "gold", name)
+        for name in STORED:
+            check(read_layer(spark, f"{paths.gold_dir}/marts/{name}"), "gold", f"marts/{name}")
         return 0
 
     def rollup() -> int:
@@ -219,6 +227,7 @@ def end_to_end(
         totals["records_silver"] = step("transform_silver", clean)
         step("validate_silver", lambda: check(silver(), "silver", "sensor_readings"))
         totals["records_gold"] = step("generate_ml_features", derive)
+        step("build_marts", marts)
         step("validate_gold", validate_gold)
         step("update_metrics", rollup)
     except Exception as error:

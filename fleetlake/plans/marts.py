@@ -1,7 +1,9 @@
-"""The SQL marts: one temp view per model, built on the skew-safe operators."""
+"""The SQL marts: one temp view per model, some of them stored, built on the skew-safe operators."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,11 @@ from fleetlake.settings import (
     SETTING_COLUMNS,
     SENSOR_COLUMNS,
     UNIQUE_SERIES,
+    Paths,
     Series,
     SkewLimits,
 )
+from fleetlake.sinks.tables import write_layer
 
 # --- Fixed values: which sensors the marts follow, and how ---
 ROLLING = {
@@ -104,11 +108,9 @@ def fact_sensor_readings(staged: DataFrame, dim: DataFrame, limits: SkewLimits =
     """
     keys = ["unit_id", "dataset_id"]
     keyed = dim.select(*keys, "equipment_key")
-    profile = profile_groups(staged, keys, limits)
-    small = keyed.limit(limits.broadcast_groups + 1).count() <= limits.broadcast_groups
-    if small:
+    if keyed.limit(limits.broadcast_groups + 1).count() <= limits.broadcast_groups:
         joined = staged.join(F.broadcast(keyed), keys, "inner")
-    elif not profile.hot_groups:
+    elif not (profile := profile_groups(staged, keys, limits)).hot_groups:
         joined = staged.join(keyed, keys, "inner")
     else:
         rest, hot = split_hot(staged, profile, keys)
@@ -200,5 +202,14 @@ def build_marts(
     return marts
 
 
+#: Models that are stored; the others are views.
+STORED = ("dim_equipment", "fact_sensor_readings", "fact_equipment_health", "dataset_quality_health_summary")
+
+
+def write_marts(marts: Mapping[str, DataFrame], paths: Paths) -> dict[str, str]:
+    """Write the stored models below gold and hand back their paths."""
+    return {name: write_layer(marts[name], f"{paths.gold_dir}/marts/{name}") for name in STORED}
+
+
 def keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("equipment_key", equipment_key(df.columns))

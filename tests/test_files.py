@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.operators import ledger as G
 from fleetlake.plans import lakehouse
+from fleetlake.plans.marts import STORED
 from fleetlake.settings import READING_COLUMNS, Paths, Settings, load_features, load_sensor_ranges
 from fleetlake.sinks import tables as K
 from fleetlake.sources import layers as R
@@ -131,6 +132,10 @@ def test_equal_stamps_and_a_future_run(spark, lake):
     run = lakehouse.end_to_end(spark, lake, ["FD001"], later)
     ledger = G.Ledger(spark, lake.paths.metadata_dir)
     assert ledger.runs().filter(F.col("pipeline_run_id") == run).first().status == "SUCCESS"
+    marts = lake.paths.gold_dir + "/marts"
+    rows = {name: R.read_layer(spark, f"{marts}/{name}").count() for name in STORED}
+    assert rows["dim_equipment"] == 3 and rows["dataset_quality_health_summary"] == 1
+    assert rows["fact_equipment_health"] == R.read_layer(spark, f"{lake.paths.silver_dir}/sensor_readings").count()
     ledger.start_task("r", "t", later)
     ledger.complete_task("r", "t", "SUCCESS", 3, later)
     task = ledger.tasks().filter("pipeline_run_id = 'r'").first()
@@ -169,7 +174,7 @@ def test_end_to_end(spark, lake):
     results = ledger.quality_results()
     assert run.quality_checks_passed == results.filter("status = 'PASS'").count() > 0
     # 74 for bronze, 30 for silver, and for gold one or two per table
-    assert results.count() == 74 + 30 + 2 + 1 + 2 + 1
+    assert results.count() == 74 + 30 + (2 + 1 + 2 + 1) + (1 + 2 + 1 + 1)
     assert {t.status for t in ledger.tasks().collect()} == {"SUCCESS"}
     gold = f"{lake.paths.gold_dir}/analytics"
     health = R.read_layer(spark, f"{gold}/fact_equipment_health")
