@@ -51,7 +51,7 @@ class Index:
     centroids: np.ndarray
     probes: int
     seeds: np.ndarray
-    part_of: list[list[int]] | None = None  # the parts of each list
+    parts: list[tuple[int, int]] | None = None  # the first part of each list, and how many it has
     sizes: np.ndarray | None = None  # classes of each list
 
 
@@ -145,16 +145,20 @@ def nearest(
     sizes = np.zeros(len(index.centroids), np.int64)
     for row in placed.groupBy("list").count().collect():  # no more rows than lists
         sizes[row.list] = row["count"]
-    index.sizes, index.part_of = sizes, _packed(sizes)
+    index.sizes, index.parts = sizes, _packed(sizes)
 
     asks = asked.select("class").distinct().join(classes.select("class", "v"), "class")
     probing = stored(asks.select("class", "v").mapInArrow(_probe(index, k), "part int, class long, v array<double>, lists array<int>, least double"), "probes")
-    blocks = {r.part: -(-r["count"] // BLOCK_ROWS) for r in probing.groupBy("part").count().collect()}  # a row for each part
-    table = placed.select("v", "class", "list").mapInArrow(_spread(index, blocks), "part int, block int, v array<double>, class long, list int")
-    block = F.pmod(F.xxhash64("class"), F.element_at(_literal_map(blocks), F.col("part"))).cast("int")
+    # A row for each part; Spark broadcasts them while they prove few.
+    blocks = probing.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    parted = placed.select("v", "class", "list").mapInArrow(_part(index), "part int, v array<double>, class long, list int")
+    table = parted.join(blocks, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    asking = probing.join(blocks, "part").withColumn("block", block)
     found = (
-        table.groupBy("part", "block")
-        .cogroup(probing.withColumn("block", block).groupBy("part", "block"))
+        table.drop("blocks")
+        .groupBy("part", "block")
+        .cogroup(asking.drop("blocks").groupBy("part", "block"))
         .applyInArrow(_searcher(index, k), "query long, class long, score double")
     )
     # Best classes first, then their ids.
@@ -176,24 +180,19 @@ def nearest(
     )
 
 
-def _literal_map(values: dict[int, int]) -> Column:
-    pairs = [F.lit(x) for item in values.items() for x in item]
-    return F.create_map(*pairs) if pairs else F.create_map(F.lit(0), F.lit(1))
-
-
-def _packed(sizes: np.ndarray) -> list[list[int]]:
-    """Neighbouring lists share a part; a list too large for one has several to itself."""
+def _packed(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Neighbouring lists share a part; a list too large for one has several to itself. (first, how many) of each."""
     out, part, room = [], 0, PART_ROWS
     for size in sizes.tolist():
         if size > PART_ROWS:
             n = -(-size // PART_ROWS)
             start = part + (room < PART_ROWS)
-            out.append(list(range(start, start + n)))
+            out.append((start, n))
             part, room = start + n, PART_ROWS
             continue
         if size > room:
             part, room = part + 1, PART_ROWS
-        out.append([part])
+        out.append((part, 1))
         room -= size
     return out
 
@@ -215,7 +214,8 @@ def _probe(index: Index, k: int):
                 for i, query in enumerate(batch.column(0).to_pylist()):
                     by_part: dict[int, list[int]] = {}
                     for at in order[i, : max(index.probes, enough[i])].tolist():
-                        for part in index.part_of[at]:
+                        first, several = index.parts[at]
+                        for part in range(first, first + several):
                             by_part.setdefault(part, []).append(at)
                     for part, lists in by_part.items():
                         for column, value in zip(out, (part, query, vectors[i], lists, float(least[i]))):
@@ -228,23 +228,15 @@ def _probe(index: Index, k: int):
     return run
 
 
-def _spread(index: Index, blocks: dict[int, int]):
-    """Each vector to its part, once for each block of the part's queries."""
+def _part(index: Index):
+    """The part of each vector; a list with several deals them out by class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = np.array(index.parts, np.int64)
         for batch in batches:
-            rows, parts, numbers = [], [], []
-            for i, (key, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                choices = index.part_of[at]
-                part = choices[key % len(choices)]
-                for n in range(blocks.get(part, 0)):
-                    rows.append(i)
-                    parts.append(part)
-                    numbers.append(n)
-            taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int32()), pa.array(numbers, pa.int32()), *taken.columns], ["part", "block", "v", "class", "list"]
-            )
+            first, several = places[batch.column(2).to_numpy()].T
+            part = first + batch.column(1).to_numpy() % several
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *batch.columns], ["part", "v", "class", "list"])
 
     return run
 
