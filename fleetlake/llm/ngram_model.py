@@ -1,38 +1,43 @@
 """Language model whose n-gram counts live in a log-frequency Bloom filter.
 
-Words are counted over the training rows. The ``CLASSES`` most frequent ones
-are classes of their own, all others share one. Pairs of neighbouring classes
-are counted, and a pair counted c times puts the levels 1 to 1 + log2 c into a
-Bloom filter, which goes to every worker. A pair's count is found by probing
-level after level until one is missing. It is smoothed towards the frequency of
-the second class; a word of the shared class then counts by its own frequency.
-
-Exact counts of the ``HEAD`` most frequent words go to every worker too; those
-of all other words are joined.
+Every word is a word of its own, known by a 64-bit hash. Words and pairs of
+neighbouring words are counted over all training rows. The key space is cut into
+parts, as many as the training text asks for; a part holds the exact counts of
+its words and a Bloom filter of its pairs, in which a pair counted c times has
+the levels 1 to 1 + log2 c. Each filter is sized by the levels counted for it.
+
+Nothing of the model goes through the driver or to every worker. Texts are
+scored in batches: the distinct words and pairs of a batch are sent to the parts
+they belong to, and counts and levels come back to the batch. A pair's count is
+found by probing level after level until one is missing, and is smoothed towards
+the frequency of its second word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import by_bytes, spare, stored
 from fleetlake.llm.words import MULTIPLIER, mixed, split_words, word_hashes
 
-#: Pairs number at most (CLASSES + 3) ** 2, which bounds the filter whatever the corpus.
-CLASSES, HEAD = 2048, 65_536
+#: Words among which ``classes`` looks for the most frequent.
+HEAD = 65_536
 PIECES, BITS_PER_ENTRY, PROBES = 64, 12, 6
-#: Weight of the class frequencies, in tokens.
+#: Bytes of training text for each part of the model.
+PART_BYTES = 10_000_000
+#: Weight of the word frequencies, in tokens.
 PRIOR = 200.0
-BATCH_BYTES = 4_000_000
-#: No word holds a blank, so this stands for the end of a text.
-END = b" "
+BATCH_BYTES, BATCH_TOKENS = 4_000_000, 3_000_000
+#: No word holds a blank: these stand for the end of a text, its start, and words without a class of their own.
+END, START, SHARED = b" ", b"  ", b"   "
 #: Head words fall into buckets of counts this many to a doubling.
 STEPS = 8
 
@@ -52,18 +57,33 @@ class Filter:
             found &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         return found
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """About the count of each key: the middle of its level, 0 if no level is there."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         while len(alive):
             alive = alive[self.holds(keys[alive], int(level[alive[0]]) + 1)]
             level[alive] += 1
-        return np.where(level < 2, level, 1.5 * 2.0 ** (level - 1) - 0.5)
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """About the count of each key: the middle of its level, 0 if no level is there."""
+        return middle(self.levels(keys))
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    return np.where(level < 2, level, 1.5 * 2.0 ** (level - 1) - 0.5)
 
 
-def level_of(count: Column) -> Column:
-    return (F.floor(F.log2(count.cast("double")) + 1e-9) + 1).cast("int")
+def built(keys: np.ndarray, counts: np.ndarray) -> Filter:
+    top = np.floor(np.log2(counts) + 1e-9).astype(np.int64) + 1
+    width = -(-int(top.sum()) * BITS_PER_ENTRY // (PIECES * 64)) * 64 + 64
+    bits = np.zeros(PIECES * width, bool)
+    base = piece_of(keys) * width
+    for level in range(1, int(top.max(initial=0)) + 1):
+        mine = top >= level
+        for at in positions(keys[mine], level, width):
+            bits[base[mine] + at] = True
+    return Filter(np.packbits(bits, bitorder="little"), width)
 
 
 def piece_of(keys: np.ndarray) -> np.ndarray:
@@ -79,83 +99,129 @@ def positions(keys: np.ndarray, level: int, width: int) -> Iterator[np.ndarray]:
         yield (spread * np.uint64(width) >> np.uint64(32)).astype(np.int64)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as their bytes, plane by plane, each compressed."""
+    planes = numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8).T
+    used = (int(numbers.max(initial=0)).bit_length() + 7) // 8
+    out = [len(numbers).to_bytes(8, "little"), bytes([used])]
+    for plane in planes[:used]:
+        data = pa.compress(plane.tobytes(), "zstd", asbytes=True)
+        out += [len(data).to_bytes(4, "little"), data]
+    return b"".join(out)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, used, at = int.from_bytes(data[:8], "little"), data[8], 9
+    planes = np.zeros((n, 8), np.uint8)
+    for i in range(used):
+        size = int.from_bytes(data[at : at + 4], "little")
+        plane = pa.decompress(data[at + 4 : at + 4 + size], n, "zstd", asbytes=True)
+        planes[:, i] = np.frombuffer(plane, np.uint8)
+        at += 4 + size
+    return planes.reshape(-1).view(np.uint64)
+
+
+def packed_set(ascending: np.ndarray) -> bytes:
+    return packed(np.diff(ascending, prepend=np.uint64(0)))
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
+
+
+def _one(word: bytes) -> np.uint64:
+    return word_hashes([word])[0]
+
+
+def _tokens(texts: list[str]) -> np.ndarray:
+    """Hashes of all tokens of a batch; each text ends with the end."""
+    words: list[bytes] = []
+    for text in texts:
+        words += split_words(text)
+        words.append(END)
+    return word_hashes(words)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray]]:
+    """Rows with the tokens of their texts, about ``BATCH_TOKENS`` at a time."""
+    rows: list[pa.RecordBatch] = []
+    hashes: list[np.ndarray] = []
+    for batch in by_bytes(batches, text, BATCH_BYTES):
+        rows.append(batch)
+        hashes.append(_tokens(batch.column(text).to_pylist()))
+        if sum(map(len, hashes)) >= BATCH_TOKENS:
+            yield rows, np.concatenate(hashes)
+            rows, hashes = [], []
+    if rows:
+        yield rows, np.concatenate(hashes)
+
+
+def _classed(hashes: np.ndarray, own: np.ndarray | None) -> np.ndarray:
+    """The hashes of the words that count as themselves, one hash for all others."""
+    if own is None:
+        return hashes
+    return np.where(np.isin(hashes, own) | (hashes == _one(END)), hashes, _one(SHARED))
+
+
+def _before(tokens: np.ndarray, ends: np.ndarray, start) -> np.ndarray:
+    """For each token the one before it; ``start`` at the start of a text."""
+    out = np.empty_like(tokens)
+    out[1:] = tokens[:-1]
+    out[:1] = start
+    out[ends[:-1] + 1] = start
+    return out
+
+
+def pair_keys(hashes: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+    """For each token a key of 48 bits for the word before it and itself."""
+    ends = np.flatnonzero(hashes == _one(END))
+    classes = _classed(hashes, own)
+    return mixed(_before(classes, ends, _one(START)) * MULTIPLIER + classes) >> np.uint64(16)
+
+
+def _bounds(ascending: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """Where each part's keys, of so many bits, begin, and where the last end: a part is a range of the upper 32 bits."""
+    of = (ascending >> np.uint64(bits - 32)) * np.uint64(parts) >> np.uint64(32)
+    return np.searchsorted(of, np.arange(parts + 1).astype(np.uint64))
+
+
 @dataclass
 class Model:
-    """What every worker gets: arrays of bounded size, and a few totals."""
+    """A few totals; ``own`` only if classes were asked for."""
 
+    parts: int
     tokens: int  # N
     distinct: int  # V
     texts: int
-    head: np.ndarray  # hashes, sorted
-    head_counts: np.ndarray
-    head_class: np.ndarray  # class of each head word
-    class_counts: np.ndarray
-    filter: Filter | None = None
+    own: np.ndarray | None = None  # hashes, sorted
+    own_tokens: int = 0
 
     @property
     def classes(self) -> int:
-        """Words of their own; then come the shared class, the end and the start."""
-        return len(self.class_counts) - 3
-
-    @property
-    def shared(self) -> tuple[int, int]:
-        """Tokens and distinct words of the shared class."""
-        distinct = self.distinct - self.classes - (self.texts > 0)
-        return int(self.class_counts[self.classes]), max(0, distinct)
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each word stands in the head, and whether it does."""
-        if not len(self.head):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
-        return at, self.head[at] == hashes
-
-    def classed(self, at: np.ndarray, found: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.full(len(at), self.classes, np.int64)
-        if len(self.head):
-            out = np.where(found, self.head_class[at], out)
-        out[ends] = self.classes + 1
-        return out
-
-    def pairs(self, classes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """For each token the key of the class before it and its own."""
-        before = np.empty_like(classes)
-        before[1:] = classes[:-1]
-        if len(before):
-            before[0] = self.classes + 2
-        before[ends[:-1] + 1] = self.classes + 2
-        return (before * len(self.class_counts) + classes).astype(np.uint64)
-
-    def log_classes(self, keys: np.ndarray) -> np.ndarray:
-        """log10 of each pair's smoothed probability."""
-        unique, where = np.unique(keys, return_inverse=True)
-        before, after = np.divmod(unique.astype(np.int64), len(self.class_counts))
-        seen = self.filter.counts(unique) if self.filter else np.zeros(len(unique))
-        frequency = (self.class_counts[after] + 1) / (self.tokens + len(self.class_counts))
-        context = self.class_counts[before]
-        seen = np.minimum(seen, np.minimum(context, self.class_counts[after]))
-        return np.log10((seen + PRIOR * frequency) / (context + PRIOR))[where]
-
-    def log_shared(self, count: np.ndarray) -> np.ndarray:
-        tokens, distinct = self.shared
-        return np.log10((count + 1) / (tokens + distinct + 1))
-
-
-def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of a batch, and the places of the ends."""
-    words: list[bytes] = []
-    ends = []
-    for text in texts:
-        words += split_words(text)
-        ends.append(len(words))
-        words.append(END)
-    return word_hashes(words), np.array(ends, np.int64)
+        """Words that count as themselves, without the end."""
+        return self.distinct - (self.texts > 0) if self.own is None else len(self.own)
+
+    def values(self, hashes: np.ndarray, where: np.ndarray, counts: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """log10 of each token's smoothed probability; ``where`` finds its word among ``hashes`` and ``counts``."""
+        ends = np.flatnonzero(hashes[where] == _one(END))
+        of_class, extra = counts, np.zeros(len(counts))
+        if self.own is not None:
+            tokens = self.tokens - self.own_tokens - self.texts
+            distinct = max(0, self.distinct - len(self.own) - (self.texts > 0))
+            shared = _classed(hashes, self.own) == _one(SHARED)
+            of_class = np.where(shared, tokens, counts)
+            extra = np.where(shared, np.log10((counts + 1) / (tokens + distinct + 1)), 0.0)
+        after = of_class[where]
+        context = _before(after, ends, self.texts)
+        frequency = (after + 1) / (self.tokens + self.classes + 3)
+        seen = np.minimum(seen, np.minimum(context, after))
+        return np.log10((seen + PRIOR * frequency) / (context + PRIOR)) + extra[where]
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 0, BATCH_BYTES):
-            words, n = np.unique(_tokens(batch.column(0).to_pylist())[0], return_counts=True)
+            words, n = np.unique(_tokens(batch.column(0).to_pylist()), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
     return texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -182,71 +248,80 @@ def _head(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Trained:
     model: Model
-    counts: DataFrame
+    parts: DataFrame  # part, words, counts, bits, width
 
 
-def train(docs: DataFrame, training: Column, text: str = "text", classes: int = CLASSES, head: int = HEAD) -> Trained:
-    """Count over all rows where ``training`` holds; NULL texts count as empty ones."""
-    spark = docs.sparkSession
+def train(
+    docs: DataFrame, training: Column, text: str = "text", classes: int | None = None, head: int = HEAD
+) -> Trained:
+    """Count over all rows where ``training`` holds; NULL texts count as empty ones.
+
+    ``classes`` makes a coarser model: only so many of the ``head`` most
+    frequent words count as themselves, all others share one class.
+    """
     texts = docs.where(training).select(F.coalesce(text, F.lit("")).alias("text"))
-    counts = stored(_word_counts(texts), "word-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    words, n = _head(counts, head)
-    end = word_hashes([END])
-    ended = counts.where(F.col("word") == int(end.view(np.int64)[0])).first()
-    ends = ended.n if ended else 0
-    ranked = np.lexsort((words, -n))
-    own = ranked[words[ranked] != end[0]][:classes]
-    head_class = np.full(len(words), len(own), np.int64)
-    head_class[own] = np.arange(len(own))
-    shared = total.n - int(n[own].sum()) - ends
-    class_counts = np.array([*n[own], shared, ends, ends], np.float64)
-    model = Model(total.n, total.v, ends, words, n, head_class, class_counts)
-    model.filter = _filter(spark, texts, model)
-    return Trained(model, counts)
-
-
-def _filter(spark: SparkSession, texts: DataFrame, model: Model) -> Filter | None:
+    parts = _parts_for(texts)
+    own, own_tokens = None, 0
+    if classes is not None:
+        words, n = _head(stored(_word_counts(texts), "word-counts"), head)
+        ranked = np.lexsort((words, -n))
+        ranked = ranked[words[ranked] != _one(END)][:classes]
+        own, own_tokens = np.sort(words[ranked]), int(n[ranked].sum())
+    table = stored(_counted(texts, parts, own), "model-parts")
+    sums = (F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "distinct", "ends"))
+    total = table.agg(*sums).first()
+    model = Model(parts, total.tokens, total.distinct, total.ends, own, own_tokens)
+    return Trained(model, table.drop("tokens", "distinct", "ends"))
+
+
+def _parts_for(texts: DataFrame) -> int:
+    size = texts.agg(F.sum(F.octet_length("text").cast("long") + 1)).first()[0] or 0
+    return max(1, -(-size // PART_BYTES))
+
+
+_COUNTS = "part long, words binary, word_counts binary, pairs binary, pair_counts binary"
+_PART = "part long, words binary, counts binary, bits binary, width long, tokens long, distinct long, ends long"
+
+
+def _arrow(rows: list[tuple], fields: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in fields.split(", ")])
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _counted(texts: DataFrame, parts: int, own: np.ndarray | None) -> DataFrame:
+    """The parts of the model. A batch sends each part one row, its keys once each."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 0, BATCH_BYTES):
-            hashes, ends = _tokens(batch.column(0).to_pylist())
-            keys, n = np.unique(model.pairs(model.classed(*model.find(hashes), ends), ends), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["pair", "n"])
-
-    pairs = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    levels = stored(pairs.select("pair", level_of(F.col("n")).alias("level")), "pair-levels")
-    entries = levels.agg(F.sum("level")).first()[0]
-    if not entries:
-        return None
-    width = -(-entries * BITS_PER_ENTRY // (PIECES * 64)) * 64 + 64
-
-    def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(piece_of(keys)), *batch.columns], ["piece", "pair", "level"])
-
-    def fill(group: pa.Table) -> pa.Table:
-        bits = np.zeros(width, bool)
-        keys, top = group["pair"].to_numpy().view(np.uint64), group["level"].to_numpy()
-        for level in range(1, int(top.max()) + 1):
-            for at in positions(keys[top >= level], level, width):
-                bits[at] = True
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        return pa.table({"piece": [group["piece"][0].as_py()], "bits": [packed]})
-
-    built = (
-        levels.mapInArrow(piece, "piece long, pair long, level int")
-        .groupBy("piece")
-        .applyInArrow(fill, "piece long, bits binary")
-    )
-    bits = np.zeros(PIECES * width // 8, np.uint8)
-    for row in built.toLocalIterator():
-        start = row.piece * width // 8
-        bits[start : start + width // 8] = np.frombuffer(row.bits, np.uint8)
-    return Filter(bits, width)
+        for _, hashes in _gathered(batches, 0):
+            words, n = np.unique(hashes, return_counts=True)
+            pairs, m = np.unique(pair_keys(hashes, own), return_counts=True)
+            w, p = _bounds(words, 64, parts), _bounds(pairs, 48, parts)
+            sent = []
+            for i in np.flatnonzero((w[1:] > w[:-1]) | (p[1:] > p[:-1])):
+                a, b = slice(w[i], w[i + 1]), slice(p[i], p[i + 1])
+                sent.append((int(i), packed_set(words[a]), packed(n[a]), packed_set(pairs[b]), packed(m[b])))
+            yield from _arrow(sent, _COUNTS).to_batches()
+
+    def summed(group: pa.Table, keys: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
+        every = np.concatenate([unpacked_set(x) for x in group[keys].to_pylist()])
+        n = np.concatenate([unpacked(x) for x in group[counts].to_pylist()])
+        unique, where = np.unique(every, return_inverse=True)
+        return unique, np.bincount(where, weights=n, minlength=len(unique)).astype(np.int64)
+
+    def build(group: pa.Table) -> pa.Table:
+        words, n = summed(group, "words", "word_counts")
+        levels = built(*summed(group, "pairs", "pair_counts"))
+        ends = int(n[words == _one(END)].sum())
+        row = (group["part"][0].as_py(), packed_set(words), packed(n), levels.bits.tobytes(), levels.width)
+        return _arrow([(*row, int(n.sum()), len(n), ends)], _PART)
+
+    return texts.mapInArrow(count, _COUNTS).groupBy("part").applyInArrow(build, _PART)
 
 
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+_ASKED = "cell long, batch long, words binary, pairs binary, tokens binary, kept binary"
 
 
 def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -257,83 +332,83 @@ def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str]
     repeated ones too. Columns called like a result keep their values under the
     name with an underscore added. ``keep`` names the columns that stay.
     """
-    spark, model = docs.sparkSession, trained.model
+    model = trained.model
+    parts = model.parts
     columns = docs.columns if keep is None else keep
     names = [spare(c + "_", docs.columns) if c in RESULTS else c for c in columns]
     taken = docs.select(*(docs[c].alias(n) for c, n in zip(columns, names)), F.coalesce(docs[text], F.lit("")).alias("__text"))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in taken.schema.fields[:-1])
-    shared = spark.sparkContext.broadcast(model)
-    parts = ["n_tokens", "__known", "__base", "__score", "__rare"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, len(names), BATCH_BYTES):
-            arrays = _scored(shared.value, batch.column(len(names)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], [*names, *parts])
-
-    schema = f"{kept}n_tokens long, __known long, __base double, __score double, __rare array<struct<word: long, n: long>>"
-    # Written once: the row numbers hold from here on.
-    rows = stored(taken.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("__row", F.explode("__rare").alias("r")).select("__row", F.col("r.word").alias("word"), F.col("r.n").alias("tf"))
-    counts = trained.counts.withColumnRenamed("n", "c")
-    c = F.coalesce("c", F.lit(0)).cast("double")
-    tokens, distinct = model.shared
-    sums = (
-        rare.join(counts, "word", "left")
-        .groupBy("__row")
-        .agg(
-            F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("__known2"),
-            F.sum(F.col("tf") * F.log10((c + 1) / float(model.tokens + model.distinct + 1))).alias("__base2"),
-            F.sum(F.col("tf") * F.log10((c + 1) / float(tokens + distinct + 1))).alias("__score2"),
+    # A part that far more text asks than it was trained on answers in several lanes.
+    lanes = -(-_parts_for(taken.select(F.col("__text").alias("text"))) // (2 * parts))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for k, (rows, hashes) in enumerate(_gathered(batches, len(names))):
+            words, where = np.unique(hashes, return_inverse=True)
+            pairs = np.unique(pair_keys(hashes, model.own))
+            # Known by what it holds, so that answers to a batch that was cut otherwise cannot be mixed up with it.
+            batch = xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=task << 32 | k) >> 2
+            w, p = _bounds(words, 64, parts), _bounds(pairs, 48, parts)
+            sent = []
+            for i in np.flatnonzero((w[1:] > w[:-1]) | (p[1:] > p[:-1])):
+                keys = packed_set(words[w[i] : w[i + 1]]), packed_set(pairs[p[i] : p[i + 1]])
+                sent.append((int(i) * lanes + batch % lanes, batch, *keys, None, None))
+            table = pa.Table.from_batches(rows).select(list(range(len(names))))
+            table = table.append_column("__none", pa.nulls(table.num_rows))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table)
+            # Passes the parts by, as a cell of its own.
+            held = packed_set(words), None, packed(where), sink.getvalue().to_pybytes()
+            yield from _arrow([*sent, (parts * lanes + batch, batch, *held)], _ASKED).to_batches()
+
+    def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
+        held = part.to_pylist()
+        if held:
+            words, counts = unpacked_set(held[0]["words"]), unpacked(held[0]["counts"])
+            levels = Filter(np.frombuffer(held[0]["bits"], np.uint8), held[0]["width"])
+        out = []
+        for row in asked.to_pylist():
+            if row["kept"] is None:
+                mine, pairs = unpacked_set(row["words"]), unpacked_set(row["pairs"])
+                n, level = np.zeros(len(mine), np.uint64), np.zeros(len(pairs), np.int64)
+                if held:
+                    level = levels.levels(pairs)
+                    if len(words):
+                        at = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+                        n = np.where(words[at] == mine, counts[at], np.uint64(0))
+                row |= {"words": packed(n), "pairs": packed(level)}
+            out.append(tuple(row[c.split()[0]] for c in _ASKED.split(", ")))
+        return _arrow(out, _ASKED)
+
+    def finish(group: pa.Table) -> pa.Table:
+        *answers, own = sorted(group.to_pylist(), key=lambda r: r["cell"])
+        if own["kept"] is None or not answers:
+            raise RuntimeError("a batch of texts was cut anew while its words were looked up")
+        hashes, where = unpacked_set(own["words"]), unpacked(own["tokens"]).astype(np.int64)
+        counts = np.concatenate([unpacked(r["words"]) for r in answers]).astype(np.int64)
+        tokens = hashes[where]
+        pairs, of = np.unique(pair_keys(tokens, model.own), return_inverse=True)
+        seen = middle(np.concatenate([unpacked(r["pairs"]) for r in answers]).astype(np.int64))
+        if len(counts) != len(hashes) or len(seen) != len(pairs):
+            raise RuntimeError("a batch of texts was cut anew while its words were looked up")
+        ends = np.flatnonzero(tokens == _one(END))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        base = np.log10((counts + 1) / (model.tokens + model.distinct + 1))
+        table = pa.ipc.open_stream(own["kept"]).read_all().drop_columns(["__none"])
+        results = (
+            np.diff(np.concatenate([starts, [len(tokens)]])),
+            np.add.reduceat((counts > 0)[where].astype(np.int64), starts),
+            np.full(len(starts), model.tokens),
+            np.add.reduceat(base[where], starts),
+            np.add.reduceat(model.values(hashes, where, counts, seen[of]), starts),
         )
-    )
-    zero = F.lit(0)
-    return rows.join(sums, "__row", "left").select(
-        *names,
-        "n_tokens",
-        (F.col("__known") + F.coalesce("__known2", zero)).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("__base") + F.coalesce("__base2", zero)).alias("base_score"),
-        (F.col("__score") + F.coalesce("__score2", zero)).alias("score"),
-    )
-
-
-def _scored(model: Model, texts: list[str]) -> list[pa.Array]:
-    """Of each text: tokens, known ones, both scores without its rare words, and those words."""
-    hashes, ends = _tokens(texts)
-    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
-    at, found = model.find(hashes)
-    classes = model.classed(at, found, ends)
-    count = np.where(found, model.head_counts[at], 0) if len(model.head) else np.zeros(len(at))
-    found[ends] = True
-    count[ends] = model.texts
-    base = np.where(found, np.log10((count + 1) / (model.tokens + model.distinct + 1)), 0.0)
-    value = model.log_classes(model.pairs(classes, ends))
-    value += np.where(found & (classes == model.classes), model.log_shared(count), 0.0)
-    known = (count > 0) & found
-    if not len(texts):
-        return [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), _RARE)]
-    rows = np.repeat(np.arange(len(texts)), np.diff(np.concatenate([starts, [len(hashes)]])))
-    # Equal rare words of a text travel as one.
-    order = np.lexsort((hashes[~found], rows[~found]))
-    row, word = rows[~found][order], hashes[~found][order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(np.concatenate([first, [len(row)]]))
-    offsets = np.searchsorted(row[first], np.arange(len(texts) + 1)).astype(np.int32)
-    pairs = pa.StructArray.from_arrays([pa.array(word[first].view(np.int64)), pa.array(times.astype(np.int64))], ["word", "n"])
-    return [
-        pa.array(np.diff(np.concatenate([starts, [len(hashes)]]))),
-        pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-        pa.array(np.add.reduceat(base, starts)),
-        pa.array(np.add.reduceat(value, starts)),
-        pa.ListArray.from_arrays(pa.array(offsets), pairs),
-    ]
-
-
-_RARE = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
-
-
-def entry_bound(classes: int, tokens: int) -> int:
-    """The most entries the filter can have."""
-    return (classes + 3) ** 2 * (1 + int(log2(max(1, tokens))))
+        for name, values in zip(RESULTS, results):
+            table = table.append_column(name, pa.array(values))
+        return table
+
+    each = trained.parts.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    held = each.select((F.col("part") * lanes + F.col("lane")).alias("cell"), "words", "counts", "bits", "width")
+    answered = taken.mapInArrow(ask, _ASKED).groupBy("cell").cogroup(held.groupBy("cell")).applyInArrow(answer, _ASKED)
+    schema = f"{kept}n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return answered.groupBy("batch").applyInArrow(finish, schema)

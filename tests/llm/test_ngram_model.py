@@ -108,3 +108,47 @@ def test_empty(spark):
     r = N.score(df, nothing).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.base_score == 0.0
     assert N.score(df.limit(0), nothing).count() == 0
+
+
+def test_every_word_has_its_own_pairs(spark, monkeypatch):
+    """Against full bigram counts, over more words than any fixed number of classes, in many parts and batches."""
+    monkeypatch.setattr(N, "PART_BYTES", 9_000)
+    rng = np.random.default_rng(3)
+    after = {i: rng.integers(0, 3000, 2) for i in range(3000)}
+    texts = []
+    for _ in range(60):
+        words, w = [], int(rng.integers(0, 3000))
+        for _ in range(int(rng.integers(0, 300))):
+            words.append(f"w{w}")
+            w = int(rng.choice(after[w])) if rng.random() < 0.9 else int(rng.integers(0, 3000))
+        texts.append(" ".join(words))
+    texts += [None, texts[0], "never seen before", "w1 " * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    trained = N.train(df, F.col("doc_id") % 4 != 1)
+    assert trained.model.parts > 3
+    training = [t for i, t in enumerate(texts) if i % 4 != 1]
+    got = {r.doc_id: r for r in N.score(df, trained).collect()}
+    assert len(got) == len(texts)
+    # A false hit of the filter, one pair in some hundreds, lifts a score a little.
+    apart = [got[i].score - exact_score(t, training, 10**9) for i, t in enumerate(texts)]
+    assert min(apart) > -1e-6 and sum(a < 1e-6 for a in apart) > 0.6 * len(texts)
+    assert max(a / got[i].n_tokens for i, a in enumerate(apart)) < 0.05
+    again = {r.doc_id: r.score for r in N.score(df.where("doc_id % 4 != 1").unionAll(df.where("doc_id % 4 = 1")), trained).collect()}
+    assert again == pytest.approx({i: r.score for i, r in got.items()})
+
+
+def test_model_grows_with_the_words(spark):
+    """More distinct words, more entries."""
+    sizes = []
+    for n in (4_000, 16_000):
+        rows = [(i, " ".join(f"w{j}" for j in range(i, i + 400))) for i in range(0, n, 400)]
+        parts = N.train(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).parts
+        sizes.append(parts.agg(F.sum("width")).first()[0])
+    assert sizes[1] > 3 * sizes[0]
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 1000):
+        x = np.sort(rng.integers(0, 2**64, n, np.uint64))
+        assert (N.unpacked(N.packed(x)) == x).all() and (N.unpacked_set(N.packed_set(x)) == x).all()
