@@ -30,14 +30,14 @@ def id_hash(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string")) % divisor
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write to a fresh folder below the shared one and read it back.
 
     Cuts the lineage: later passes read files, and rows numbered on the way
     keep their numbers when an executor is lost.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

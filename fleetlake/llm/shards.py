@@ -29,8 +29,8 @@ WORDS = 3
 ROW_BYTES = 16
 #: How far a boundary may lie from its place, in parts of a shard.
 TOLERANCE = 0.002
-#: Rows that one task numbers.
-ROWS_PER_TASK = 500_000
+#: Rows, and bytes, that one task sorts and numbers.
+ROWS_PER_TASK, BYTES_PER_TASK = 500_000, 64_000_000
 
 
 @dataclass(frozen=True)
@@ -76,16 +76,16 @@ def shard_by_bytes(
         F.monotonically_increasing_id().alias("__row"),
     )
     # Written once: the row numbers hold from here on.
-    rows = stored(keyed, "shard-rows").withColumn("__w2", F.xxhash64("__row"))
+    rows = stored(keyed, "shard-rows", "zstd").withColumn("__w2", F.xxhash64("__row"))
     splitters = _splitters(rows, n_shards, tolerance)
     placed = rows.withColumn("shard", _shard(splitters))
-    count = rows.count()
-    tasks = max(n_shards, -(-count // ROWS_PER_TASK))
+    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(n_shards, -(-count // ROWS_PER_TASK), -(-total // BYTES_PER_TASK))
     order = ["shard", "__w0", "__w1", "__w2"]
     # The one exchange; a range holds part of one shard or of neighbours, in order.
     spread = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     numbered = stored(
-        spread.drop("__w0", "__w1", "__w2", "__row").withColumn("__n", F.monotonically_increasing_id()), "shards"
+        spread.drop("__w0", "__w1", "__w2", "__row").withColumn("__n", F.monotonically_increasing_id()), "shards", "zstd"
     )
     part = F.shiftright("__n", 33)
     starts = (
@@ -97,8 +97,8 @@ def shard_by_bytes(
         )
         .select("shard", "__part", (F.coalesce("__offset", F.lit(0)) - F.col("__first")).alias("__shift"))
     )
-    # A row for each shard and task; Spark broadcasts it if it proves small enough when it is there.
-    joined = numbered.withColumn("__part", part).join(starts, ["shard", "__part"])
+    # No more rows than tasks and shards together: broadcast, so that the texts are not exchanged again.
+    joined = numbered.withColumn("__part", part).join(F.broadcast(starts), ["shard", "__part"])
     return joined.select(
         *names.values(), "size", "shard", (F.col("__n") + F.col("__shift")).cast("long").alias("slot")
     )

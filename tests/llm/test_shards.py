@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
-from fleetlake.llm.shards import TOLERANCE, shard_by_bytes
+from fleetlake.llm import queries, shards
+from fleetlake.llm.shards import TOLERANCE, shard_by_bytes, write_shards
 
 
 def frame(spark, rows):
@@ -58,3 +60,28 @@ def test_few_rows(spark, docs):
 def test_very_long_text(spark):
     docs = [(0, "x" * 500_000, None)] + [(i, f"t{i}", None) for i in range(1, 50)]
     held(shard_by_bytes(frame(spark, docs), 3).collect(), docs, 3)
+
+
+def test_query_moves_whole_documents(spark, monkeypatch, tmp_path):
+    sharded = []
+
+    def kept(*args, **named):
+        sharded.append(shard_by_bytes(*args, **named))
+        return sharded[0]
+
+    monkeypatch.setattr(queries, "shard_by_bytes", kept)
+    sf = "/root/testdata/sf0.001"
+    rows = queries.QUERIES["op10_sharding"].run(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert set(docs.columns) < set(sharded[0].columns)
+    write_shards(sharded[0], str(tmp_path / "shards"))
+    written = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter(written.select(*docs.columns).collect()) == Counter(docs.collect())
+    placed = {(r.doc_id, zlib.crc32(r.text.encode()) if r.text is not None else None, r.shard, r.slot) for r in written.collect()}
+    assert {(r.doc_id, r.text_crc32, r.shard, r.slot) for r in rows} == placed
+
+
+def test_many_bytes_take_more_tasks_than_shards(spark, monkeypatch):
+    monkeypatch.setattr(shards, "BYTES_PER_TASK", 5_000)
+    docs = [(i, f"text {i} " * 20, None) for i in range(500)]
+    held(shard_by_bytes(frame(spark, docs), 3).collect(), docs, 3)
