@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from fleetlake.llm.common import by_bytes, spare
 
@@ -138,35 +139,41 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -
 def train(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Network | None:
     """Fit on a bounded sample of the rows where ``training`` holds; None if there are none.
 
-    Of each of the ``LANGUAGES`` most frequent languages, about ``per_language``
+    Of each of the ``LANGUAGES`` languages with most texts, about ``per_language``
     texts are taken by a hash of their row, and from each at most ``PER_TEXT``
-    windows, spread evenly over the whole text.
+    windows, spread evenly over the whole text. Copies of a text count once.
     """
     usable = docs.where(training & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    usable = usable.select(lang, text, F.xxhash64(lang, text).alias("__hash"))
     counts = {
         r[0]: r[1]
-        for r in usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()
+        for r in usable.select(lang, "__hash")
+        .distinct()
+        .groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()
     }
     if not counts:
         return None
     parts = 1 << 20
     share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(parts, parts * per_language // n + 1))))
-    mine = F.pmod(F.xxhash64(*(F.col(c) for c in (lang, text))), F.lit(parts)) < F.element_at(share, F.col(lang))
-    sample = usable.where(F.col(lang).isin(list(counts)) & mine).select(lang, text)
+    mine = F.pmod("__hash", F.lit(parts)) < F.element_at(share, F.col(lang))
+    sample = usable.where(F.col(lang).isin(list(counts)) & mine).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[str, bytes]] = []
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: list[tuple[str, int, bytes]] = []
+            for name, value, key in zip(*(c.to_pylist() for c in batch.columns)):
                 view, _ = windows_of(value)
                 chosen = np.unique(np.linspace(0, len(view) - 1, PER_TEXT).astype(int))
-                out += [(name, view[i].tobytes()) for i in chosen]
+                out += [(name, key, view[i].tobytes()) for i in chosen]
+            types = (pa.string(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.binary())], ["lang", "window"]
+                [pa.array([o[i] for o in out], t) for i, t in enumerate(types)], ["lang", "hash", "window"]
             )
 
-    # The shares hold on average; the limit binds only if many rows are copies of one another.
-    rows = sample.mapInArrow(cut, "lang string, window binary").limit(2 * PER_TEXT * (per_language + 16) * len(counts)).collect()
+    # The shares hold on average; each language is bounded by itself.
+    text_number = F.dense_rank().over(W.partitionBy("lang").orderBy("hash"))
+    windows = sample.mapInArrow(cut, "lang string, hash long, window binary").withColumn("n", text_number)
+    rows = windows.where(F.col("n") <= 2 * (per_language + 16)).select("lang", "window").collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.window)))
     languages = sorted({r.lang for r in rows})
     if not languages:

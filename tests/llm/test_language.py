@@ -68,3 +68,14 @@ def test_edges(spark):
     assert nothing is None
     assert {r.lang_pred for r in L.predict(df, nothing).collect()} == {"und"}
     assert L.predict(df.limit(0), net).count() == 0
+
+
+def test_copies_take_no_share_of_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(L, "fit", lambda x, y, languages: taken.append((x, y, languages)))
+    rows = [("one and the same text", "en")] * 3000
+    rows += [(f"text number {i}", "en") for i in range(200)] + [(f"der text {i}", "de") for i in range(200)]
+    L.train(spark.createDataFrame(rows, "text string, lang string"), F.lit(True), per_language=300)
+    x, y, languages = taken[0]
+    windows = [(languages[j], bytes(w).rstrip(b"\0").decode()) for w, j in zip(x, y)]
+    assert sorted(windows) == sorted({(lang, text) for text, lang in rows})
