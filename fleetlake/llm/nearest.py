@@ -92,10 +92,11 @@ def nearest(
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row where ``queries`` holds.
 
     The score is the inner product in double precision; ties go to the smaller
-    id. A query's own id is no candidate. Rows with a NULL id, or a vector that
+    id. A query's own row is no candidate. Rows with a NULL id, or a vector that
     is NULL, empty, zero, holds a NULL or non-finite component or has not the
     most frequent length (of equally frequent ones the greatest), take no part.
-    Repeated rows count once; of different vectors of one id the least stands.
+    Repeated rows count once; different vectors of one id are rows of their own,
+    as candidates and as queries.
     With ``k`` candidates or fewer all are returned. An empty table gives no
     rows. Other columns of ``vectors`` are not read.
     """
@@ -108,10 +109,10 @@ def nearest(
     if lengths is None:
         return spark.createDataFrame([], schema)
     rows = stored(
-        marked.where(F.size("v") == lengths.n).groupBy("vec_id").agg(F.min("v").alias("v"), F.bool_or("asks").alias("asks")),
+        marked.where(F.size("v") == lengths.n).groupBy("vec_id", "v").agg(F.bool_or("asks").alias("asks")),
         "vectors",
     )
-    # A class is known by its least id. Only its k + 1 least ids can matter, and they are cut before the exchange.
+    # Classes are numbered in the order of their least ids. Only a class's k + 1 least ids can matter, and they are cut before the exchange.
     first = F.row_number().over(W.partitionBy("v").orderBy("vec_id"))
     classes = stored(
         rows.select("vec_id", "v")
@@ -119,7 +120,8 @@ def nearest(
         .where(F.col("n") <= k + 1)
         .groupBy("v")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .withColumn("class", F.element_at("ids", 1)),
+        .orderBy(F.element_at("ids", 1), "v")
+        .withColumn("class", F.monotonically_increasing_id()),
         "vector-classes",
     )
     asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "v")
@@ -164,15 +166,15 @@ def nearest(
     # Best classes first, then their ids.
     best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "class"))
     hits = found.withColumn("n", best).where(F.col("n") <= k + 1).drop("n")
-    ids = hits.join(classes.select("class", "ids"), "class").select("query", "score", F.explode("ids").alias("vec_id"))
-    ranked = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    ids = hits.join(classes.select("class", "ids"), "class").select("query", "score", "class", F.explode("ids").alias("vec_id"))
+    ranked = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "class"))
     answers = (
         ids.withColumn("n", ranked)
         .where(F.col("n") <= k + 1)
         .groupBy("query")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("hits"))
+        .agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score", F.col("class").alias("of")))).alias("hits"))
     )
-    own = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
+    own = F.slice(F.filter("hits", lambda h: (h["vec_id"] != F.col("query_id")) | (h["of"] != F.col("class"))), 1, k)
     return (
         asked.join(answers.withColumnRenamed("query", "class"), "class")
         .select("query_id", F.posexplode(own).alias("at", "hit"))

@@ -80,3 +80,12 @@ def test_edges(spark):
     assert [r.vec_id for r in sorted(few, key=lambda r: r.rank)] == [5, 4, 3, 2]
     assert A.nearest(df.limit(0), F.lit(True)).count() == 0
     assert A.nearest(df.where("vec_id = 1"), F.lit(True)).count() == 0
+
+
+def test_an_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [3.0, 1.0]), (3, [1.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id, r.score) for r in A.nearest(df, F.col("vec_id") == 1, 20).collect())
+    of_first = [(1, 2, 3.0), (2, 3, 1.0), (3, 1, 0.0)]
+    of_second = [(1, 3, 4.0), (2, 2, 1.0), (3, 1, 0.0)]
+    assert got == sorted(of_first + of_second)
