@@ -12,6 +12,7 @@ from fleetlake.llm.common import id_hash, table
 from fleetlake.llm.leaks import find_leaks
 from fleetlake.llm.near_copies import near_copies
 from fleetlake.llm.nearest import nearest
+from fleetlake.llm.periodic_runs import find_runs
 from fleetlake.llm.pieces import encode_pieces
 from fleetlake.llm.shards import shard_by_bytes
 from fleetlake.llm.url_rules import judge_urls
@@ -190,3 +191,43 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that documents hold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """The contract's test input: in every tenth id's text the words from a place on repeat the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    split = docs.withColumns(
+        {
+            "__g": F.floor(h / 10),
+            "__words": F.when(h % 10 == 0, F.filter(F.split("text", r"[ \t-\r]+", -1), lambda w: w != "")),
+        }
+    )
+    n, g = F.size("__words"), F.col("__g")
+    placed = split.withColumn("__a", F.when(n > 0, g % n).cast("int"))
+    a = F.col("__a")
+    period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    root = F.slice("__words", a + 1, period)
+    again = F.slice(F.flatten(F.array_repeat(root, F.ceil((n - a) / period).cast("int"))), F.lit(1), n - a)
+    text = F.concat_ws(" ", F.slice("__words", F.lit(1), a), again)
+    return placed.select("doc_id", F.when(a.isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic stretches of words, and its text without their repeats."""
+    docs = _planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_runs(docs, keep=["doc_id"])
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    return found.withColumn("longest", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.p")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
