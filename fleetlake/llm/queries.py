@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
+from fleetlake.llm.chat_format import format_chats, read_chats
 from fleetlake.llm.common import id_hash, table
 from fleetlake.llm.leaks import find_leaks
 from fleetlake.llm.near_copies import near_copies
@@ -231,3 +232,50 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op13_chat_format",
+    r"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    sized AS (
+      SELECT *, 14 + length(role) + len(regexp_extract_all(role, '#\\*## ')) + len(regexp_extract_all(role, '<\\*/turn>'))
+                + len(regexp_extract_all(role, ':\\* ')) + length(text)
+                + len(regexp_extract_all(text, '#\\*## ')) + len(regexp_extract_all(text, '<\\*/turn>')) AS size
+      FROM turns)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(size)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as one marked text, and what is read back from it."""
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    turn = F.struct("n", "role", "text", "loss_text")
+    of_conv = (
+        read_chats(format_chats(turns))
+        .groupBy("conv_id")
+        .agg(F.sort_array(F.collect_list(turn)).alias("t"), F.sum("chars").alias("formatted_chars"))
+    )
+    spelled = F.concat_ws("", F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    loss = F.concat_ws("", "t.loss_text")
+    return of_conv.select(
+        "conv_id",
+        F.size("t").cast("long").alias("n_turns"),
+        F.sha2(spelled, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
