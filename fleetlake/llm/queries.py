@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import language, ngram_model, quality_model
 from fleetlake.llm import secret_ledger as S
+from fleetlake.llm.alignment import align_tokens, weigh_links
 from fleetlake.llm.chat_format import format_chats, read_chats
-from fleetlake.llm.common import id_hash, table
+from fleetlake.llm.common import id_hash, stored, table
 from fleetlake.llm.leaks import find_leaks
 from fleetlake.llm.near_copies import near_copies
 from fleetlake.llm.nearest import nearest
@@ -213,6 +214,19 @@ def _planted(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", F.when(a.isNotNull(), text).otherwise(F.col("text")).alias("text"))
 
 
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, linked where they end together."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sizes = ["doc_id", "n_a", "n_b", "n_groups"]
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    aligned = align_tokens(docs, BYTE_LEVEL, MODEL, keep=["doc_id"]).select(*sizes, digest, "links")
+    return weigh_links(stored(aligned, "alignment", "zstd"), BYTE_LEVEL, MODEL, keep=[*sizes, "groups_sha256"])
+
+
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's periodic stretches of words, and its text without their repeats."""
