@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -41,10 +42,14 @@ from fleetlake.llm.csr import Csr
 from fleetlake.llm.pieces import MARK, Encoder
 
 #: Bytes of text aligned at a time; units remembered in a worker before it starts afresh.
-BATCH_BYTES, REMEMBERED = 1_000_000, 400_000
+BATCH_BYTES, REMEMBERED = 1_000_000, 200_000
 #: Before such a blank both tokenizers part: it stands alone, between characters that nobody takes for white space.
 UNSURE = r"\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 CUT = re.compile(rf"(?<=[^{UNSURE}]) (?=[^{UNSURE}])")
+#: Letters, digits and signs that every version of Unicode puts in the same classes, between single blanks.
+PLAIN = re.compile(r"(?: [!-~À-ÖØ-öø-ÿ]+)+")
+#: Fixed value: where the byte-level vocabulary parts a text before merging.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_letters() -> dict[str, int]:
@@ -75,6 +80,9 @@ class Vocabularies:
             else library.id_to_piece(i).replace(MARK, " ").encode()
             for i in range(len(library))
         ]
+        # On plain text the two libraries agree, and this one is three times as fast.
+        ranks = {token: i for i, token in enumerate(self.bytes_a) if token}
+        self.fast = tiktoken.Encoding("own", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
         self.width_a = np.array([*map(len, self.bytes_a)], np.int64)
         self.width_b = np.array([*map(len, self.bytes_b)], np.int64)
         self.pairs = self._pairs()
@@ -94,7 +102,11 @@ class Vocabularies:
 
     def ids(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides for texts that begin with the blank that B adds by itself."""
-        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        plain = PLAIN.fullmatch
+        a = [self.fast.encode_ordinary(u) if plain(u) else None for u in units]
+        rest = [k for k, ids in enumerate(a) if ids is None]
+        for k, encoded in zip(rest, self.a.encode_batch([units[k] for k in rest], add_special_tokens=False)):
+            a[k] = encoded.ids
         return a, self.encoder.library.encode([u[1:] for u in units], num_threads=1)
 
     def units(self, text: str) -> list[str]:
@@ -157,13 +169,18 @@ def align(widths_a: np.ndarray, widths_b: np.ndarray) -> Alignment:
     return Alignment(overlap, linked, np.searchsorted(ends, ends_a), np.searchsorted(ends, ends_b))
 
 
+def _texts(tokens: list[bytes]) -> list[bytes]:
+    return [b"%d" % i for i in range(len(tokens))]
+
+
 class Aligner:
     """What units gave, by unit: numbers of tokens, spelled groups, linked pairs."""
 
     def __init__(self, vocabularies: Vocabularies):
         self.v = vocabularies
-        self.spelled_a = [b"%d" % i for i in range(len(vocabularies.bytes_a))]
-        self.spelled_b = [b"%d" % i for i in range(len(vocabularies.bytes_b))]
+        a, b = _texts(vocabularies.bytes_a), _texts(vocabularies.bytes_b)
+        # An id with what follows it: inside a group's side, and at its end.
+        self.spelled = [x + sign for side, signs in ((a, b",|"), (b, b",;")) for sign in (signs[:1], signs[1:]) for x in side]
         self.slot: dict[str, int] = {}
         self._forget()
 
@@ -171,45 +188,52 @@ class Aligner:
         self.slot.clear()
         self.groups: list[bytes | None] = []
         self.links: list[bytes] = []
-        self.sizes = np.zeros((0, 3), np.int64)
+        self.sizes = np.zeros((0, 3), np.int32)
 
     def add(self, units: list[str]) -> None:
         """Align units not met before, all in one matrix for each side."""
         ids_a, ids_b = self.v.ids(units)
-        raw = [u.encode() for u in units]
-        fits = [
-            b"".join(map(self.v.bytes_a.__getitem__, a)) == r == b"".join(map(self.v.bytes_b.__getitem__, b))
-            for r, a, b in zip(raw, ids_a, ids_b)
-        ]
-        ids_a = [a if ok else [] for a, ok in zip(ids_a, fits)]
-        ids_b = [b if ok else [] for b, ok in zip(ids_b, fits)]
-        flat_a, flat_b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+        flat_a, flat_b, fits = self._fitting(units, ids_a, ids_b)
         made = align(self.v.width_a[flat_a], self.v.width_b[flat_b])
         of_a, of_b = made.linked_pairs()
         numbers = np.searchsorted(self.v.pairs, flat_a[of_a] * len(self.v.bytes_b) + flat_b[of_b]).astype(np.int32)
+        size_a, size_b = (np.fromiter(map(len, ids), np.int64, len(units)) for ids in (ids_a, ids_b))
+        last_a, last_b = np.cumsum(size_a), np.cumsum(size_b)
         # A unit's end ends a group, so that a unit's groups are those up to its last token's.
-        last_a = np.cumsum([0, *map(len, ids_a)])
-        edge = [0, *(np.append(made.group_a, -1)[last_a[1:] - 1] + 1).tolist()]
+        edge = np.concatenate([[0], np.append(made.group_a, -1)[last_a - 1] + 1])
         spelled = self._spelled(flat_a, flat_b, made)
-        for unit, fit, lo, hi in zip(units, fits, edge, edge[1:]):
-            self.slot[unit] = len(self.groups)
-            self.groups.append(b";".join(spelled[lo:hi]) if fit else None)
-            self.links.append(numbers[lo:hi].tobytes())
-        sizes = np.stack([[*map(len, ids_a)], [*map(len, ids_b)], np.diff(edge)], axis=1)
+        tokens = [0, *(last_a + last_b).tolist()]
+        raw, cuts = numbers.tobytes(), (edge * 4).tolist()
+        first = len(self.groups)
+        self.slot.update(zip(units, range(first, first + len(units))))
+        self.groups += [
+            b"".join(spelled[lo:hi])[:-1] if fit else None for lo, hi, fit in zip(tokens, tokens[1:], fits)
+        ]
+        self.links += [raw[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+        sizes = np.stack([size_a, size_b, np.diff(edge)], axis=1).astype(np.int32)
         self.sizes = np.concatenate([self.sizes, sizes])
 
+    def _fitting(self, units: list[str], ids_a: list, ids_b: list) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        """All ids in a row, and which units both sides spell byte by byte; others lose their ids."""
+        spell = (self.v.bytes_a.__getitem__, self.v.bytes_b.__getitem__)
+        fits = [True] * len(units)
+        for k, unit in enumerate(units):
+            raw = unit.encode()
+            if b"".join(map(spell[0], ids_a[k])) != raw or b"".join(map(spell[1], ids_b[k])) != raw:
+                fits[k], ids_a[k], ids_b[k] = False, [], []
+        return *(np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b)), fits
+
     def _spelled(self, flat_a: np.ndarray, flat_b: np.ndarray, made: Alignment) -> list[bytes]:
-        """Each group as its decimal ids."""
-        out = []
-        text_a = [self.spelled_a[i] for i in flat_a.tolist()]
-        text_b = [self.spelled_b[i] for i in flat_b.tolist()]
-        ends_a = np.flatnonzero(np.diff(made.group_a, append=-1)) + 1
-        ends_b = np.flatnonzero(np.diff(made.group_b, append=-1)) + 1
-        a = b = 0
-        for to_a, to_b in zip(ends_a.tolist(), ends_b.tolist()):
-            out.append(b",".join(text_a[a:to_a]) + b"|" + b",".join(text_b[b:to_b]))
-            a, b = to_a, to_b
-        return out
+        """Every token as its decimal id and what follows it, A's of a group before B's."""
+        out = np.empty(len(flat_a) + len(flat_b), np.int64)
+        last_a = np.diff(made.group_a, append=-1) != 0
+        last_b = np.diff(made.group_b, append=-1) != 0
+        n_a, n_b = len(self.v.bytes_a), len(self.v.bytes_b)
+        ends_a, ends_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        before_b = np.concatenate([[0], ends_b[:-1]]) if len(ends_b) else ends_b
+        out[np.arange(len(flat_a)) + before_b[made.group_a]] = flat_a + last_a * n_a
+        out[np.arange(len(flat_b)) + ends_a[made.group_b]] = flat_b + last_b * n_b + 2 * n_a
+        return list(map(self.spelled.__getitem__, out.tolist()))
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
         """(tokens of A, of B, groups) of each text, its spelled groups, its links' numbers."""
