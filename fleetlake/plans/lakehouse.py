@@ -15,9 +15,9 @@ from fleetlake.operators.ledger import Ledger, skip_ingested
 from fleetlake.operators.quality import range_violations, validate
 from fleetlake.operators.silver import quarantined_duplicates, to_silver
 from fleetlake.plans.marts import STORED, build_marts, write_marts
+from fleetlake.session import scratch_path
 from fleetlake.settings import Paths, Settings
 from fleetlake.sinks.tables import (
-    file_row_counts,
     quarantine_duplicates,
     quarantine_range_violations,
     write_bronze,
@@ -26,8 +26,15 @@ from fleetlake.sinks.tables import (
     write_gold,
     write_silver,
 )
-from fleetlake.sources.layers import discover_sources, path_exists, read_layer, read_split
-from fleetlake.sources.text import scan_rul_text, scan_sensor_text, source_checksums
+from fleetlake.sources.layers import delete_path, discover_sources, read_layer, read_split
+from fleetlake.sources.text import (
+    describe_sources,
+    filled_lines,
+    numbered_lines,
+    rul_rows,
+    sensor_rows,
+    store_lines,
+)
 
 
 class EmptySource(ValueError):
@@ -65,39 +72,48 @@ def land_sources(
     now = now or datetime.now(UTC)
     if not sources:
         return {}
-    candidates = source_checksums(spark, list(sources.values()))
-    checksums = {r.source_file: r.file_checksum for r in candidates.collect()}  # a row per source
-    if empty := sorted(set(sources) - set(checksums)):
+    places = list(sources.values())
+    folder = scratch_path(spark, "lines")
+
+    splits = spark.read.text(places).rdd.getNumPartitions() + len(places)
+    numbered = numbered_lines(store_lines(spark, places, folder), splits)
+    found = _kept(describe_sources(numbered), f"{folder}-sources")
+    _complain_of_empty(spark, sources, found)
+    new = _kept(skip_ingested(found, ledger.manifest()), f"{folder}-new")
+    is_life = F.startswith("source_file", F.lit("RUL"))
+    kinds = new.agg(F.count_if(~is_life).alias("readings"), F.count_if(is_life).alias("lives"), F.max("blank_count").alias("blanks")).first()
+    lines = filled_lines(numbered.join(new.select("source_file"), ["source_file"], "left_semi"), bool(kinds.blanks))
+    if kinds.readings:
+        write_bronze(sensor_rows(lines.filter(~is_life), run_id, now, columns), paths)
+    if kinds.lives:
+        write_bronze_rul(rul_rows(lines.filter(is_life), run_id, now), paths)
+    counted = new.withColumn("row_count", F.col("line_count") - F.col("blank_count"))
+    if kinds.readings or kinds.lives:
+        described = counted.withColumns(
+            {
+                "dataset_id": dataset_of(F.col("source_file"))["dataset_id"],
+                "ingested_at": F.lit(now).cast("timestamp"),
+                "pipeline_run_id": F.lit(run_id),
+            }
+        )
+        ledger.record_ingestion(described.coalesce(1))
+    rows = {r.source_file: r.row_count for r in counted.select("source_file", "row_count").collect()}  # a row per new source
+    for path in (folder, f"{folder}-sources", f"{folder}-new"):
+        delete_path(spark, path)
+    return {**dict.fromkeys(sources, 0), **rows}
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """A small table, written so that later steps agree on it."""
+    df.coalesce(1).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _complain_of_empty(spark: SparkSession, sources: Mapping[str, str], found: DataFrame) -> None:
+    named = spark.createDataFrame([(name,) for name in sources], "source_file string")
+    filled = found.filter("line_count > blank_count")
+    if empty := sorted(r.source_file for r in named.join(filled, ["source_file"], "left_anti").limit(20).collect()):
         raise EmptySource(f"no lines in {', '.join(empty)}")
-    found = spark.createDataFrame(list(checksums.items()), "source_file string, file_checksum string")
-    new = {r.source_file: r for r in skip_ingested(found, ledger.manifest()).collect()}
-    results = dict.fromkeys(sources, 0)
-    readings = [sources[name] for name in new if not name.startswith("RUL")]
-    lives = [sources[name] for name in new if name.startswith("RUL")]
-    written = []
-    if readings:
-        written.append(write_bronze(scan_sensor_text(spark, readings, run_id, now, columns), paths))
-    if lives:
-        written.append(write_bronze_rul(scan_rul_text(spark, lives, run_id, now), paths))
-    if not written:
-        return results
-    known = F.col("source_file").isin(list(new))
-    counts = {r.source_file: r.row_count for path in written for r in _counts(spark, path, known)}
-    if blank := sorted(set(new) - set(counts)):
-        raise EmptySource(f"no readings in {', '.join(blank)}")
-    entries = [(name, r.file_checksum, counts[name], now, run_id) for name, r in new.items()]
-    manifest = spark.createDataFrame(
-        entries,
-        "source_file string, file_checksum string, row_count bigint, ingested_at timestamp, pipeline_run_id string",
-    ).withColumn("dataset_id", dataset_of(F.col("source_file"))["dataset_id"])
-    ledger.record_ingestion(manifest.coalesce(1))
-    return {**results, **counts}
-
-
-def _counts(spark: SparkSession, path: str, known) -> list:
-    if not path_exists(spark, path):  # nothing but blank sources so far
-        return []
-    return file_row_counts(read_layer(spark, path).filter(known)).collect()
 
 
 def health_tables(silver: DataFrame, settings: Settings, now: datetime) -> dict[str, DataFrame]:

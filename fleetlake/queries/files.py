@@ -121,7 +121,7 @@ def file_checksum(spark, sf):
     events.repartition(*by).sortWithinPartitions(*by, "event_id").select(*by, line.alias("value")).write.partitionBy(
         *by
     ).text(folder)
-    hashed = T.file_checksums(spark, [f"{folder}/*/*/*.txt"])
+    hashed = T.file_checksums(spark, [f"{folder}/*/*/*.txt"], "bytes")
     unit = F.regexp_extract("source_path", r"user_id=(\d+)", 1).cast("bigint")
     return hashed.select(unit.alias("unit"), "file_checksum")
 

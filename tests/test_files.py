@@ -93,11 +93,12 @@ def test_unknown_dataset_raises(spark):
 def test_checksums(spark, tmp_path):
     path = tmp_path / "train_FD001.txt"
     path.write_bytes(b"hello world")
-    assert T.file_checksums(spark, str(path)).first().file_checksum == hashlib.sha256(b"hello world").hexdigest()
+    whole = T.file_checksums(spark, str(path), "bytes").first()
+    assert whole.file_checksum == hashlib.sha256(b"hello world").hexdigest()
     seen = set()
     for content in (b"hello world", b"hello there", b" hello there", b"hello there\n\n", b"\nhello there", b"there\nhello", b"hello\nthere"):
         path.write_bytes(content)
-        by_lines = T.file_checksums(spark, str(path), "lines").first().file_checksum
+        by_lines = T.file_checksums(spark, str(path)).first().file_checksum
         assert T.source_checksums(spark, str(path)).first().file_checksum == by_lines
         seen.add(by_lines)
     assert len(seen) == 7
