@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fleetlake.functions.windows import FullRolling, Spikes, cycle_gap, next_value, rate_of_change, rolling
+from fleetlake.operators.ranks import global_rank  # noqa: F401
 from fleetlake.operators.skew import (
     GroupProfile,
     join_on,
@@ -33,8 +34,6 @@ Stage = Callable[[SeriesWindow], Mapping[str, Column | str]]
 _PARTITION_BITS = 33
 
 SCRATCH = "__"
-#: Rows of a partition of a global rank.
-RANKED_ROWS = 1_000_000
 
 
 def _with_position(
@@ -345,18 +344,6 @@ def _from_unit_edge(df, name, edge, combine, series, limits) -> DataFrame:
     return attached.withColumn(name, combine(F.col(series.clock), F.col("__edge"))).drop("__edge")
 
 
-def global_rank(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None) -> DataFrame:
-    """``row_number`` over all rows without a single-partition window.
-
-    ``order`` must leave no ties, so that every run ranks alike. Unless given,
-    the number of partitions grows with the rows, ``RANKED_ROWS`` for each.
-    """
-    if partitions is None:
-        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(least, -(-df.count() // RANKED_ROWS))
-    return _with_position(df, order, name, (), partitions)
-
-
 def latest_per_unit(df: DataFrame, keys: Sequence[str], clock: str = "cycle") -> DataFrame:
     """The newest row of every unit, combined map-side instead of ranked."""
     rest = [c for c in df.columns if c not in keys]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.operators.series import global_rank
+from fleetlake.operators.ranks import global_rank
 
 
 def fleet_metrics(summary: DataFrame, digits: int = 1) -> DataFrame:

@@ -29,9 +29,18 @@ DUPLICATE_KEYS = ("unit_id", "cycle", "dataset_id")
 
 
 def enforce_types(df: DataFrame) -> DataFrame:
-    """Keys as bigint, settings and sensors as double; a bad literal raises."""
+    """Keys as bigint, settings and sensors as double; what cannot be read as that raises, in any ANSI mode."""
     wanted = {**dict.fromkeys(KEY_COLUMNS, "bigint"), **dict.fromkeys(SETTING_COLUMNS + SENSOR_COLUMNS, "double")}
-    return df.withColumns({c: F.col(c).cast(t) for c, t in wanted.items() if c in df.columns})
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.withColumns({c: _as(c, have[c], t) for c, t in wanted.items() if have.get(c, t) != t})
+
+
+def _as(column: str, have: str, wanted: str) -> Column:
+    value = F.col(column)
+    if have in ("tinyint", "smallint", "int", "bigint", "float") and wanted == "double" or have in ("tinyint", "smallint", "int"):
+        return value.cast(wanted)
+    message = F.concat(F.lit(f"{column} is not a {wanted}: "), value.cast("string"))
+    return F.when(value.isNotNull(), F.coalesce(value.try_cast(wanted), F.raise_error(message).cast(wanted)))
 
 
 def sort_timeseries(df: DataFrame, series: Series = Series()) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from fleetlake.functions.columns import equipment_key
 from fleetlake.functions.windows import next_value, rate_of_change, rolling
 from fleetlake.operators.health import dim_equipment
-from fleetlake.operators.series import global_rank, over_series
+from fleetlake.operators.ranks import global_rank
+from fleetlake.operators.series import over_series
 from fleetlake.operators.skew import profile_groups, split_hot
 from fleetlake.settings import (
     READING_COLUMNS,

@@ -320,10 +320,8 @@ def global_sensor_stats(spark, sf):
     "attach_global_stats",
     with_ctes(V.MULTI)
     + "SELECT dataset_id, unit_id, cycle, "
-    + ", ".join(r(f"({s} - {s}_m) / {s}_s", f"{s}_z") for s in V.FOUR)
-    + " FROM multi, (SELECT "
-    + ", ".join(f"avg({s}) AS {s}_m, stddev_samp({s}) AS {s}_s" for s in V.FOUR)
-    + " FROM multi)",
+    + ", ".join(r(f"({s} - avg({s}) OVER ()) / stddev_samp({s}) OVER ()", f"{s}_z") for s in V.FOUR)
+    + " FROM multi",
 )
 def attach_global_stats(spark, sf):
     attached = H.with_sensor_stats(V.multi(spark, sf), tuple(V.FOUR))
