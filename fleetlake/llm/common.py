@@ -30,14 +30,16 @@ def id_hash(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string")) % divisor
 
 
-def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy", row_group: int | None = None) -> DataFrame:
     """Write to a fresh folder below the shared one and read it back.
 
     Cuts the lineage: later passes read files, and rows numbered on the way
-    keep their numbers when an executor is lost.
+    keep their numbers when an executor is lost. ``row_group`` bounds the bytes
+    a task holds while it writes.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=codec)
+    writer = df.write.option("parquet.block.size", row_group) if row_group else df.write
+    writer.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

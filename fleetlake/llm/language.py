@@ -25,8 +25,10 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 #: Windows that go through the network together: few enough to stay in a core's cache.
 TOGETHER = 48
-#: The training sample, at most so many texts of a language, windows of a text, and languages (the most frequent).
-PER_LANGUAGE, PER_TEXT, LANGUAGES = 600, 6, 256
+#: The training sample: at most so many texts of a language, windows of a text, and texts in all.
+PER_LANGUAGE, PER_TEXT, TEXTS = 600, 6, 60_000
+#: Texts more, so that a language's share of the hashes does not miss all of it by chance.
+LEAST = 16
 EPOCHS, MINIBATCH, RATE = 12, 64, 0.01
 BATCH_BYTES = 4_000_000
 UNKNOWN = "und"
@@ -139,9 +141,11 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -
 def train(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Network | None:
     """Fit on a bounded sample of the rows where ``training`` holds; None if there are none.
 
-    Of each of the ``LANGUAGES`` languages with most texts, about ``per_language``
-    texts are taken by a hash of their row, and from each at most ``PER_TEXT``
-    windows, spread evenly over the whole text. Copies of a text count once.
+    Of each language about ``per_language`` texts are taken by a hash of their
+    row, fewer where languages are so many that ``TEXTS`` would be exceeded, and
+    from each at most ``PER_TEXT`` windows, spread evenly over the whole text.
+    Copies of a text count once. No language is left out for being rare: ``LEAST``
+    further texts are taken of each.
     """
     usable = docs.where(training & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     usable = usable.select(lang, text, F.xxhash64(lang, text).alias("__hash"))
@@ -149,14 +153,15 @@ def train(docs: DataFrame, training: Column, text: str = "text", lang: str = "la
         r[0]: r[1]
         for r in usable.select(lang, "__hash")
         .distinct()
-        .groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()
+        .groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
     }
     if not counts:
         return None
+    per_language = max(1, min(per_language, TEXTS // len(counts)))
     parts = 1 << 20
-    share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(parts, parts * per_language // n + 1))))
+    share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(parts, parts * (per_language + LEAST) // n + 1))))
     mine = F.pmod("__hash", F.lit(parts)) < F.element_at(share, F.col(lang))
-    sample = usable.where(F.col(lang).isin(list(counts)) & mine).distinct()
+    sample = usable.where(mine).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +178,7 @@ def train(docs: DataFrame, training: Column, text: str = "text", lang: str = "la
     # The shares hold on average; each language is bounded by itself.
     text_number = F.dense_rank().over(W.partitionBy("lang").orderBy("hash"))
     windows = sample.mapInArrow(cut, "lang string, hash long, window binary").withColumn("n", text_number)
-    rows = windows.where(F.col("n") <= 2 * (per_language + 16)).select("lang", "window").collect()
+    rows = windows.where(F.col("n") <= 2 * (per_language + LEAST)).select("lang", "window").collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.window)))
     languages = sorted({r.lang for r in rows})
     if not languages:

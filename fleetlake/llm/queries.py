@@ -224,7 +224,7 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = ["doc_id", "n_a", "n_b", "n_groups"]
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
     aligned = align_tokens(docs, BYTE_LEVEL, MODEL, keep=["doc_id"]).select(*sizes, digest, "links")
-    return weigh_links(stored(aligned, "alignment", "zstd"), BYTE_LEVEL, MODEL, keep=[*sizes, "groups_sha256"])
+    return weigh_links(stored(aligned, "alignment", "zstd", 8 << 20), BYTE_LEVEL, MODEL, keep=[*sizes, "groups_sha256"])
 
 
 @query("op12_periodic_runs")

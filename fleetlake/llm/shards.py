@@ -31,6 +31,8 @@ ROW_BYTES = 16
 TOLERANCE = 0.002
 #: Rows, and bytes, that one task sorts and numbers.
 ROWS_PER_TASK, BYTES_PER_TASK = 500_000, 64_000_000
+#: Tasks and shards up to which the beginnings of slots are broadcast, some fifty bytes each.
+FEW_STARTS = 200_000
 
 
 @dataclass(frozen=True)
@@ -97,8 +99,10 @@ def shard_by_bytes(
         )
         .select("shard", "__part", (F.coalesce("__offset", F.lit(0)) - F.col("__first")).alias("__shift"))
     )
-    # No more rows than tasks and shards together: broadcast, so that the texts are not exchanged again.
-    joined = numbered.withColumn("__part", part).join(F.broadcast(starts), ["shard", "__part"])
+    # No more rows than tasks and shards together: while these are few they are sent to the texts.
+    if tasks + n_shards <= FEW_STARTS:
+        starts = F.broadcast(starts)
+    joined = numbered.withColumn("__part", part).join(starts, ["shard", "__part"])
     return joined.select(
         *names.values(), "size", "shard", (F.col("__n") + F.col("__shift")).cast("long").alias("slot")
     )

@@ -79,3 +79,41 @@ def test_copies_take_no_share_of_the_sample(spark, monkeypatch):
     x, y, languages = taken[0]
     windows = [(languages[j], bytes(w).rstrip(b"\0").decode()) for w, j in zip(x, y)]
     assert sorted(windows) == sorted({(lang, text) for text, lang in rows})
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(L, "fit", lambda x, y, languages: taken.append(languages))
+    monkeypatch.setattr(L, "TEXTS", 900)
+    rows = [(f"text {i} of {i % 300}", f"l{i % 300:03}") for i in range(3000)] + [("the only one", "rare")]
+    L.train(spark.createDataFrame(rows, "text string, lang string"), F.lit(True), per_language=600)
+    assert len(taken[0]) == 301
+
+
+def _by_loops(net, text):
+    """Scores of each language: every window, width, filter and place by itself."""
+    raw, step = text.lower().encode(), L.WINDOW - max(L.WIDTHS) + 1
+    scores, total = [0.0] * len(net.languages), 0
+    for start in range(0, max(1, len(raw) - max(L.WIDTHS) + 1), step):
+        window = raw[start : start + L.WINDOW].ljust(L.WINDOW, b"\0")
+        hidden = []
+        for width in L.WIDTHS:
+            for f in range(L.FILTERS):
+                at = (sum(float(net.tables[width][j, window[p + j], f]) for j in range(width)) for p in range(L.WINDOW - width + 1))
+                hidden.append(max(0.0, max(at) + float(net.bias[len(hidden)])))
+        z = [sum(h * float(net.out[i, k]) for i, h in enumerate(hidden)) + float(net.out_bias[k]) for k in range(len(scores))]
+        e = np.exp(np.array(z) - max(z))
+        size = min(L.WINDOW, len(raw) - start)
+        scores = [s + size * p for s, p in zip(scores, e / e.sum())]
+        total += size
+    return [s / total for s in scores]
+
+
+def test_prediction_as_by_loops(spark):
+    net = L.Network.fresh(["aa", "bb", "cc"], np.random.default_rng(4))
+    texts = ["a", "Ein kurzer Text", "the cat and the dog are here " * 9, "éà漢字 " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in L.predict(df, net).collect():
+        scores = _by_loops(net, texts[r.doc_id])
+        assert r.lang_pred == net.languages[int(np.argmax(scores))]
+        assert abs(r.score - max(scores)) < 1e-4

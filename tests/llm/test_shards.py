@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from fleetlake.llm import queries, shards
 from fleetlake.llm.shards import TOLERANCE, shard_by_bytes, write_shards
@@ -85,3 +86,28 @@ def test_many_bytes_take_more_tasks_than_shards(spark, monkeypatch):
     monkeypatch.setattr(shards, "BYTES_PER_TASK", 5_000)
     docs = [(i, f"text {i} " * 20, None) for i in range(500)]
     held(shard_by_bytes(frame(spark, docs), 3).collect(), docs, 3)
+
+
+def _signed(raw, seed=42):
+    value = xxhash.xxh64_intdigest(raw, seed)
+    return value - 2**64 if value >= 2**63 else value
+
+
+@pytest.mark.parametrize("few", [0, shards.FEW_STARTS])
+def test_places_as_in_one_sorted_list(spark, monkeypatch, few):
+    """All rows sorted by the hashes of text and id, cut where the running bytes pass each shard's share."""
+    monkeypatch.setattr(shards, "FEW_STARTS", few)
+    rng = random.Random(6)
+    docs = [(i, f"text {i % 700} " * rng.randint(1, 60), None) for i in range(3000)]
+    rows = shard_by_bytes(frame(spark, docs), 9).collect()
+    ordered = sorted(rows, key=lambda r: (_signed(r.text.encode()), _signed(r.doc_id.to_bytes(8, "little"))))
+    shard, slot, passed = 0, 0, 0
+    total = sum(r.size for r in rows)
+    for r in ordered:
+        if r.shard != shard:
+            assert r.shard == shard + 1
+            assert abs(passed - total * r.shard / 9) <= TOLERANCE * total / 9 + max(x.size for x in rows)
+            shard, slot = r.shard, 0
+        assert r.slot == slot
+        slot, passed = slot + 1, passed + r.size
+    assert shard == 8
