@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,9 @@ def _facts(**values) -> Column:
     return F.to_json(F.struct(*(column(v).alias(name) for name, v in values.items())))
 
 
+NULLS = "__null_"
+
+
 def _total() -> Column:
     return F.col("__total")
 
@@ -120,6 +123,49 @@ def collect_results(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return one.select(F.inline(F.array(*(check.row for check in checks))))
 
 
+class ObservedChecks:
+    """Checks that come out of the write of a table instead of another read of it.
+
+    ``watch`` the frame, write what it returns once, then ask for the results.
+    ``only`` restricts the checks to rows of a frame that holds others too;
+    such frames take checks of counts, NULLs and newest values, the last being
+    NULL on the other rows.
+    """
+
+    def __init__(self, checks: Sequence[Check], only: Column | None = None, name: str = "checks"):
+        self._checks, self._only = list(checks), only
+        self._observation, self._name = Observation(name), name
+        self._kinds: T.StructType | None = None
+
+    def _measures(self) -> dict[str, Column]:
+        measures: dict[str, Column] = {**_count(), "__all": F.count(F.lit(1))}
+        for check in self._checks:
+            measures.update(check.measures)
+        if self._only is None:
+            return measures
+        for name in measures:
+            if name == "__total":
+                measures[name] = F.count_if(self._only)
+            elif name.startswith(NULLS):
+                measures[name] = F.count_if(self._only & F.col(name.removeprefix(NULLS)).isNull())
+        return measures
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        columns = [column.alias(name) for name, column in self._measures().items()]
+        self._kinds = df.agg(*columns).schema
+        return df.observe(self._observation, *columns)
+
+    def rows(self) -> tuple[int, int]:
+        """(rows the checks looked at, all rows) of the write."""
+        return self._observation.get["__total"], self._observation.get["__all"]
+
+    def results(self, spark: SparkSession, run_id: str = "", now: datetime | None = None) -> DataFrame:
+        """The suite's rows; waits for the write."""
+        measured = self._observation.get
+        one = spark.createDataFrame([tuple(measured[f.name] for f in self._kinds)], self._kinds)
+        return _stamped([one.select(F.inline(F.array(*(c.row for c in self._checks))))], run_id, now)
+
+
 # --- schema: decided while the plan is built --------------------------------
 
 
@@ -158,7 +204,7 @@ def schema_checks(df: DataFrame, include_metadata: bool = True) -> list[Check]:
 
 
 def _nulls(column: str) -> dict[str, Column]:
-    return {f"__null_{column}": F.count_if(F.col(column).isNull())}
+    return {f"{NULLS}{column}": F.count_if(F.col(column).isNull())}
 
 
 def null_check(df: DataFrame, column: str) -> Check:
@@ -432,15 +478,18 @@ def validate_bronze(
     )
 
 
-def validate_silver(
-    df: DataFrame, run_id: str = "", now: datetime | None = None, settings: Settings = Settings()
-) -> DataFrame:
-    checks = [
+def silver_checks(df: DataFrame, now: datetime | None = None, settings: Settings = Settings()) -> list[Check]:
+    return [
         *schema_checks(df),
         *completeness_checks(df),
         freshness_check(df, "silver", now, settings.freshness, "silver_processed_at"),
     ]
-    return _stamped([collect_results(df, checks)], run_id, now)
+
+
+def validate_silver(
+    df: DataFrame, run_id: str = "", now: datetime | None = None, settings: Settings = Settings()
+) -> DataFrame:
+    return _stamped([collect_results(df, silver_checks(df, now, settings))], run_id, now)
 
 
 def not_empty_check() -> Check:

@@ -97,6 +97,9 @@ def _split_after_first(df, keys, order, limits) -> tuple[DataFrame, DataFrame]:
     return numbered.filter("__copy = 1").drop("__copy"), numbered.filter("__copy > 1").drop("__copy")
 
 
+CLEAN, QUARANTINED = "clean", "quarantined"
+
+
 def to_silver(
     bronze: DataFrame,
     settings: Settings = Settings(),
@@ -108,6 +111,25 @@ def to_silver(
     One exchange: rows are placed by unit once, and both the duplicate test
     and the series windows work on that placement and one sort.
     """
+    return _flagged(bronze, settings, now, duplicate_keys, False)
+
+
+def with_outcome(
+    bronze: DataFrame,
+    settings: Settings = Settings(),
+    now: datetime | None = None,
+    duplicate_keys: Sequence[str] = DUPLICATE_KEYS,
+) -> DataFrame:
+    """Every row of bronze with its ``outcome``, ``clean`` or ``quarantined``.
+
+    Clean rows are those of :func:`to_silver`, with their flags; the flags,
+    status and time of quarantined ones are NULL. Both come out of the same
+    exchange, so that one write can store them.
+    """
+    return _flagged(bronze, settings, now, duplicate_keys, True)
+
+
+def _flagged(bronze: DataFrame, settings: Settings, now: datetime | None, duplicate_keys: Sequence[str], both: bool) -> DataFrame:
     typed = flag_ranges(enforce_types(bronze), settings.ranges)
     limits = settings.limits
     series = settings.series.on(typed)
@@ -127,31 +149,52 @@ def to_silver(
 
     stages = (*spikes.stages, flags)
     window = {"series": unique, "before": spikes.before, "limits": limits, "profile": profile}
+    copies = None
     if not within_units:
-        flagged = over_series(split_duplicates(typed, keys, limits=limits)[0], *stages, **window)
+        clean, copies = split_duplicates(typed, keys, limits=limits)
+        flagged = over_series(clean, *stages, **window)
     elif not profile.hot_groups:
-        flagged = over_series(_without_copies(typed, series, keys), *stages, **window)
+        placed = _with_copies(typed, series, keys)
+        if both:
+            # A unit's copies are a series of their own, beside that of its single rows.
+            apart = {**window, "series": Series((*series.keys, "__copy"), series.order, ())}
+            flagged = over_series(placed, *stages, **apart)
+        else:
+            flagged = over_series(placed.filter(~F.col("__copy")).drop("__copy"), *stages, **window)
     else:
         rest, hot = split_hot(typed, profile, series.keys)
-        clean = _without_copies(rest, series, keys), split_duplicates(hot, keys, limits=limits)[0]
-        flagged = over_split_series(*clean, *stages, **window)
+        clean, copies = split_duplicates(hot, keys, limits=limits)
+        placed = _with_copies(rest, series, keys)
+        flagged = over_split_series(placed.filter(~F.col("__copy")).drop("__copy"), clean, *stages, **window)
+        copies = placed.filter("__copy").drop("__copy").unionByName(copies)
     stamped = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    return assign_quality_status(flagged).select(
-        *bronze.columns,
-        "has_cycle_gap",
-        "has_sensor_range_violation",
-        "has_sensor_spike",
-        "record_quality_status",
-        stamped.alias("silver_processed_at"),
-    )
-
-
-def _without_copies(df: DataFrame, series: Series, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is single. Their units fit a task, so all copies do."""
+    silver = assign_quality_status(flagged).withColumn("silver_processed_at", stamped)
+    if not both:
+        return silver.select(*bronze.columns, *SILVER_COLUMNS)
+    if "__copy" in silver.columns:
+        own = {c: F.when(~F.col("__copy"), F.col(c)) for c in SILVER_COLUMNS}
+        outcome = F.when(F.col("__copy"), QUARANTINED).otherwise(CLEAN)
+        return silver.withColumns({**own, "outcome": outcome}).select(*bronze.columns, *SILVER_COLUMNS, "outcome")
+    empty = {c: F.lit(None).cast(silver.schema[c].dataType) for c in SILVER_COLUMNS if c != "has_sensor_range_violation"}
+    rest = copies.withColumns({**empty, "has_sensor_range_violation": F.lit(None).cast("boolean"), "outcome": F.lit(QUARANTINED)})
+    columns = [*bronze.columns, *SILVER_COLUMNS, "outcome"]
+    return silver.withColumn("outcome", F.lit(CLEAN)).select(*columns).unionByName(rest.select(*columns))
+
+
+SILVER_COLUMNS = (
+    "has_cycle_gap",
+    "has_sensor_range_violation",
+    "has_sensor_spike",
+    "record_quality_status",
+    "silver_processed_at",
+)
+
+
+def _with_copies(df: DataFrame, series: Series, keys: Sequence[str]) -> DataFrame:
+    """``__copy`` marks rows whose key is not single. Their units fit a task, so all copies do."""
     by = [*series.keys, *(k for k in keys if k not in series.keys)]
     copies = F.count(F.lit(1)).over(W.partitionBy(*by))
-    placed = df.repartition(*series.keys)
-    return placed.withColumn("__copies", copies).filter("__copies = 1").drop("__copies")
+    return df.repartition(*series.keys).withColumn("__copy", copies > 1)
 
 
 def quarantined_duplicates(

@@ -12,19 +12,18 @@ from fleetlake.functions.columns import dataset_of
 from fleetlake.operators.features import ml_features
 from fleetlake.operators.health import dim_equipment, equipment_health, equipment_summary
 from fleetlake.operators.ledger import Ledger, skip_ingested
-from fleetlake.operators.quality import range_violations, validate
-from fleetlake.operators.silver import quarantined_duplicates, to_silver
+from fleetlake.operators.quality import ObservedChecks, range_violations, silver_checks, validate
+from fleetlake.operators.silver import CLEAN, with_outcome
 from fleetlake.plans.marts import STORED, build_marts, write_marts
 from fleetlake.session import scratch_path
 from fleetlake.settings import Paths, Settings
 from fleetlake.sinks.tables import (
-    quarantine_duplicates,
     quarantine_range_violations,
     write_bronze,
     write_bronze_rul,
     write_features,
     write_gold,
-    write_silver,
+    write_outcomes,
 )
 from fleetlake.sources.layers import delete_path, discover_sources, read_layer, read_split
 from fleetlake.sources.text import (
@@ -170,7 +169,9 @@ def end_to_end(
         return read_layer(spark, f"{paths.silver_dir}/sensor_readings")
 
     def check(frame: DataFrame, layer: str, name: str) -> int:
-        results = validate(frame, layer, run_id, now, settings)
+        return record(validate(frame, layer, run_id, now, settings), layer, name)
+
+    def record(results: DataFrame, layer: str, name: str) -> int:
         ledger.record_results(results, layer, name)
         if fail_on:
             failed = ledger.quality_results().filter(
@@ -193,10 +194,12 @@ def end_to_end(
         return 0
 
     def clean() -> int:
-        write_silver(to_silver(bronze(), settings, now), paths)
-        found = failures("duplicate")
-        quarantine_duplicates(quarantined_duplicates(bronze(), limits=settings.limits), paths, found, ids)
-        return silver().count()
+        rows = with_outcome(bronze(), settings, now)
+        # Silver's checks are measured while it is written. Other data sets' rows were checked by their own runs.
+        checks = silver_checks(rows.drop("outcome"), now, settings)
+        observed["silver"] = ObservedChecks(checks, F.col("outcome") == CLEAN, "silver")
+        write_outcomes(observed["silver"].watch(rows), paths, ids)
+        return observed["silver"].rows()[0]
 
     def derive() -> int:
         # Features are partitioned by data set: those of other runs stay. Scores rest on statistics over all.
@@ -236,12 +239,13 @@ def end_to_end(
         return 0
 
     totals: dict[str, int] = {}
+    observed: dict[str, ObservedChecks] = {}
     try:
         ingested = step("ingest_bronze", lambda: sum(ingest(spark, settings, ledger, run_id, ids, now).values()))
         totals["records_ingested"] = ingested
         step("validate_bronze", validate_bronze)
         totals["records_silver"] = step("transform_silver", clean)
-        step("validate_silver", lambda: check(silver(), "silver", "sensor_readings"))
+        step("validate_silver", lambda: record(observed["silver"].results(spark, run_id, now), "silver", "sensor_readings"))
         totals["records_gold"] = step("generate_ml_features", derive)
         step("build_marts", marts)
         step("validate_gold", validate_gold)

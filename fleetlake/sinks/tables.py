@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.settings import Paths
-from fleetlake.sources.layers import delete_path
+from fleetlake.sources.layers import delete_path, replace_partitions
 
 BRONZE_PARTITIONS = ("dataset_id", "source_file")
 
@@ -72,5 +73,26 @@ def quarantine_range_violations(violations: DataFrame, paths: Paths, found: bool
     return quarantine(violations, paths, "sensor_range_violations", found, dataset_ids)
 
 
+def write_outcomes(rows: DataFrame, paths: Paths, dataset_ids: Sequence[str]) -> str:
+    """Silver and the quarantine of duplicates from one write of rows with their ``outcome``.
+
+    The write goes to a hidden folder beside silver, by outcome and data set.
+    Then its folders take the place of those they replace, the quarantine's
+    first, so that no row is in silver before its copies are in quarantine. What
+    an earlier run quarantined of ``dataset_ids`` is cleared. After a failure in
+    between the step can simply be repeated.
+    """
+    spark = rows.sparkSession
+    staged = f"{paths.silver_dir}/_outcomes-{uuid.uuid4().hex}"
+    rows.write.partitionBy("outcome", "dataset_id").parquet(staged)
+    quarantined = replace_partitions(spark, f"{staged}/outcome=quarantined", f"{paths.quarantine_dir}/duplicates")
+    for folder in {f"dataset_id={d}" for d in dataset_ids} - set(quarantined):
+        delete_path(spark, f"{paths.quarantine_dir}/duplicates/{folder}")
+    silver = f"{paths.silver_dir}/sensor_readings"
+    replace_partitions(spark, f"{staged}/outcome=clean", silver)
+    delete_path(spark, staged)
+    return silver
+
+
 def file_row_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))

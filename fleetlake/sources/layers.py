@@ -34,6 +34,18 @@ def move_path(spark: SparkSession, path: str, target: str) -> None:
     system.rename(_file_system(spark, path)[0], place)
 
 
+def replace_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
+    """Move each folder below ``staged`` to its name below ``target``, in place of what is there; their names."""
+    if not path_exists(spark, staged):
+        return []
+    place, system = _file_system(spark, staged)
+    names = sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+    for name in names:
+        delete_path(spark, f"{target}/{name}")
+        move_path(spark, f"{staged}/{name}", f"{target}/{name}")
+    return names
+
+
 def read_layer(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """A Parquet table, lazily; a missing path raises."""
     paths = [path] if isinstance(path, str) else list(path)
