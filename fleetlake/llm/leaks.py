@@ -14,7 +14,7 @@ documents.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import by_bytes
+from fleetlake.llm.common import by_bytes, spare, stored
 from fleetlake.llm.words import shingles, word_hashes
+from fleetlake.session import scratch_path
 
 SIZE, SIMILARITY = 5, 0.8
 #: At similarity 0.8 about 10 of 64 bits differ, with a deviation of 3: this is more than four deviations off.
@@ -173,42 +174,71 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     than five words are one shingle. NULL, empty and wordless texts hold and are
     nothing. Each row of ``docs`` has its own result, also if repeated; repeated
     items count once, different texts of one id are different items. An empty
-    table on either side gives no rows. Other columns are not read.
+    table on either side gives no rows. Other columns are not read. Long texts
+    are searched whole, each in one task.
     """
     kinds = [f.schema[c].dataType.simpleString() for f, c in ((docs, doc_id), (items, item_id))]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start_word int, n_words int"
     taken = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    parts = [taken.mapInArrow(_search(members), schema) for members in _item_blocks(items, item_id, text)]
-    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
+    return _by_blocks(taken, items, item_id, text, schema, _search)
+
+
+def _by_blocks(docs: DataFrame, items: DataFrame, item_id: str, text: str, schema: str, search: Callable) -> DataFrame:
+    """What ``search`` finds in ``docs`` for each block of items.
+
+    One block is searched when the result is asked for. Of several, each is
+    searched and its findings are written before the next is fetched, so that
+    neither the driver nor the plan grows with the items.
+    """
+    spark = docs.sparkSession
+    usable, blocks = _item_blocks(items, item_id, text)
+    if blocks == 0:
+        return spark.createDataFrame([], schema)
+    if blocks == 1:
+        return docs.mapInArrow(search(_block(usable, item_id, text, blocks, 0)), schema)
+    path = scratch_path(spark, "leaks")
+    for b in range(blocks):
+        docs.mapInArrow(search(_block(usable, item_id, text, blocks, b)), schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``find_leaks`` finds nothing in, with all their columns and without an exchange."""
-    at = docs.columns.index(text)
+    """The rows of ``docs`` that ``find_leaks`` finds nothing in, with all their columns.
 
-    def clean(members: list[tuple[object, str]]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    With one block of items there is no exchange. With several the documents
+    are written once with a number for each row, and those that any block finds
+    are taken out.
+    """
+    usable, blocks = _item_blocks(items, item_id, text)
+    if blocks == 0:
+        return docs
+    if blocks == 1:
+        at = docs.columns.index(text)
+        members = _block(usable, item_id, text, blocks, 0)
+
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = Block(members)
             for batch in by_bytes(batches, at, BATCH_BYTES):
                 found = {hit[0] for hit in block.search([t or "" for t in batch.column(at).to_pylist()])}
                 yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in found], pa.int64()))
 
-        return run
-
-    for members in _item_blocks(items, item_id, text):
-        docs = docs.mapInArrow(clean(members), docs.schema)
-    return docs
+        return docs.mapInArrow(clean, docs.schema)
+    row = spare("__row", docs.columns)
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "leak-rows")
+    found = find_leaks(kept, items, row, item_id, text).select(F.col("doc_id").alias(row)).distinct()
+    return kept.join(found, row, "left_anti").select(*docs.columns)
 
 
-def _item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """Distinct items with a text, about ``BLOCK_BYTES`` at a time."""
+def _item_blocks(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, int]:
+    """Distinct items with a text, and how many blocks of about ``BLOCK_BYTES`` they make."""
     usable = items.where(F.col(text).isNotNull()).select(item_id, text).distinct()
     size = usable.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES)
-    for b in range(blocks):
-        mine = usable.where(F.pmod(F.xxhash64(item_id, text), F.lit(blocks)) == b)
-        if members := sorted(((r[0], r[1]) for r in mine.collect()), key=str):
-            yield members
+    return usable, -(-size // BLOCK_BYTES)
+
+
+def _block(usable: DataFrame, item_id: str, text: str, blocks: int, b: int) -> list[tuple[object, str]]:
+    mine = usable.where(F.pmod(F.xxhash64(item_id, text), F.lit(blocks)) == b)
+    return sorted(((r[0], r[1]) for r in mine.collect()), key=str)
 
 
 def _search(members: list[tuple[object, str]]):

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import ascii_lower, spare
 
-#: Keys sampled for each bucket boundary; buckets for each shuffle partition.
-SAMPLED, BUCKETS = 64, 4
+#: Keys sampled for each bucket boundary; buckets for each partition; keys in a partition.
+SAMPLED, BUCKETS, KEYS = 64, 4, 2_000_000
+#: Parts over which urls without a host are dealt.
+SPREAD = 4096
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -57,12 +59,15 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
             url = spare(name + "_", []) if url == name else url
     judged = urls.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
     # Equal (host, path) meet before anything is sorted: a hot url counts once.
-    places = judged.select("host", "path").distinct()
+    places = judged.where("host <> ''").select("host", "path").distinct()
     found = _range_join(places, rules).select(
         F.col("host").alias("__host"), F.col("path").alias("__path"), "rule", "verdict"
     )
-    joined = judged.join(found, (F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path")), "left")
-    return joined.drop("__host", "__path").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    # Urls without a host have no rule to meet and are spread out.
+    nowhere = F.when(F.col("host") == "", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)) + 1).otherwise(0)
+    same = (F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path")) & (F.col("__spread") == F.col("__nowhere"))
+    joined = judged.withColumn("__spread", nowhere).join(found.withColumn("__nowhere", F.lit(0).cast("long")), same, "left")
+    return joined.drop("__host", "__path", "__spread", "__nowhere").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
 
 
 def _range_join(places: DataFrame, rules: DataFrame) -> DataFrame:
@@ -88,14 +93,15 @@ def _range_join(places: DataFrame, rules: DataFrame) -> DataFrame:
         lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."),
     )
     url_keys = places.select("host", "path", F.explode(suffixes).alias("suffix")).select(
-        F.concat("suffix", "path").alias("key"), "host", "path"
+        F.concat("suffix", "path").alias("key"), "host", "path", F.xxhash64("host").alias("spread")
     )
 
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    splitters = _splitters(url_keys, partitions * BUCKETS)
+    total = url_keys.count()
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // KEYS))
+    splitters = _splitters(url_keys, total, partitions * BUCKETS)
     null = F.lit(None).cast("string")
-    rows = url_keys.select("key", "host", "path", null.alias("rule"), null.alias("verdict")).unionByName(
-        rule_keys.select("key", null.alias("host"), null.alias("path"), "rule", "verdict")
+    rows = url_keys.select("key", "host", "path", null.alias("rule"), null.alias("verdict"), "spread").unionByName(
+        rule_keys.select("key", null.alias("host"), null.alias("path"), "rule", "verdict", F.lit(0).cast("long").alias("spread"))
     )
     placed = rows.mapInArrow(_place(splitters), "bucket int, " + _ddl(rows))
     swept = (
@@ -111,29 +117,32 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in df.dtypes)
 
 
-def _splitters(keys: DataFrame, buckets: int) -> list[str]:
-    """At most ``buckets - 1`` keys that part a sample of ``SAMPLED`` a bucket evenly."""
-    total = keys.count()
+def _splitters(keys: DataFrame, total: int, buckets: int) -> list[tuple[str, int]]:
+    """At most ``buckets - 1`` keys, with a hash of the host, that part a sample of ``SAMPLED`` a bucket evenly.
+
+    Many hosts may share a key, a rule's host with a common path: the hash parts those.
+    """
     wanted = SAMPLED * buckets
     if not total:
         return []
-    sample = keys.select("key").sample(min(1.0, wanted / total), seed=7).limit(2 * wanted)
-    sample = sorted(row.key for row in sample.collect())
+    sample = keys.select("key", "spread").sample(min(1.0, wanted / total), seed=7).limit(2 * wanted)
+    sample = sorted((row.key, row.spread) for row in sample.collect())
     return sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
 
 
-def _place(splitters: list[str]):
+def _place(splitters: list[tuple[str, int]]):
     """Give each url key its bucket, and each rule every bucket its interval meets."""
+    least = -(2**63)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, buckets = [], []
-            keys, rules = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            for i, (key, rule) in enumerate(zip(keys, rules)):
-                first = last = bisect_right(splitters, key)
+            keys, rules, spreads = (batch.column(i).to_pylist() for i in (0, 3, 5))
+            for i, (key, rule, spread) in enumerate(zip(keys, rules, spreads)):
+                first = last = bisect_right(splitters, (key, spread if rule is None else least - 1))
                 if rule is not None:
                     # The splitters from here on that begin with the key lie inside its interval.
-                    while last < len(splitters) and splitters[last].startswith(key):
+                    while last < len(splitters) and splitters[last][0].startswith(key):
                         last += 1
                 for bucket in range(first, last + 1):
                     rows.append(i)
@@ -152,7 +161,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = None
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for bucket, key, host, path, rule, verdict in zip(*(c.to_pylist() for c in batch.columns)):
+        for bucket, key, host, path, rule, verdict, _ in zip(*(c.to_pylist() for c in batch.columns)):
             if bucket != at:
                 at, stack = bucket, []
             while stack and not key.startswith(stack[-1][0]):

@@ -76,6 +76,11 @@ def test_edited_passages_and_edges(spark, monkeypatch, blocks):
     df = spark.createDataFrame([(d, t, 0.5) for d, t in docs], "doc_id long, text string, similarity double")
     got = result(K.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")))
     assert got == brute(docs, sorted(set(items), key=str))
+    kept = K.drop_leaks(df, spark.createDataFrame(items, "item_id long, text string"))
+    found = {d for d, *_ in got}
+    # Rows of one id differ in text; the id that is NULL is one row.
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in docs if d not in found)
 
 
 def test_empty(spark):

@@ -61,3 +61,33 @@ def test_conflicting_rules_block(spark):
     urls = spark.createDataFrame([(1, "http://net/a")], "page_id long, url string")
     rules = spark.createDataFrame([("net", "/", "allow"), ("net", "/", "block")], "host string, path string, verdict string")
     assert U.judge_urls(urls, rules).first().verdict == "block"
+
+
+def test_hosts_with_one_key_are_spread(spark, monkeypatch):
+    """Thousands of hosts below one rule with one path, and urls without a host."""
+    placed = []
+    place = U._place
+
+    def counted(splitters):
+        placed.append(splitters)
+        return place(splitters)
+
+    monkeypatch.setattr(U, "_place", counted)
+    urls = [f"http://h{i}.net/" for i in range(4000)] + [None, "nothing"] * 500 + ["http://q.org/fr/x"] * 20
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    got = U.judge_urls(df, rules).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, *judged(u, RULES)) for i, u in enumerate(urls)), key=str)
+    assert sum(key == "net/" for key, _ in placed[0]) > 5
+
+
+def test_rules_reach_all_parts_of_a_key():
+    splitters = [("net/", -5), ("net/", 0), ("net/", 7), ("net/a", 3), ("org/", 1)]
+    rows = [("net/", None, None, "net/", "block", 0), ("net/", "h", "/", None, None, 3), ("net/", "h", "/", None, None, 9)]
+    names = ["key", "host", "path", "rule", "verdict", "spread"]
+    batch = U.pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], U.pa.schema(
+        [(n, U.pa.int64() if n == "spread" else U.pa.string()) for n in names]
+    ))
+    out = next(U._place(splitters)(iter([batch])))
+    got = list(zip(out.column(0).to_pylist(), out.column(4).to_pylist()))
+    assert got == [(b, "net/") for b in range(5)] + [(2, None), (3, None)]
