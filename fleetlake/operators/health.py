@@ -15,6 +15,7 @@ from fleetlake.functions.columns import (
     risk_level,
     total_of,
 )
+from fleetlake.operators.partials import moment_stats
 from fleetlake.operators.skew import join_on, with_group_totals
 from fleetlake.settings import EQUIPMENT_TYPE, SENSOR_COLUMNS, HealthWeights, Series, SkewLimits
 
@@ -42,19 +43,25 @@ def with_sensor_stats(
     by: Sequence[str] = (),
     limits: SkewLimits = SkewLimits(),
     source: DataFrame | None = None,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """Every row with a ``__stats`` struct: the global (or per-``by``) moments of
     each sensor, and how many sensors vary at all.
 
     The global row is a scalar subquery, computed once and shipped as a value,
-    from ``source`` where ``df`` is the same rows behind a join.
+    from ``source`` where ``df`` is the same rows behind a join, or merged from
+    stored ``moments`` without reading rows at all.
     """
+    stored = moments
     moments = _moments([s for s in sensors if s in df.columns])
     varying = total_of(F.coalesce(F.col(c) > 0, F.lit(False)).cast("int") for c in moments if c.endswith("_std"))
     packed = F.struct(*moments, varying.alias("__varying"))
     if by:
         return with_group_totals(df, moments, by, limits).withColumn("__stats", packed).drop(*moments)
-    one = (source if source is not None else df).agg(*(moment.alias(name) for name, moment in moments.items()))
+    if stored is not None:
+        one = moment_stats(stored, [s for s in sensors if s in df.columns])
+    else:
+        one = (source if source is not None else df).agg(*(moment.alias(name) for name, moment in moments.items()))
     return df.withColumn("__stats", one.select(packed).scalar())
 
 
@@ -77,13 +84,13 @@ def health_score(
     return _scored(df, weights, series.on(df), stats_by, sensors, limits).drop("__last")
 
 
-def _scored(df, weights, series, stats_by, sensors, limits) -> DataFrame:
+def _scored(df, weights, series, stats_by, sensors, limits, moments=None) -> DataFrame:
     """``health_score`` and the last cycle of the unit as ``__last``."""
     dated = with_group_totals(df, {"__last": F.max(series.clock)}, series.keys, limits)
     present = [s for s in sensors if s in df.columns]
     if not present:
         return dated.withColumn("health_score", F.lit(100.0))
-    prepared = with_sensor_stats(dated, present, stats_by, limits, df)
+    prepared = with_sensor_stats(dated, present, stats_by, limits, df, moments)
 
     def deviation(sensor: str) -> Column:
         mean, std = F.col(f"__stats.{sensor}_mean"), F.col(f"__stats.{sensor}_std")
@@ -124,10 +131,15 @@ def equipment_health(
     now: datetime | None = None,
     stats_by: Sequence[str] = (),
     limits: SkewLimits = SkewLimits(),
+    moments: DataFrame | None = None,
 ) -> DataFrame:
-    """The health fact: score, degradation, remaining life and risk per (unit, cycle)."""
+    """The health fact: score, degradation, remaining life and risk per (unit, cycle).
+
+    With ``moments`` (see :mod:`fleetlake.operators.partials`) the global
+    statistics come from what is stored instead of another read of silver.
+    """
     series = series.on(silver)
-    scored = _scored(silver, weights, series, stats_by, SENSOR_COLUMNS, limits)
+    scored = _scored(silver, weights, series, stats_by, SENSOR_COLUMNS, limits, moments)
     score = F.col("health_score")
     return scored.select(
         equipment_key(silver.columns).alias("equipment_key"),

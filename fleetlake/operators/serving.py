@@ -36,6 +36,31 @@ def health_histogram(summary: DataFrame, bins: int = 20, low: float = 0.0, high:
     )
 
 
+def round_steps(least: int = -9, most: int = 12) -> list[float]:
+    """1, 2 and 5 times the powers of ten."""
+    return [float(f"{m}e{e}") for e in range(least, most + 1) for m in (1, 2, 5)]
+
+
+def auto_histogram(df: DataFrame, column: str = "health_score", bins: int = 20) -> DataFrame:
+    """(bin_start, bin_end, units): at most ``bins`` bins whose width is the least round one, from the data's range.
+
+    Edges are multiples of the width; a value on an edge belongs to the bin
+    above it, empty bins are left out. Widths go from 1e-9 to 5e12; a single
+    value has a bin of the least width. NULL, NaN and infinite values do not
+    count; without others there are no rows.
+    """
+    value = F.col(column).cast("double")
+    finite = df.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))).select(value.alias("x"))
+    ends = finite.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    widths = F.array(*(F.lit(s) for s in round_steps()))
+    fitting = F.filter(widths, lambda w: F.floor(F.col("high") / w) - F.floor(F.col("low") / w) + 1 <= bins)
+    width = ends.select(F.array_min(fitting)).scalar()
+    placed = finite.withColumn("__width", width).withColumn("__n", F.floor(F.col("x") / F.col("__width")))
+    counted = placed.groupBy("__n", "__width").agg(F.count(F.lit(1)).alias("units"))
+    edge = F.col("__n").cast("double")
+    return counted.select((edge * F.col("__width")).alias("bin_start"), ((edge + 1) * F.col("__width")).alias("bin_end"), "units")
+
+
 PRIORITY_COLUMNS = (
     "priority_rank",
     "unit_id",

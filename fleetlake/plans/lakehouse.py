@@ -12,6 +12,7 @@ from fleetlake.functions.columns import dataset_of
 from fleetlake.operators.features import ml_features
 from fleetlake.operators.health import dim_equipment, equipment_health, equipment_summary
 from fleetlake.operators.ledger import Ledger, skip_ingested
+from fleetlake.operators.partials import sensor_moments, unit_sketches
 from fleetlake.operators.quality import ObservedChecks, range_violations, silver_checks, validate
 from fleetlake.operators.silver import CLEAN, with_outcome
 from fleetlake.plans.marts import STORED, build_marts, write_marts
@@ -23,6 +24,7 @@ from fleetlake.sinks.tables import (
     write_bronze_rul,
     write_features,
     write_gold,
+    write_layer,
     write_outcomes,
 )
 from fleetlake.sources.layers import delete_path, discover_sources, read_layer, read_split
@@ -115,14 +117,19 @@ def _complain_of_empty(spark: SparkSession, sources: Mapping[str, str], found: D
         raise EmptySource(f"no lines in {', '.join(empty)}")
 
 
-def health_tables(silver: DataFrame, settings: Settings, now: datetime) -> dict[str, DataFrame]:
+def health_tables(
+    silver: DataFrame, settings: Settings, now: datetime, moments: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Dimension and health fact; the summary follows from the written fact."""
-    return {
-        "dim_equipment": dim_equipment(silver),
-        "fact_equipment_health": equipment_health(
-            silver, settings.health, settings.series, now, limits=settings.limits
-        ),
-    }
+    health = equipment_health(silver, settings.health, settings.series, now, limits=settings.limits, moments=moments)
+    return {"dim_equipment": dim_equipment(silver), "fact_equipment_health": health}
+
+
+def refresh_partials(spark: SparkSession, own: DataFrame, paths: Paths) -> dict[str, DataFrame]:
+    """Moments and unit sketches of the run's data sets, stored beside those of the others; all of them, read back."""
+    made = {"sensor_moments": sensor_moments(own), "unit_sketches": unit_sketches(own)}
+    written = {name: write_layer(df, f"{paths.gold_dir}/partials/{name}", ["dataset_id"]) for name, df in made.items()}
+    return {name: read_layer(spark, path) for name, path in written.items()}
 
 
 def end_to_end(
@@ -205,7 +212,8 @@ def end_to_end(
         # Features are partitioned by data set: those of other runs stay. Scores rest on statistics over all.
         own = silver().filter(F.col("dataset_id").isin(ids))
         write_features(ml_features(own, settings.features, limits=settings.limits), paths)
-        written = write_gold(health_tables(silver(), settings, now), paths)
+        moments = refresh_partials(spark, own, paths)["sensor_moments"]
+        written = write_gold(health_tables(silver(), settings, now, moments), paths)
         health = read_layer(spark, written["fact_equipment_health"])
         write_gold({"equipment_health_summary": equipment_summary(health, silver(), now)}, paths)
         return read_layer(spark, f"{paths.gold_dir}/ml_features").count()

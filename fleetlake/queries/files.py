@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import dataclasses
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from fleetlake.operators.features import ml_features
+from fleetlake.operators.health import equipment_summary
 from fleetlake.operators.ledger import Ledger
-from fleetlake.operators.series import remaining_useful_life
 from fleetlake.operators.silver import split_duplicates
 from fleetlake.plans import lakehouse
 from fleetlake.queries import layers as L
@@ -25,6 +28,7 @@ from fleetlake.settings import READING_COLUMNS, SENSOR_COLUMNS, SETTING_COLUMNS,
 from fleetlake.sinks import tables as K
 from fleetlake.sources import layers as R
 from fleetlake.sources import text as T
+from fleetlake.sources.trees import tree_checksums
 from fleetlake.streaming.incremental import incremental_ingest
 
 NOW = datetime(2024, 1, 1)
@@ -126,6 +130,63 @@ def file_checksum(spark, sf):
     return hashed.select(unit.alias("unit"), "file_checksum")
 
 
+@query(
+    "file_checksum_lines",
+    "SELECT DISTINCT 'train_FD00' || CAST(l_suppkey % 4 + 1 AS VARCHAR) || '.txt' AS source_file, true AS same_in_parts, "
+    "true AS own FROM lineitem",
+)
+def file_checksum_lines(spark, sf):
+    """Each source as one file of many lines and as a folder of parts: whether both have one checksum that no other has."""
+    folders = [scratch_path(spark, "hashed") for _ in range(2)]
+    for n, folder in enumerate(folders):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{(n + 1) * 64}k")
+        try:
+            write_sources(V.full(spark, sf), folder)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    hashed = [T.source_checksums(spark, f"{folder}/*") for folder in folders]
+    pairs = hashed[0].join(hashed[1].withColumnRenamed("file_checksum", "other"), "source_file")
+    alike = W.partitionBy("file_checksum")
+    return pairs.select(
+        "source_file",
+        (F.col("file_checksum") == F.col("other")).alias("same_in_parts"),
+        (F.count(F.lit(1)).over(alike) == 1).alias("own"),
+    )
+
+
+CHUNK, FAN = 512, 64
+
+
+def _tree_sql() -> str:
+    """Chunks of each kind's text, then three levels; the only hash of a file stays as it is."""
+    levels = "".join(
+        f""",
+  l{i} AS (SELECT kind, node AS n, CASE WHEN node = 0 AND count(*) = 1 THEN min(hash)
+             ELSE sha256(unhex(string_agg(hash, '' ORDER BY n))) END AS hash
+           FROM (SELECT *, n // {FAN} AS node FROM l{i - 1}) GROUP BY kind, node)"""
+        for i in (1, 2, 3)
+    )
+    return f"""
+  WITH texts AS (SELECT event_type AS kind, string_agg(event_id || ' ' || user_id, chr(10) ORDER BY event_id) || chr(10) AS t
+                 FROM events GROUP BY event_type),
+  cut AS (SELECT kind, t, unnest(generate_series(0, (length(t) - 1) // {CHUNK})) AS n FROM texts),
+  l0 AS (SELECT kind, n, sha256(substr(t, n * {CHUNK} + 1, {CHUNK})) AS hash FROM cut){levels}
+  SELECT kind, hash AS file_checksum FROM l3"""
+
+
+@query("file_checksum_tree", _tree_sql())
+def file_checksum_tree(spark, sf):
+    """One file for each kind of event, hashed as a tree over its splits."""
+    folder = scratch_path(spark, "trees")
+    events = V.table(spark, sf, "events").withColumn("kind", F.col("event_type"))
+    line = F.concat_ws(" ", "event_id", "user_id")
+    events.repartition("kind").sortWithinPartitions("kind", "event_id").select("kind", line.alias("value")).write.partitionBy(
+        "kind"
+    ).text(folder)
+    hashed = tree_checksums(spark, f"{folder}/*/*.txt", CHUNK, FAN)
+    return hashed.select(F.regexp_extract("source_path", "kind=([^/]*)/", 1).alias("kind"), "file_checksum")
+
+
 def _lake(spark, name: str):
     """Settings whose folders lie below a fresh scratch path."""
     base = scratch_path(spark, name)
@@ -178,11 +239,13 @@ def incremental(spark, sf):
         late = (F.col("unit_id") % 3 == 2) == F.lit(run == 2)
         for number in (1, 2, 3, 4):
             rows = readings.filter(late & (F.col("dataset_id") == f"FD00{number}")).select(*READING_COLUMNS)
-            line = rows.coalesce(1).sortWithinPartitions("unit_id", "cycle").select(F.concat_ws("  ", *rows.columns))
-            if not line.isEmpty():
-                written = scratch_path(spark, "part")
-                line.write.text(written)
-                R.move_path(spark, spark.read.text(written).inputFiles()[0], f"{paths.source_dir}/train_FD00{number}.txt/part-{run}")
+            if rows.isEmpty():
+                continue
+            written = scratch_path(spark, "part")
+            write_lines(rows, written, ["unit_id", "cycle"])
+            # Parts sort as they arrive, and within a run as their rows do.
+            for n, part in enumerate(sorted(spark.read.text(written).inputFiles())):
+                R.move_path(spark, part, f"{paths.source_dir}/train_FD00{number}.txt/part-{run}-{n:05}")
         readings.limit(3).select(F.lit("not a source")).coalesce(1).write.mode("append").text(f"{paths.source_dir}/readme.txt")
         incremental_ingest(spark, paths.source_dir, paths, ledger, checkpoint, f"run-{run}")
     again = sum(lakehouse.ingest(spark, settings, ledger, "run-3", settings.dataset_ids, NOW).values())
@@ -285,14 +348,44 @@ def quarantine_ranges_sink(spark, sf):
 
 @query(
     "gold_sinks",
-    with_ctes(V.CLEAN)
-    + f"SELECT 'rul' AS name, dataset_id, unit_id, cycle, max(cycle) OVER ({V.UNIT}) - cycle AS remaining_useful_life FROM clean",
+    with_ctes(*L.SUMMARY_CTES)
+    + """SELECT 'dim_equipment' AS name, unit_id || '_' || dataset_id AS equipment_key, unit_id, max(cycle) AS cycle,
+  count(*)::DOUBLE AS value FROM silver GROUP BY unit_id, dataset_id
+UNION ALL SELECT 'fact_equipment_health', equipment_key, unit_id, cycle, round(health_score, 6) + 0.0 FROM health
+UNION ALL SELECT 'equipment_health_summary', equipment_key, unit_id, latest_cycle, round(health_score, 6) + 0.0 FROM summary
+UNION ALL SELECT 'ml_features', unit_id || '_' || dataset_id, unit_id, cycle,
+  round(sensor_02 - lag(sensor_02) OVER (PARTITION BY dataset_id, unit_id ORDER BY cycle), 6) + 0.0 FROM silver""",
 )
 def gold_sinks(spark, sf):
+    """The four gold tables, written twice and read back."""
     settings, _ = _lake(spark, "gold")
-    lives = remaining_useful_life(V.clean(spark, sf)).drop("sensor_02", "source_row_number")
-    written = K.write_gold({"rul": lives}, settings.paths)
-    return R.read_layer(spark, written["rul"]).withColumn("name", F.lit("rul"))
+    silver = R.read_layer(spark, K.write_silver(L.silver(spark, sf), settings.paths))
+    for _ in range(2):
+        written = K.write_gold(lakehouse.health_tables(silver, L.SETTINGS, NOW), settings.paths)
+        health = R.read_layer(spark, written["fact_equipment_health"])
+        written |= K.write_gold({"equipment_health_summary": equipment_summary(health, silver, NOW)}, settings.paths)
+        written["ml_features"] = K.write_features(ml_features(silver), settings.paths)
+    tables = {name: R.read_layer(spark, path) for name, path in written.items()}
+    key = F.concat(F.col("unit_id").cast("string"), F.lit("_"), F.col("dataset_id"))
+    values = {
+        "dim_equipment": ("equipment_key", "last_observed_cycle", F.col("total_operational_cycles").cast("double")),
+        "fact_equipment_health": ("equipment_key", "cycle", F.col("health_score")),
+        "equipment_health_summary": ("equipment_key", "latest_cycle", F.col("health_score")),
+        "ml_features": (key, "cycle", F.col("sensor_02_rate_of_change")),
+    }
+    parts = []
+    for name, (own_key, cycle, value) in values.items():
+        own_key = F.col(own_key) if isinstance(own_key, str) else own_key
+        parts.append(
+            tables[name].select(
+                F.lit(name).alias("name"),
+                own_key.alias("equipment_key"),
+                "unit_id",
+                F.col(cycle).alias("cycle"),
+                value.alias("value"),
+            )
+        )
+    return rounded(reduce(DataFrame.unionByName, parts))
 
 
 @query(
