@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators.skew import join_on
-from fleetlake.sources.layers import path_exists
+from fleetlake.sources.layers import delete_path, list_names, path_exists
 
 SEQUENCE = "sequence"
 #: Where an event stands among those of the same instant.
@@ -70,6 +70,21 @@ def latest(events: DataFrame, keys: Sequence[str], by: str = "event_at", drop_by
     return events.groupBy(*keys).agg(*newest)
 
 
+def deciding_events(events: DataFrame, keys: Sequence[str], by: str = "event_at") -> DataFrame:
+    """The events that some field of ``latest`` comes from, at most one for each field of a key; equal ones once."""
+    fields = [c for c in events.columns if c not in keys and c not in (by, SEQUENCE)]
+    place = [F.col(by)] + ([F.coalesce(SEQUENCE, F.lit(0))] if SEQUENCE in events.columns else [])
+    whole = F.struct(*events.columns)
+    winners = [F.max_by(whole, F.when(F.col(c).isNotNull(), F.struct(*place, F.col(c)))) for c in fields]
+    newest = F.max_by(whole, F.struct(*place))
+    kept = events.groupBy(*keys).agg(F.array_distinct(F.array_compact(F.array(*winners, newest))).alias("__kept"))
+    return kept.select(F.inline("__kept")).select(*events.columns)
+
+
+#: Tables of states, and the keys of a state.
+STATE_KEYS = {"pipeline_runs": ["pipeline_run_id"], "pipeline_task_metrics": ["pipeline_run_id", "task_name"]}
+
+
 def run_states(events: DataFrame) -> DataFrame:
     """Current state of every run; counters nobody reported are 0."""
     state = latest(events, ["pipeline_run_id"])
@@ -146,22 +161,90 @@ def recent_task_metrics(tasks: DataFrame, run_id: str | None = None, limit: int
 # --- the stored ledger ------------------------------------------------------
 
 
+#: Folder of the compacted events of each table, a version each, below the ledger's.
+COMPACTED = "_compacted"
+
+
 class Ledger:
-    """Event tables below one folder. Each change appends one small file."""
+    """Event tables below one folder. Each change appends one small file.
+
+    ``compact`` writes the events of a table anew as few files, with the names
+    of the files it took them from. Readers take the newest version that is
+    complete, and the files it does not name. Nothing that a reader or another
+    writer may be using is changed: what a version has taken over is deleted by
+    the compaction after the next, and a version is complete once the list of
+    names, written last, is there.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self._spark = spark
         self._root = root.rstrip("/")
 
     def events(self, table: str) -> DataFrame:
+        """All events: those of the newest compacted version and those after it."""
         path = f"{self._root}/{table}"
-        if path_exists(self._spark, path):
-            return self._spark.read.schema(SCHEMAS[table]).parquet(path)
-        return self._spark.createDataFrame([], SCHEMAS[table])
+        version, taken = self._newest(table)
+        if version is None:
+            if path_exists(self._spark, path):
+                return self._spark.read.schema(SCHEMAS[table]).parquet(path)
+            return self._spark.createDataFrame([], SCHEMAS[table])
+        later = [f"{path}/{name}" for name in list_names(self._spark, path) if name not in taken and not name.startswith(("_", "."))]
+        return self._spark.read.schema(SCHEMAS[table]).parquet(f"{version}/events", *later)
 
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self._root}/{table}")
 
+    def _versions(self, table: str) -> list[str]:
+        """Complete versions, oldest first."""
+        folder = f"{self._root}/{COMPACTED}/{table}"
+        names = sorted(n for n in list_names(self._spark, folder) if path_exists(self._spark, f"{folder}/{n}/files/_SUCCESS"))
+        return [f"{folder}/{n}" for n in names]
+
+    def _newest(self, table: str) -> tuple[str | None, set[str]]:
+        versions = self._versions(table)
+        return (versions[-1], self._taken(versions[-1])) if versions else (None, set())
+
+    def _taken(self, version: str) -> set[str]:
+        """Names of the files whose events a version holds: those between two compactions."""
+        return {r.name for r in self._spark.read.schema("name string").parquet(f"{version}/files").collect()}
+
+    def compact(self, table: str, now: datetime | None = None) -> int:
+        """Fold a table's files into one version; how many files it replaces from now on.
+
+        Of runs and tasks only events stay that decide a field of their state.
+        Another compaction at the same time makes a version of its own; the
+        one with the later name holds, and either is complete.
+        """
+        path = f"{self._root}/{table}"
+        names = [n for n in list_names(self._spark, path) if not n.startswith(("_", "."))]
+        versions = self._versions(table)
+        known = self._taken(versions[-1]) if versions else set()
+        later = [n for n in names if n not in known]
+        if not later:
+            return 0
+        sources = [f"{path}/{n}" for n in later] + ([f"{versions[-1]}/events"] if versions else [])
+        events = self._spark.read.schema(SCHEMAS[table]).parquet(*sources)
+        if table in STATE_KEYS:
+            events = deciding_events(events, STATE_KEYS[table])
+        stamp = (now or datetime.now(UTC)).strftime("%Y%m%dT%H%M%S%f")
+        # Versions sort by their number, which grows even after old ones are gone.
+        number = int(versions[-1].rsplit("/", 1)[1].split("-")[0]) + 1 if versions else 0
+        version = f"{self._root}/{COMPACTED}/{table}/{number:06}-{stamp}-{uuid.uuid4().hex[:8]}"
+        events.coalesce(1).write.parquet(f"{version}/events")
+        taken = self._spark.createDataFrame([(n,) for n in sorted(known | set(later))], "name string")
+        taken.coalesce(1).write.parquet(f"{version}/files")
+        self._clear(path, versions)
+        return len(later)
+
+    def _clear(self, path: str, before: list[str]) -> None:
+        """Delete what readers have had a whole compaction to leave: versions before the last one, and its files."""
+        if not before:
+            return
+        for name in self._taken(before[-1]):
+            delete_path(self._spark, f"{path}/{name}")
+        for version in before[:-1]:
+            delete_path(self._spark, version)
+
     def _event(self, table: str, **values) -> None:
         names = [part.split()[0] for part in SCHEMAS[table].split(", ")]
         row = tuple(values.get(name) for name in names)

@@ -34,12 +34,17 @@ def move_path(spark: SparkSession, path: str, target: str) -> None:
     system.rename(_file_system(spark, path)[0], place)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, sorted; none if it is missing."""
+    if not path_exists(spark, path):
+        return []
+    place, system = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place))
+
+
 def replace_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
     """Move each folder below ``staged`` to its name below ``target``, in place of what is there; their names."""
-    if not path_exists(spark, staged):
-        return []
-    place, system = _file_system(spark, staged)
-    names = sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+    names = [name for name in list_names(spark, staged) if "=" in name]
     for name in names:
         delete_path(spark, f"{target}/{name}")
         move_path(spark, f"{staged}/{name}", f"{target}/{name}")
