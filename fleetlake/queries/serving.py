@@ -12,6 +12,7 @@ from fleetlake.queries import layers as L
 from fleetlake.queries import views as V
 from fleetlake.queries.registry import query
 from fleetlake.queries.views import r, rounded, with_ctes
+from fleetlake.session import scratch_path
 from fleetlake.settings import SENSOR_COLUMNS, SETTING_COLUMNS
 
 STAGED = "staged AS (SELECT * FROM silver WHERE record_quality_status <> 'QUARANTINED')"
@@ -334,6 +335,19 @@ def run_states(spark, sf):
     return _run_columns(G.run_states(order_runs(spark, sf)))
 
 
+@query("ledger_compaction", with_ctes(RUNS_CTE) + "SELECT * FROM runs")
+def ledger_compaction(spark, sf):
+    """Run events in many files, compacted twice while others arrive."""
+    ledger = G.Ledger(spark, scratch_path(spark, "ledger"))
+    events = order_runs(spark, sf)
+    for part in range(3):
+        mine = F.pmod(F.xxhash64(*events.columns), F.lit(3)) == part
+        ledger.append("pipeline_runs", events.filter(mine).repartition(20))
+        if part < 2:
+            ledger.compact("pipeline_runs")
+    return _run_columns(ledger.runs())
+
+
 @query("recent_runs", with_ctes(RUNS_CTE) + "SELECT * FROM runs ORDER BY started DESC, pipeline_run_id LIMIT 50")
 def recent_runs(spark, sf):
     return _run_columns(G.recent_runs(G.run_states(order_runs(spark, sf))))
