@@ -198,9 +198,10 @@ class Spikes:
 
     def text(self, sensor: str) -> str:
         varies = f"__std_{sensor} > {NOISE} * abs(__mean_{sensor})"
+        away = f"abs({sensor} - __mean_{sensor}) > {self._rule.sigma} * __std_{sensor}"
         slack = f"{self._rule.tolerance} * greatest(abs({sensor}), abs(__mean_{sensor}))"
-        away = f"abs({sensor} - __mean_{sensor}) > {self._rule.sigma} * __std_{sensor} + {slack}"
-        return f"coalesce({varies} AND {away}, false)"
+        # What ties need is looked at only beyond the plain limit, where few values are.
+        return f"coalesce({away} AND {varies} AND {away} + {slack}, false)"
 
     def any(self, sensors: Sequence[str]) -> str:
         return " OR ".join(self.text(s) for s in sensors) or "false"
