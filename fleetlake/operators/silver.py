@@ -39,7 +39,7 @@ def _as(column: str, have: str, wanted: str) -> Column:
     value = F.col(column)
     if have in ("tinyint", "smallint", "int", "bigint", "float") and wanted == "double" or have in ("tinyint", "smallint", "int"):
         return value.cast(wanted)
-    message = F.concat(F.lit(f"{column} is not a {wanted}: "), value.cast("string"))
+    message = F.concat(F.lit(f"{column} cannot be cast to {wanted}: "), value.cast("string"))
     return F.when(value.isNotNull(), F.coalesce(value.try_cast(wanted), F.raise_error(message).cast(wanted)))
 
 

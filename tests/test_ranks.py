@@ -63,7 +63,7 @@ def test_types_are_enforced_in_any_mode(spark, ansi):
         good = spark.createDataFrame([("1", 2, "3.5"), (None, 3, None)], "unit_id string, cycle int, sensor_01 string")
         assert [tuple(r) for r in enforce_types(good).collect()] == [(1, 2, 3.5), (None, 3, None)]
         bad = spark.createDataFrame([("x", 2, "3.5")], "unit_id string, cycle int, sensor_01 string")
-        with pytest.raises(Exception, match="unit_id is not a bigint: x"):
+        with pytest.raises(Exception, match="unit_id cannot be cast to bigint: x"):
             enforce_types(bad).collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
