@@ -119,17 +119,27 @@ def with_outcome(
     settings: Settings = Settings(),
     now: datetime | None = None,
     duplicate_keys: Sequence[str] = DUPLICATE_KEYS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Every row of bronze with its ``outcome``, ``clean`` or ``quarantined``.
 
     Clean rows are those of :func:`to_silver`, with their flags; the flags,
     status and time of quarantined ones are NULL. Both come out of the same
-    exchange, so that one write can store them.
+    exchange, so that one write can store them. ``buckets`` makes that exchange
+    place rows by unit into as many partitions, one for each bucket to be
+    written, unless there are hot units.
     """
-    return _flagged(bronze, settings, now, duplicate_keys, True)
+    return _flagged(bronze, settings, now, duplicate_keys, True, buckets)
 
 
-def _flagged(bronze: DataFrame, settings: Settings, now: datetime | None, duplicate_keys: Sequence[str], both: bool) -> DataFrame:
+def _flagged(
+    bronze: DataFrame,
+    settings: Settings,
+    now: datetime | None,
+    duplicate_keys: Sequence[str],
+    both: bool,
+    buckets: int | None = None,
+) -> DataFrame:
     typed = flag_ranges(enforce_types(bronze), settings.ranges)
     limits = settings.limits
     series = settings.series.on(typed)
@@ -154,7 +164,7 @@ def _flagged(bronze: DataFrame, settings: Settings, now: datetime | None, duplic
         clean, copies = split_duplicates(typed, keys, limits=limits)
         flagged = over_series(clean, *stages, **window)
     elif not profile.hot_groups:
-        placed = _with_copies(typed, series, keys)
+        placed = _with_copies(typed, series, keys, buckets)
         if both:
             # A unit's copies are a series of their own, beside that of its single rows.
             apart = {**window, "series": Series((*series.keys, "__copy"), series.order, ())}
@@ -190,11 +200,12 @@ SILVER_COLUMNS = (
 )
 
 
-def _with_copies(df: DataFrame, series: Series, keys: Sequence[str]) -> DataFrame:
+def _with_copies(df: DataFrame, series: Series, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """``__copy`` marks rows whose key is not single. Their units fit a task, so all copies do."""
     by = [*series.keys, *(k for k in keys if k not in series.keys)]
     copies = F.count(F.lit(1)).over(W.partitionBy(*by))
-    return df.repartition(*series.keys).withColumn("__copy", copies > 1)
+    placed = df.repartition(buckets, "unit_id") if buckets else df.repartition(*series.keys)
+    return placed.withColumn("__copy", copies > 1)
 
 
 def quarantined_duplicates(

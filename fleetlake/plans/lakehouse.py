@@ -14,10 +14,12 @@ from fleetlake.operators.health import dim_equipment, equipment_health, equipmen
 from fleetlake.operators.ledger import Ledger, skip_ingested
 from fleetlake.operators.partials import sensor_moments, unit_sketches
 from fleetlake.operators.quality import ObservedChecks, range_violations, silver_checks, validate
-from fleetlake.operators.silver import CLEAN, with_outcome
+from fleetlake.operators.silver import CLEAN, enforce_types, with_outcome
+from fleetlake.operators.skew import profile_groups
 from fleetlake.plans.marts import STORED, build_marts, write_marts
 from fleetlake.session import scratch_path
 from fleetlake.settings import Paths, Settings
+from fleetlake.sinks.bucketed import bucket_number, buckets_of, read_bucketed
 from fleetlake.sinks.tables import (
     quarantine_range_violations,
     write_bronze,
@@ -172,8 +174,8 @@ def end_to_end(
         known = F.col("dataset_id").isin(ids)
         return read_split(spark, f"{paths.bronze_dir}/sensor_readings", split).filter(known)
 
-    def silver() -> DataFrame:
-        return read_layer(spark, f"{paths.silver_dir}/sensor_readings")
+    def silver(own: Sequence[str] | None = None) -> DataFrame:
+        return read_bucketed(spark, f"{paths.silver_dir}/sensor_readings", own)
 
     def check(frame: DataFrame, layer: str, name: str) -> int:
         return record(validate(frame, layer, run_id, now, settings), layer, name)
@@ -201,17 +203,23 @@ def end_to_end(
         return 0
 
     def clean() -> int:
-        rows = with_outcome(bronze(), settings, now)
+        # Layers are bucketed by unit, so that features, health and marts need no exchange of readings. A hot unit
+        # would be one bucket, so data sets with one are stored as they come.
+        readings = bronze()
+        profile = profile_groups(enforce_types(readings), settings.series.on(readings).keys, settings.limits)
+        buckets = None if profile.hot_groups else bucket_number(spark, profile.rows)
+        rows = with_outcome(readings, settings, now, buckets=buckets)
         # Silver's checks are measured while it is written. Other data sets' rows were checked by their own runs.
         checks = silver_checks(rows.drop("outcome"), now, settings)
         observed["silver"] = ObservedChecks(checks, F.col("outcome") == CLEAN, "silver")
-        write_outcomes(observed["silver"].watch(rows), paths, ids)
+        write_outcomes(observed["silver"].watch(rows), paths, ids, buckets)
         return observed["silver"].rows()[0]
 
     def derive() -> int:
         # Features are partitioned by data set: those of other runs stay. Scores rest on statistics over all.
-        own = silver().filter(F.col("dataset_id").isin(ids))
-        write_features(ml_features(own, settings.features, limits=settings.limits), paths)
+        own = silver(ids)
+        buckets = buckets_of(spark, f"{paths.silver_dir}/sensor_readings", ids)
+        write_features(ml_features(own, settings.features, limits=settings.limits), paths, buckets)
         moments = refresh_partials(spark, own, paths)["sensor_moments"]
         written = write_gold(health_tables(silver(), settings, now, moments), paths)
         health = read_layer(spark, written["fact_equipment_health"])
@@ -224,7 +232,7 @@ def end_to_end(
         return read_layer(spark, written["fact_sensor_readings"]).count()
 
     def validate_gold() -> int:
-        check(read_layer(spark, f"{paths.gold_dir}/ml_features"), "gold", "ml_features")
+        check(read_bucketed(spark, f"{paths.gold_dir}/ml_features"), "gold", "ml_features")
         for name in ("dim_equipment", "fact_equipment_health", "equipment_health_summary"):
             check(read_layer(spark, f"{paths.gold_dir}/analytics/{name}"), "gold", name)
         for name in STORED:

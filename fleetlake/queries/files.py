@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from fleetlake.operators.features import ml_features
 from fleetlake.operators.health import equipment_summary
 from fleetlake.operators.ledger import Ledger
-from fleetlake.operators.silver import split_duplicates
+from fleetlake.operators.silver import split_duplicates, with_outcome
 from fleetlake.plans import lakehouse
 from fleetlake.queries import layers as L
 from fleetlake.queries import views as V
@@ -26,6 +26,7 @@ from fleetlake.queries.views import r, rounded, with_ctes
 from fleetlake.session import scratch_path
 from fleetlake.settings import READING_COLUMNS, SENSOR_COLUMNS, SETTING_COLUMNS, Paths
 from fleetlake.sinks import tables as K
+from fleetlake.sinks.bucketed import bucket_number, read_bucketed
 from fleetlake.sources import layers as R
 from fleetlake.sources import text as T
 from fleetlake.sources.trees import tree_checksums
@@ -388,6 +389,20 @@ def gold_sinks(spark, sf):
     return rounded(reduce(DataFrame.unionByName, parts))
 
 
+@query("bucketed_layers", L.FEATURE_SQL)
+def bucketed_layers(spark, sf):
+    """Silver and features in buckets of units, by two runs; each is read back without an exchange."""
+    settings, _ = _lake(spark, "bucketed")
+    bronze = V.daily(spark, sf)
+    buckets = bucket_number(spark, bronze.count())
+    for ids in (["FD001", "FD002"], ["FD003", "FD004"]):
+        own = bronze.filter(F.col("dataset_id").isin(ids))
+        silver = K.write_outcomes(with_outcome(own, L.SETTINGS, NOW, buckets=buckets), settings.paths, ids, buckets)
+        features = ml_features(read_bucketed(spark, silver, ids))
+        path = K.write_features(features, settings.paths, buckets)
+    return L.feature_columns(read_bucketed(spark, path))
+
+
 @query(
     "end_to_end",
     with_ctes(*L.SUMMARY_CTES)

@@ -239,13 +239,19 @@ def _feature_sql() -> str:
     return with_ctes(*SILVER_CTES) + f"SELECT {columns} FROM silver"
 
 
+FEATURE_SQL = _feature_sql()
+
+
 def _features(spark, sf, limits=SkewLimits()):
-    built = ml_features(silver(spark, sf), limits=limits)
+    return feature_columns(ml_features(silver(spark, sf), limits=limits))
+
+
+def feature_columns(built):
     dropped = [*NUMBERS, *FLAGS, "silver_processed_at", "source_file", "ingested_at", "pipeline_run_id"]
     return rounded(built.drop(*dropped, "source_row_number"))
 
 
-@query("ml_features", _feature_sql())
+@query("ml_features", FEATURE_SQL)
 def ml_features_query(spark, sf):
     return _features(spark, sf)
 

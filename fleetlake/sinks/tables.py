@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.settings import Paths
+from fleetlake.sinks.bucketed import write_bucketed_layer, write_buckets
 from fleetlake.sources.layers import delete_path, replace_partitions
 
 BRONZE_PARTITIONS = ("dataset_id", "source_file")
@@ -38,8 +39,10 @@ def write_silver(silver: DataFrame, paths: Paths) -> str:
     return write_layer(silver, f"{paths.silver_dir}/sensor_readings", ["dataset_id"])
 
 
-def write_features(features: DataFrame, paths: Paths) -> str:
-    return write_layer(features, f"{paths.gold_dir}/ml_features", ["dataset_id"])
+def write_features(features: DataFrame, paths: Paths, buckets: int | None = None) -> str:
+    """By data set, and within one in buckets of units where ``buckets`` says how many."""
+    path = f"{paths.gold_dir}/ml_features"
+    return write_bucketed_layer(features, path, buckets) if buckets else write_layer(features, path, ["dataset_id"])
 
 
 def write_gold(tables: Mapping[str, DataFrame], paths: Paths) -> dict[str, str]:
@@ -73,18 +76,22 @@ def quarantine_range_violations(violations: DataFrame, paths: Paths, found: bool
     return quarantine(violations, paths, "sensor_range_violations", found, dataset_ids)
 
 
-def write_outcomes(rows: DataFrame, paths: Paths, dataset_ids: Sequence[str]) -> str:
+def write_outcomes(rows: DataFrame, paths: Paths, dataset_ids: Sequence[str], buckets: int | None = None) -> str:
     """Silver and the quarantine of duplicates from one write of rows with their ``outcome``.
 
     The write goes to a hidden folder beside silver, by outcome and data set.
     Then its folders take the place of those they replace, the quarantine's
     first, so that no row is in silver before its copies are in quarantine. What
     an earlier run quarantined of ``dataset_ids`` is cleared. After a failure in
-    between the step can simply be repeated.
+    between the step can simply be repeated. With ``buckets`` both are stored in
+    buckets of units.
     """
     spark = rows.sparkSession
     staged = f"{paths.silver_dir}/_outcomes-{uuid.uuid4().hex}"
-    rows.write.partitionBy("outcome", "dataset_id").parquet(staged)
+    if buckets:
+        write_buckets(rows, staged, buckets, ("outcome", "dataset_id"))
+    else:
+        rows.write.partitionBy("outcome", "dataset_id").parquet(staged)
     quarantined = replace_partitions(spark, f"{staged}/outcome=quarantined", f"{paths.quarantine_dir}/duplicates")
     for folder in {f"dataset_id={d}" for d in dataset_ids} - set(quarantined):
         delete_path(spark, f"{paths.quarantine_dir}/duplicates/{folder}")

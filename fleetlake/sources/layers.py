@@ -42,6 +42,18 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(place))
 
 
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of the file system, hidden ones included."""
+    place, system = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in system.globStatus(place) or ())
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    place, system = _file_system(spark, path)
+    system.create(place, True).close()
+
+
 def replace_partitions(spark: SparkSession, staged: str, target: str) -> list[str]:
     """Move each folder below ``staged`` to its name below ``target``, in place of what is there; their names."""
     names = [name for name in list_names(spark, staged) if "=" in name]
