@@ -8,21 +8,25 @@ from pyspark.sql import functions as F
 
 from fleetlake.session import cut_lineage
 
+#: A node with more links than this, and than a 100,000th of all, is a hub: there are at most 200,000 of them.
+HUB, SHARE = 1_000, 100_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) of all nodes in ``links`` (a, b: longs).
 
     Each round points every node's larger neighbours to its least neighbour,
     and then its smaller ones, until nothing changes. Least neighbours are
-    aggregated map-side, so a node with very many links stays spread.
+    aggregated map-side and those of hubs are broadcast, so the links of a node
+    with very many never meet in one task.
     """
     edges = cut_lineage(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    before = None
+    before, hub = None, max(HUB, edges.count() // SHARE)
     while True:
-        edges = cut_lineage(_star(_star(edges, large=True), large=False))
+        edges = cut_lineage(_star(_star(edges, True, hub), False, hub))
         state = edges.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")
         ).first()
@@ -52,13 +56,15 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[others], nodes[label[others]]
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One operation; edges are (a, b) with a > b."""
+def _star(edges: DataFrame, large: bool, hub: int) -> DataFrame:
+    """One operation; edges are (a, b) with a > b. Nodes of more than ``hub`` links are joined by broadcast."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         both = both.union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+    hubs = F.broadcast(least.where(F.col("n") > hub).select("u", "m"))
+    rest = both.join(hubs.select("u"), "u", "left_anti").join(least.where(F.col("n") <= hub).select("u", "m"), "u")
+    joined = rest.union(both.join(hubs, "u"))
     if large:
         out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

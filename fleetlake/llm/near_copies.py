@@ -39,6 +39,8 @@ BUCKET_BLOCK, CLUSTER_BLOCK, CLUSTER_SHINGLES = 1024, 512, 1_000_000
 #: Index entries looked at together.
 TOGETHER = 1_000_000
 BATCH_BYTES = 4_000_000
+#: What a task is to compare, about.
+TASK_BYTES = 64_000_000
 
 
 @lru_cache(maxsize=1)
@@ -173,11 +175,14 @@ def _blocks(df: DataFrame, group: str, key: str, blocks: Column) -> DataFrame:
     return joined.withColumn("__mine", mine).withColumn("__pair", F.explode(others)).drop("__n", "__k")
 
 
-def _grouped(df: DataFrame, group: str) -> DataFrame:
-    """Groups together and in order within partitions; the exchange is by group and pair of blocks."""
+def _grouped(df: DataFrame, group: str, size: int) -> DataFrame:
+    """Groups together and in order within partitions; the exchange is by group and pair of blocks.
+
+    ``size`` is that of all rows in bytes, from which the number of partitions follows.
+    """
     pair = F.xxhash64(group, "__pair").alias("pair")
     keyed = df.withColumn("__at", pair)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
     return keyed.repartition(n, "__at").sortWithinPartitions("__at", group).drop("__pair", "__mine")
 
 
@@ -228,9 +233,8 @@ def _alike(classes: DataFrame, percent: int) -> DataFrame:
     # Only keys are exploded and counted; what shares a bucket is joined with its signature after that.
     members = signed.select("class", F.explode("keys").alias("bucket"))
     shared = stored(_blocks(members, "bucket", "class", F.count(F.lit(1)) / BUCKET_BLOCK), "buckets")
-    blocks = _grouped(shared.join(signed.select("class", "n", "small"), "class"), "bucket").select(
-        "__at", "class", "n", "small"
-    )
+    rows = shared.join(signed.select("class", "n", "small"), "class")
+    blocks = _grouped(rows, "bucket", shared.count() * (COORDINATES + 32)).select("__at", "class", "n", "small")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, 0):
@@ -277,7 +281,9 @@ def _confirmed(taken: DataFrame, classes: DataFrame, clusters: DataFrame, size:
         texts.select("class", "cluster", "n", "text").mapInArrow(sets, "class long, cluster long, n long, items binary"), "shingle-sets"
     )
     number = F.greatest(F.count(F.lit(1)) / CLUSTER_BLOCK, F.sum("n") / CLUSTER_SHINGLES)
-    blocks = _grouped(_blocks(full, "cluster", "class", number), "cluster").select("__at", "class", "items")
+    # Each set goes out once for each block of its cluster.
+    sent = full.groupBy("cluster").agg((F.sum("n") * 8 * F.ceil(number)).alias("size")).agg(F.sum("size")).first()[0] or 0
+    blocks = _grouped(_blocks(full, "cluster", "class", number), "cluster", int(sent)).select("__at", "class", "items")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, 0):

@@ -120,7 +120,9 @@ def test_stars_join_what_links_join():
     assert dict(zip(node.tolist(), least.tolist())) == {n: m for n, m in label.items() if n != m}
 
 
-def test_components_of_a_long_chain_and_a_hub(spark):
+@pytest.mark.parametrize("hub", [2, 1000])
+def test_components_of_a_long_chain_and_a_hub(spark, monkeypatch, hub):
+    monkeypatch.setattr("fleetlake.llm.components.HUB", hub)
     links = [(i, i + 1) for i in range(40)] + [(1000, i) for i in range(1001, 1400)] + [(5, 5)]
     df = spark.createDataFrame(links, "a long, b long")
     got = {r.node: r.component for r in components(df).collect()}
