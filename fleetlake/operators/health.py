@@ -183,15 +183,18 @@ def equipment_summary(health: DataFrame, silver: DataFrame, now: datetime | None
     return summary.withColumn("last_updated_at", _stamp(now))
 
 
-def dim_equipment(silver: DataFrame, equipment_type: str = EQUIPMENT_TYPE) -> DataFrame:
-    """One row per unit and data set, with its first and last cycle."""
+def dim_equipment(silver: DataFrame, equipment_type: str = EQUIPMENT_TYPE, count_rows: bool = False) -> DataFrame:
+    """One row per unit and data set, with its first and last cycle.
+
+    Its cycles are counted, or with ``count_rows`` its rows, those without a cycle included.
+    """
     keys = [k for k in ("unit_id", "dataset_id") if k in silver.columns]
     return (
         silver.groupBy(*keys)
         .agg(
             F.min("cycle").alias("first_observed_cycle"),
             F.max("cycle").alias("last_observed_cycle"),
-            F.count("cycle").alias("total_operational_cycles"),
+            F.count(F.lit(1) if count_rows else F.col("cycle")).alias("total_operational_cycles"),
         )
         .withColumn("equipment_key", equipment_key(keys))
         .withColumn("equipment_type", F.lit(equipment_type))

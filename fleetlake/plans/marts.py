@@ -188,7 +188,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """All models by name, each registered as a temp view for SQL users."""
     staged = stage_readings(silver)
-    dim = dim_equipment(staged)
+    dim = dim_equipment(staged, count_rows=True)
     marts = {
         "stg_sensor_readings": staged,
         "int_sensor_rolling_metrics": rolling_metrics(staged, limits=limits),
