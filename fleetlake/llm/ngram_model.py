@@ -11,6 +11,11 @@ scored in batches: the distinct words and pairs of a batch are sent to the parts
 they belong to, and counts and levels come back to the batch. A pair's count is
 found by probing level after level until one is missing, and is smoothed towards
 the frequency of its second word.
+
+A frequent word is in every batch, so that every batch sends a row to its part.
+Beyond ``FAN`` rows such a part is counted in lanes whose sums are added up, and
+stands in several copies when texts are scored. Exchanges have at least as many
+partitions as there are parts.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ PART_BYTES = 10_000_000
 #: Weight of the word frequencies, in tokens.
 PRIOR = 200.0
 BATCH_BYTES, BATCH_TOKENS = 4_000_000, 3_000_000
+#: Rows of batches that meet in one group; a part that more batches know of is counted, and answers, in several.
+FAN = 1024
 #: No word holds a blank: these stand for the end of a text, its start, and words without a class of their own.
 END, START, SHARED = b" ", b"  ", b"   "
 #: Head words fall into buckets of counts this many to a doubling.
@@ -92,7 +99,7 @@ def piece_of(keys: np.ndarray) -> np.ndarray:
 
 def positions(keys: np.ndarray, level: int, width: int) -> Iterator[np.ndarray]:
     """Places of one level of each key within its piece."""
-    first = mixed(keys + np.uint64(level) * MULTIPLIER)
+    first = mixed(keys + np.full(1, level, np.uint64) * MULTIPLIER)
     second = mixed(first ^ MULTIPLIER) | np.uint64(1)
     for i in range(PROBES):
         spread = (first + np.uint64(i) * second) >> np.uint64(32)
@@ -248,7 +255,7 @@ def _head(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Trained:
     model: Model
-    parts: DataFrame  # part, words, counts, bits, width
+    parts: DataFrame  # part, words, counts, bits, width, batches
 
 
 def train(
@@ -279,8 +286,8 @@ def _parts_for(texts: DataFrame) -> int:
     return max(1, -(-size // PART_BYTES))
 
 
-_COUNTS = "part long, words binary, word_counts binary, pairs binary, pair_counts binary"
-_PART = "part long, words binary, counts binary, bits binary, width long, tokens long, distinct long, ends long"
+_COUNTS = "part long, lane long, batches long, words binary, word_counts binary, pairs binary, pair_counts binary"
+_PART = "part long, words binary, counts binary, bits binary, width long, batches long, tokens long, distinct long, ends long"
 
 
 def _arrow(rows: list[tuple], fields: str) -> pa.Table:
@@ -290,10 +297,17 @@ def _arrow(rows: list[tuple], fields: str) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _partitions(df: DataFrame, parts: int) -> int:
+    """A partition for each part, however many the session asks for."""
+    return max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _counted(texts: DataFrame, parts: int, own: np.ndarray | None) -> DataFrame:
     """The parts of the model. A batch sends each part one row, its keys once each."""
+    lanes = -(-parts // FAN)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lane = TaskContext.get().partitionId() % lanes
         for _, hashes in _gathered(batches, 0):
             words, n = np.unique(hashes, return_counts=True)
             pairs, m = np.unique(pair_keys(hashes, own), return_counts=True)
@@ -301,7 +315,7 @@ def _counted(texts: DataFrame, parts: int, own: np.ndarray | None) -> DataFrame:
             sent = []
             for i in np.flatnonzero((w[1:] > w[:-1]) | (p[1:] > p[:-1])):
                 a, b = slice(w[i], w[i + 1]), slice(p[i], p[i + 1])
-                sent.append((int(i), packed_set(words[a]), packed(n[a]), packed_set(pairs[b]), packed(m[b])))
+                sent.append((int(i), lane, 1, packed_set(words[a]), packed(n[a]), packed_set(pairs[b]), packed(m[b])))
             yield from _arrow(sent, _COUNTS).to_batches()
 
     def summed(group: pa.Table, keys: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
@@ -310,27 +324,43 @@ def _counted(texts: DataFrame, parts: int, own: np.ndarray | None) -> DataFrame:
         unique, where = np.unique(every, return_inverse=True)
         return unique, np.bincount(where, weights=n, minlength=len(unique)).astype(np.int64)
 
+    def add(group: pa.Table) -> pa.Table:
+        words, n = summed(group, "words", "word_counts")
+        pairs, m = summed(group, "pairs", "pair_counts")
+        known = group["part"][0].as_py(), group["lane"][0].as_py(), sum(group["batches"].to_pylist())
+        return _arrow([(*known, packed_set(words), packed(n), packed_set(pairs), packed(m))], _COUNTS)
+
     def build(group: pa.Table) -> pa.Table:
         words, n = summed(group, "words", "word_counts")
         levels = built(*summed(group, "pairs", "pair_counts"))
         ends = int(n[words == _one(END)].sum())
         row = (group["part"][0].as_py(), packed_set(words), packed(n), levels.bits.tobytes(), levels.width)
-        return _arrow([(*row, int(n.sum()), len(n), ends)], _PART)
+        return _arrow([(*row, sum(group["batches"].to_pylist()), int(n.sum()), len(n), ends)], _PART)
 
-    return texts.mapInArrow(count, _COUNTS).groupBy("part").applyInArrow(build, _PART)
+    sent, partitions = texts.mapInArrow(count, _COUNTS), _partitions(texts, parts)
+    if lanes > 1:
+        sent = sent.repartition(partitions, "part", "lane").groupBy("part", "lane").applyInArrow(add, _COUNTS)
+    return sent.repartition(partitions, "part").groupBy("part").applyInArrow(build, _PART)
 
 
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 _ASKED = "cell long, batch long, words binary, pairs binary, tokens binary, kept binary"
 
 
-def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(
+    docs: DataFrame, trained: Trained, text: str = "text", keep: list[str] | None = None, from_files: bool = False
+) -> DataFrame:
     """``docs`` with n_tokens, n_known, train_tokens, base_score and score.
 
     NULL and empty texts are one token, the end. Every word of a text is
     scored. With an empty training set all counts are 0. Rows stay as they are,
     repeated ones too. Columns called like a result keep their values under the
-    name with an underscore added. ``keep`` names the columns that stay.
+    name with an underscore added. ``keep`` names the columns that stay. A text
+    of any length is one row of one batch.
+
+    Texts are stored first, so that a task that runs again after a loss cuts the
+    same batches; ``from_files`` says that ``docs`` are rows of files as they
+    were read, which come in the same order anyway.
     """
     model = trained.model
     parts = model.parts
@@ -338,8 +368,18 @@ def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str]
     names = [spare(c + "_", docs.columns) if c in RESULTS else c for c in columns]
     taken = docs.select(*(docs[c].alias(n) for c, n in zip(columns, names)), F.coalesce(docs[text], F.lit("")).alias("__text"))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in taken.schema.fields[:-1])
-    # A part that far more text asks than it was trained on answers in several lanes.
-    lanes = -(-_parts_for(taken.select(F.col("__text").alias("text"))) // (2 * parts))
+    if not from_files:
+        taken = stored(taken, "scored-texts", "zstd")
+    # A part that far more text asks than it was trained on, or far more batches, answers in several lanes.
+    asking = _parts_for(taken.select(F.col("__text").alias("text")))
+    least = -(-asking // (2 * parts))
+    by_batches = F.ceil(F.col("batches") * F.lit(asking) / F.lit(parts * FAN)).cast("int")
+    held = trained.parts.withColumn("lanes", F.greatest(F.lit(least), by_batches))
+    # Four bytes for every 10 MB of training text.
+    lanes = np.full(parts, least, np.int32)
+    for r in held.where(F.col("lanes") > least).select("part", "lanes").collect():
+        lanes[r.part] = r.lanes
+    most = int(lanes.max())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -352,15 +392,15 @@ def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str]
             sent = []
             for i in np.flatnonzero((w[1:] > w[:-1]) | (p[1:] > p[:-1])):
                 keys = packed_set(words[w[i] : w[i + 1]]), packed_set(pairs[p[i] : p[i + 1]])
-                sent.append((int(i) * lanes + batch % lanes, batch, *keys, None, None))
+                sent.append((int(i) * most + batch % int(lanes[i]), batch, *keys, None, None))
             table = pa.Table.from_batches(rows).select(list(range(len(names))))
             table = table.append_column("__none", pa.nulls(table.num_rows))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_table(table)
             # Passes the parts by, as a cell of its own.
-            held = packed_set(words), None, packed(where), sink.getvalue().to_pybytes()
-            yield from _arrow([*sent, (parts * lanes + batch, batch, *held)], _ASKED).to_batches()
+            own = packed_set(words), None, packed(where), sink.getvalue().to_pybytes()
+            yield from _arrow([*sent, (parts * most + batch, batch, *own)], _ASKED).to_batches()
 
     def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
         held = part.to_pylist()
@@ -384,14 +424,14 @@ def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str]
     def finish(group: pa.Table) -> pa.Table:
         *answers, own = sorted(group.to_pylist(), key=lambda r: r["cell"])
         if own["kept"] is None or not answers:
-            raise RuntimeError("a batch of texts was cut anew while its words were looked up")
+            raise RuntimeError("a batch of texts was cut anew while its words were looked up: from_files does not hold")
         hashes, where = unpacked_set(own["words"]), unpacked(own["tokens"]).astype(np.int64)
         counts = np.concatenate([unpacked(r["words"]) for r in answers]).astype(np.int64)
         tokens = hashes[where]
         pairs, of = np.unique(pair_keys(tokens, model.own), return_inverse=True)
         seen = middle(np.concatenate([unpacked(r["pairs"]) for r in answers]).astype(np.int64))
         if len(counts) != len(hashes) or len(seen) != len(pairs):
-            raise RuntimeError("a batch of texts was cut anew while its words were looked up")
+            raise RuntimeError("a batch of texts was cut anew while its words were looked up: from_files does not hold")
         ends = np.flatnonzero(tokens == _one(END))
         starts = np.concatenate([[0], ends[:-1] + 1])
         base = np.log10((counts + 1) / (model.tokens + model.distinct + 1))
@@ -407,8 +447,10 @@ def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str]
             table = table.append_column(name, pa.array(values))
         return table
 
-    each = trained.parts.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    held = each.select((F.col("part") * lanes + F.col("lane")).alias("cell"), "words", "counts", "bits", "width")
-    answered = taken.mapInArrow(ask, _ASKED).groupBy("cell").cogroup(held.groupBy("cell")).applyInArrow(answer, _ASKED)
+    each = held.withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
+    cells = each.select((F.col("part") * most + F.col("lane")).alias("cell"), "words", "counts", "bits", "width")
+    partitions = _partitions(docs, max(parts, asking))
+    asked = taken.mapInArrow(ask, _ASKED).repartition(partitions, "cell").groupBy("cell")
+    answered = asked.cogroup(cells.repartition(partitions, "cell").groupBy("cell")).applyInArrow(answer, _ASKED)
     schema = f"{kept}n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return answered.groupBy("batch").applyInArrow(finish, schema)
+    return answered.repartition(partitions, "batch").groupBy("batch").applyInArrow(finish, schema)

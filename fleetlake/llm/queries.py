@@ -172,7 +172,8 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_hash(F.col("doc_id"), 7) == 2, F.lit(False))
     trained = ngram_model.train(docs, ~held_out)
-    return ngram_model.score(docs.withColumn("held_out", held_out), trained, keep=["doc_id", "held_out"])
+    rows = docs.withColumn("held_out", held_out)
+    return ngram_model.score(rows, trained, keep=["doc_id", "held_out"], from_files=True)
 
 
 @query("op2_nearest")

@@ -152,3 +152,45 @@ def test_packed_numbers():
     for n in (0, 1, 1000):
         x = np.sort(rng.integers(0, 2**64, n, np.uint64))
         assert (N.unpacked(N.packed(x)) == x).all() and (N.unpacked_set(N.packed_set(x)) == x).all()
+
+
+def test_a_word_in_every_text_is_counted_and_asked_in_lanes(spark, monkeypatch):
+    """Far more batches than rows that may meet in one group: the same counts, the hot part in several copies."""
+    rng = np.random.default_rng(5)
+    texts = ["the " + " ".join(f"w{j}" for j in rng.integers(0, 400, 60)) for _ in range(80)] + [None, "the", "the " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(40)
+    whole = {r.doc_id: r for r in N.score(df, N.train(df, F.lit(True))).collect()}
+    monkeypatch.setattr(N, "FAN", 2)
+    monkeypatch.setattr(N, "PART_BYTES", 2_000)
+    trained = N.train(df, F.col("doc_id") >= 0)
+    the = int((N.word_hashes([b"the"])[0] >> np.uint64(32)) * np.uint64(trained.model.parts) >> np.uint64(32))
+    hot = trained.parts.where(F.col("part") == the).select("batches").collect()
+    assert trained.model.parts > 2 * N.FAN and hot[0].batches > 10 * N.FAN
+    got = {r.doc_id: r for r in N.score(df, trained).collect()}
+    want = base_of(texts, texts)
+    assert len(got) == len(texts)
+    for i, (n, known, total, base) in enumerate(want):
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total)
+        assert got[i].base_score == pytest.approx(base, rel=1e-9)
+        # The filter is cut otherwise, so other pairs may hit by chance.
+        assert got[i].score == pytest.approx(whole[i].score, abs=0.05 * n)
+
+
+def test_rows_in_another_order_at_every_reading(spark):
+    """Texts are stored before batches are cut: a source without an order is read once."""
+    import pyarrow as pa
+
+    runs = spark.sparkContext.accumulator(0)
+    texts = [f"some words of text {i} and more" for i in range(40)]
+
+    def shuffled(batches):
+        runs.add(1)
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    trained = N.train(df, F.lit(True))
+    scored = N.score(df.mapInArrow(shuffled, df.schema), trained)
+    before = runs.value
+    first, second = ({r.doc_id: r.score for r in scored.collect()} for _ in range(2))
+    assert first == pytest.approx(second) and len(first) == 40 and before == runs.value == 1
