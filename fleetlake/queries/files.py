@@ -31,6 +31,7 @@ from fleetlake.sources import layers as R
 from fleetlake.sources import text as T
 from fleetlake.sources.trees import tree_checksums
 from fleetlake.streaming.incremental import incremental_ingest
+from fleetlake.streaming.silver import grow_silver
 from fleetlake.streaming.tails import read_growing_silver, refresh_silver
 
 NOW = datetime(2024, 1, 1)
@@ -329,6 +330,17 @@ def growing_silver(spark, sf):
     return L._silver_columns(read_growing_silver(spark, path))
 
 
+@query("silver_stream", L.TO_SILVER_SQL)
+def silver_stream(spark, sf):
+    """Readings are added to a folder in two parts, every fifth unit's in the wrong order; the stream runs after each."""
+    path, folder, bronze = scratch_path(spark, "silver-stream"), scratch_path(spark, "feed"), V.daily(spark, sf)
+    late = F.when(F.col("unit_id") % 5 == 0, F.col("cycle") <= 1200).otherwise(F.col("cycle") > 1200)
+    for part in (~late, late):
+        bronze.filter(part).write.mode("append").parquet(folder)
+        grow_silver(spark, folder, path, L.SETTINGS, NOW, gather_after=2)
+    return L._silver_columns(read_growing_silver(spark, path))
+
+
 @query(
     "quarantine_duplicates_sink",
     with_ctes(V.HOURLY)

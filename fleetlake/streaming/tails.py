@@ -9,12 +9,16 @@ rows of earlier batches then no longer count.
 ``silver/batch=N`` and ``tails/batch=N`` belong to batch N. The batch replaces
 its own folders, silver first, and looks at earlier ones only, so that it can be
 repeated after any failure. Batches run one after another.
+
+After every few batches the tails of all units are written together below
+``all-tails``; later batches read the newest of these and the tails since.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +31,8 @@ from fleetlake.settings import SENSOR_COLUMNS, Settings
 from fleetlake.sources.layers import delete_path, list_names, path_exists, read_layer
 
 BATCH = "batch"
+#: Batches whose tails are read one by one before all are written together.
+GATHER_AFTER = 16
 
 
 def refresh_silver(
@@ -37,6 +43,7 @@ def refresh_silver(
     settings: Settings = Settings(),
     now: datetime | None = None,
     changed: DataFrame | None = None,
+    gather_after: int = GATHER_AFTER,
 ) -> None:
     """Bring the silver below ``path`` up to date with the bronze rows of a batch.
 
@@ -44,10 +51,11 @@ def refresh_silver(
     included. Of ``bronze`` only the units built anew are used. ``changed`` are
     (dataset_id, unit_id) of units whose rows were replaced or taken away.
     NULL cycles count as late. A batch without rows leaves silver as it is.
+    Tails are gathered once ``gather_after`` batches have left some.
     """
     spark = new.sparkSession
     keys, clock = settings.series.keys, settings.series.clock
-    for name in ("silver", "tails"):  # what is left of a try that failed
+    for name in ("all-tails", "silver", "tails"):  # what is left of a try that failed
         delete_path(spark, f"{path}/{name}/{BATCH}={batch}")
 
     came = new.groupBy(*keys).agg(
@@ -103,6 +111,8 @@ def refresh_silver(
         F.when(F.col("__anew"), F.lit(batch).cast("long")).otherwise(F.coalesce("since", F.lit(batch).cast("long"))).alias("since"),
         F.coalesce("rows", F.array().cast(kept.schema["rows"].dataType)).alias("rows"),
     ).write.parquet(f"{path}/tails/{BATCH}={batch}")
+    if len(_tail_batches(spark, path, batch + 1)[1]) >= gather_after:
+        gather_tails(spark, path, batch)
 
 
 def _same(keys: Sequence[str], prefix: str):
@@ -121,15 +131,30 @@ def _ends(tails: DataFrame | None, units: DataFrame, keys: Sequence[str]) -> Dat
 
 def latest_tails(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """(keys, last_cycle, since, rows) of every unit after the batches earlier than ``before``; None without any."""
-    done = [n for n in _batches(spark, f"{path}/tails") if before is None or n < before]
-    if not done:
+    gathered, single = _tail_batches(spark, path, before)
+    tables = [_table(spark, f"{path}/{name}", n) for name, n in (("all-tails", gathered), ("tails", single)) if n]
+    if not tables:
         return None
-    table = _table(spark, f"{path}/tails", done)
+    table = reduce(DataFrame.unionByName, tables)
     keys = [c for c in table.columns if c not in ("last_cycle", "since", "rows", BATCH)]
     newest = table.groupBy(*keys).agg(F.max_by(F.struct("last_cycle", "since", "rows"), BATCH).alias("t"))
     return newest.select(*keys, "t.*")
 
 
+def gather_tails(spark: SparkSession, path: str, batch: int) -> None:
+    """Write the tails of all units as of a finished batch together; until that write is done they are read as before."""
+    tails = latest_tails(spark, path, batch + 1)
+    if tails is not None:
+        tails.write.mode("overwrite").parquet(f"{path}/all-tails/{BATCH}={batch}")
+
+
+def _tail_batches(spark: SparkSession, path: str, before: int | None) -> tuple[list[int], list[int]]:
+    """The newest batch with gathered tails, if any, and the finished batches after it."""
+    done = [n for n in _batches(spark, f"{path}/tails") if before is None or n < before]
+    newest = [n for n in _batches(spark, f"{path}/all-tails") if n in done][-1:]
+    return newest, [n for n in done if not newest or n > newest[0]]
+
+
 def read_growing_silver(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Silver as of the last finished batch, or as of those earlier than ``before``."""
     done = [n for n in _batches(spark, f"{path}/tails") if before is None or n < before]

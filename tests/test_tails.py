@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fleetlake.operators.silver import to_silver
 from fleetlake.settings import METADATA_COLUMNS, READING_COLUMNS, Settings, SkewLimits, SpikeRule
 from fleetlake.sources.layers import delete_path
-from fleetlake.streaming.tails import latest_tails, read_growing_silver, refresh_silver
+from fleetlake.streaming.silver import grow_silver
+from fleetlake.streaming.tails import gather_tails, latest_tails, read_growing_silver, refresh_silver
 
 NOW = datetime(2024, 5, 1, tzinfo=UTC)
 SETTINGS = dataclasses.replace(Settings(), spikes=SpikeRule(8, 2.0))
@@ -83,3 +84,56 @@ def test_the_past_is_not_read_and_batches_can_be_repeated(spark, bronze, tmp_pat
     left = plain.drop("batch").filter("unit_id = 4 OR (unit_id = 2 AND cycle < 30)")
     refresh_silver(nothing, left, path, 3, SETTINGS, NOW, units)
     assert as_set(read_growing_silver(spark, path)) == as_set(to_silver(left, SETTINGS, NOW))
+
+
+def test_gathered_tails_say_the_same(spark, bronze, tmp_path):
+    path = str(tmp_path)
+    for batch in range(3):
+        new, known = (bronze.filter(F.col("batch") == batch).drop("batch"), bronze.filter(F.col("batch") <= batch).drop("batch"))
+        refresh_silver(new, known, path, batch, SETTINGS, NOW, gather_after=99)
+    gather_tails(spark, path, 9)  # nothing is lost by a number beyond the last
+    delete_path(spark, f"{path}/all-tails")
+    single = as_set(latest_tails(spark, path))
+    gather_tails(spark, path, 1)
+    assert as_set(latest_tails(spark, path)) == single
+    assert not any("/tails/batch=1" in f or "/tails/batch=0" in f for f in latest_tails(spark, path).inputFiles())
+    # Earlier states do not see it; a repeated batch takes its own away.
+    assert as_set(latest_tails(spark, path, 1)) == as_set(spark.read.parquet(f"{path}/tails/batch=0"))
+    last = [bronze.filter(c).drop("batch") for c in ("batch = 3", "batch <= 3")]
+    refresh_silver(*last, path, 3, SETTINGS, NOW, gather_after=2)
+    assert as_set(read_growing_silver(spark, path)) == as_set(to_silver(last[1], SETTINGS, NOW))
+    assert all("all-tails/batch=3" in f for f in latest_tails(spark, path).inputFiles())
+    refresh_silver(*last, path, 3, SETTINGS, NOW, gather_after=99)
+    assert not any("all-tails/batch=3" in f for f in latest_tails(spark, path).inputFiles())
+    assert as_set(read_growing_silver(spark, path)) == as_set(to_silver(last[1], SETTINGS, NOW))
+
+
+def test_stream_of_readings(spark, bronze, tmp_path, monkeypatch):
+    from fleetlake.streaming import silver as stream
+
+    path, feed = str(tmp_path / "lake"), str(tmp_path / "feed")
+    add = lambda batch: bronze.filter(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(feed)
+    upto = lambda batch: as_set(to_silver(bronze.filter(F.col("batch") <= batch).drop("batch"), SETTINGS, NOW))
+    add(0)
+    grow_silver(spark, feed, path, SETTINGS, NOW)
+    grow_silver(spark, feed, path, SETTINGS, NOW)  # nothing new
+    assert as_set(read_growing_silver(spark, path)) == upto(0)
+    # The batch fails after its rows were written: silver stays as it was until the batch is repeated.
+    add(1)
+    whole = stream.refresh_silver
+
+    def broken(new, known, path, batch, *rest, **more):
+        whole(new, known, path, batch, *rest, **more)
+        delete_path(spark, f"{path}/tails/batch={batch}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(stream, "refresh_silver", broken)
+    with pytest.raises(Exception, match="lost"):
+        grow_silver(spark, feed, path, SETTINGS, NOW)
+    assert as_set(read_growing_silver(spark, path)) == upto(0)
+    monkeypatch.setattr(stream, "refresh_silver", whole)
+    # Two more files come before it is; one file a batch, and the first batch already sees them in the folder.
+    add(2)
+    add(3)
+    grow_silver(spark, feed, path, SETTINGS, NOW, max_files=1, gather_after=2)
+    assert as_set(read_growing_silver(spark, path)) == upto(3)
