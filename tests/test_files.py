@@ -8,9 +8,11 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlake.functions.columns import source_name
 from fleetlake.operators import ledger as G
 from fleetlake.plans import lakehouse
 from fleetlake.plans.marts import STORED
+from fleetlake.queries.files import write_sources
 from fleetlake.settings import READING_COLUMNS, Paths, Settings, load_features, load_sensor_ranges
 from fleetlake.sinks import tables as K
 from fleetlake.sources import layers as R
@@ -252,3 +254,55 @@ def test_settings_from_yaml(tmp_path):
     assert load_features(str(features))["sensor_02"].rolling_windows == (5,)
     with pytest.raises(ValueError):
         Settings(column_names=READING_COLUMNS[:-1])
+
+
+def write(path, lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+
+
+def _names_lines(df) -> int:
+    """Times the plan takes a source's name from a path below the first aggregate, that is for each line."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    found, below = 0, None
+    for text in plan.split("\n"):
+        depth = len(text) - len(text.lstrip(" :+-"))
+        below = depth if "Aggregate" in text and below is None else below if below is None or depth > below else None
+        found += "(?:train|test|RUL)_FD" in text and (below is not None and depth > below)
+    return found
+
+
+def test_sources_are_named_once_per_split(spark, tmp_path):
+    write(tmp_path / "train_FD001.txt" / "part-0", ["1 1", "", "1 2"])
+    write(tmp_path / "train_FD002.txt" / "part-0", ["2 1"])
+    numbered = T.with_row_numbers(T.read_lines(spark, str(tmp_path / "*")))
+    rows = {(r.source_file, r.line, r.source_row_number) for r in numbered.collect()}
+    assert rows == {("train_FD001.txt", "1 1", 1), ("train_FD001.txt", "1 2", 2), ("train_FD002.txt", "2 1", 1)}
+    assert _names_lines(numbered) == 0
+    stored = T.store_lines(spark, str(tmp_path / "*"), str(tmp_path / "_stored"))
+    T.split_shifts(stored).write.parquet(str(tmp_path / "_shifts"))
+    second = T.numbered_lines(stored, spark.read.parquet(str(tmp_path / "_shifts")), 4).filter("source_file LIKE '%2.txt'")
+    assert [(r.line, r.line_number) for r in second.collect()] == [("2 1", 1)]
+    assert "(?:train|test|RUL)_FD" not in second._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_name_of_a_source_in_a_long_path(spark):
+    paths = ["file:/a/train_b/x-train_FD001.txt.gz/part-0", "file:/x/RUL_FD004.txt", "train_FD002.txt", "file:/" + "train_" * 9 + "/plain"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string").select(source_name(F.col("p")).alias("n")).collect()
+    assert [r.n for r in rows] == ["x-train_FD001.txt.gz", "RUL_FD004.txt", "train_FD002.txt", "plain"]
+
+
+def test_sources_come_from_one_write(spark, tmp_path):
+    rows = [(f"FD00{u % 3 + 1}", u, c, *[float(u * c)] * 24) for u in range(1, 7) for c in range(1, 30)]
+    df = spark.createDataFrame(rows, ["dataset_id", *READING_COLUMNS])
+    whole = [str(tmp_path / n) for n in "ab"]
+    for folder, parts in zip(whole, (3, 11)):
+        paths = write_sources(df, folder, parts=parts)
+        assert [p.rsplit("/", 1)[1] for p in paths] == [f"train_FD00{n}.txt" for n in (1, 2, 3, 4)]
+        read = T.scan_sensor_text(spark, paths)
+        got = sorted((r.dataset_id, r.source_row_number, r.unit_id, r.cycle) for r in read.collect())
+        want = [(f"FD00{n}", i, u, c) for n in (1, 2, 3) for i, (u, c) in enumerate(sorted((r[1], r[2]) for r in rows if r[0] == f"FD00{n}"), 1)]
+        assert got == want
+    sums = [{tuple(r) for r in T.source_checksums(spark, f"{f}/*").collect()} for f in whole]
+    assert sums[0] == sums[1] and len(sums[0]) == 3
+    assert len(list((tmp_path / "b" / "train_FD001.txt").glob("part-*"))) > len(list((tmp_path / "a" / "train_FD001.txt").glob("part-*")))
