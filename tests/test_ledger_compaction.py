@@ -93,3 +93,18 @@ def test_deciding_events_decide(spark):
     keys = G.STATE_KEYS["pipeline_task_metrics"]
     kept = G.deciding_events(events, keys)
     assert states(G.latest(kept, keys)) == states(G.latest(events, keys)) and kept.count() <= 4 * 6
+
+
+def test_large_tables_are_compacted_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(G, "FILE_BYTES", 2_000)
+    ledger = G.Ledger(spark, str(tmp_path / "ledger"))
+    at = F.timestamp_seconds(F.col("id") % 7)
+    rows = spark.range(900).select(F.concat(F.lit("run-"), F.col("id") % 300).alias("pipeline_run_id"), at.alias("event_at"), F.col("id").cast("string").alias("status"))
+    empty = spark.createDataFrame([], G.SCHEMAS["pipeline_runs"])
+    ledger.append("pipeline_runs", empty.unionByName(rows, allowMissingColumns=True).repartition(3))
+    before = {tuple(r) for r in ledger.runs().collect()}
+    size = sum(p.stat().st_size for p in (tmp_path / "ledger" / "pipeline_runs").glob("part-*"))
+    ledger.compact("pipeline_runs")
+    files = list((tmp_path / "ledger").glob("_compacted/pipeline_runs/*/events/part-*"))
+    assert len(files) > 3 and len(files) <= -(-size // 2_000)
+    assert {tuple(r) for r in ledger.runs().collect()} == before and len(before) == 300
