@@ -35,6 +35,9 @@ _PARTITION_BITS = 33
 
 SCRATCH = "__"
 
+#: Rows that a task numbers at least, if there are as many.
+RANGE_ROWS = 1_000_000
+
 
 def _with_position(
     df: DataFrame, order: Sequence[Column | str], name: str, keys: Sequence[str], partitions: int
@@ -229,8 +232,9 @@ def _add_offsets(chunked, numbered, running, series) -> DataFrame:
 
 
 def _range_partitions(df: DataFrame, profile: GroupProfile, limits: SkewLimits) -> int:
+    """Tasks that number the hot rows. Those of many small hot units share one: each task costs the driver the same."""
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, -(-profile.hot_rows // limits.hot_rows))
+    return max(shuffle, -(-profile.hot_rows // max(limits.hot_rows, RANGE_ROWS)))
 
 
 def _few(profile: GroupProfile) -> GroupProfile:

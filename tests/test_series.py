@@ -175,3 +175,14 @@ def test_latest_per_unit(spark):
     latest = S.latest_reading_per_unit(df).select("unit_id", "cycle").collect()
     want = df.groupBy("unit_id").agg(F.max("cycle").alias("cycle")).collect()
     assert sorted(map(tuple, latest)) == sorted(map(tuple, want))
+
+
+def test_many_small_hot_units_share_tasks(spark):
+    from fleetlake.operators import series
+    from fleetlake.operators.skew import GroupProfile
+
+    few = spark.range(1)
+    limits = SkewLimits(hot_rows=600, chunk_rows=250)
+    assert series._range_partitions(few, GroupProfile(9, 36_000_000, 9, 36_000_000, few), limits) == 36
+    assert series._range_partitions(few, GroupProfile(1, 6_000, 1, 6_000, few), limits) == 8
+    assert series._range_partitions(few, GroupProfile(1, 90_000_000, 1, 90_000_000, few), SkewLimits()) == 23
