@@ -16,7 +16,7 @@ from fleetlake.functions.columns import (
     total_of,
 )
 from fleetlake.operators.partials import moment_stats
-from fleetlake.operators.skew import join_on, with_group_totals
+from fleetlake.operators.skew import GroupProfile, join_on, with_group_totals
 from fleetlake.settings import EQUIPMENT_TYPE, SENSOR_COLUMNS, HealthWeights, Series, SkewLimits
 
 # --- Fixed values: the scale of each penalty before its weight is applied ---
@@ -76,17 +76,20 @@ def health_score(
     stats_by: Sequence[str] = (),
     sensors: Sequence[str] = SENSOR_COLUMNS,
     limits: SkewLimits = SkewLimits(),
+    profile: GroupProfile | None = None,
 ) -> DataFrame:
     """Add ``health_score`` in 0..100: 100 minus four weighted penalties.
 
     Sensors that never vary do not count; with none left the score is 100.
+    A ``profile`` of the units at hand, or of a table these rows are part of,
+    saves the look at their sizes.
     """
-    return _scored(df, weights, series.on(df), stats_by, sensors, limits).drop("__last")
+    return _scored(df, weights, series.on(df), stats_by, sensors, limits, profile=profile).drop("__last")
 
 
-def _scored(df, weights, series, stats_by, sensors, limits, moments=None) -> DataFrame:
+def _scored(df, weights, series, stats_by, sensors, limits, moments=None, profile=None) -> DataFrame:
     """``health_score`` and the last cycle of the unit as ``__last``."""
-    dated = with_group_totals(df, {"__last": F.max(series.clock)}, series.keys, limits)
+    dated = with_group_totals(df, {"__last": F.max(series.clock)}, series.keys, limits, profile)
     present = [s for s in sensors if s in df.columns]
     if not present:
         return dated.withColumn("health_score", F.lit(100.0))
@@ -96,10 +99,10 @@ def _scored(df, weights, series, stats_by, sensors, limits, moments=None) -> Dat
         mean, std = F.col(f"__stats.{sensor}_mean"), F.col(f"__stats.{sensor}_std")
         return F.when(std > 0, F.abs((F.col(sensor) - mean) / std)).otherwise(0.0)
 
+    # Added up over an array: as one sum the code of all sensors is too long a method for the JVM to compile.
+    total = F.aggregate(F.array(*(deviation(s) for s in present)), F.lit(0.0), lambda found, x: found + x)
     # each step names its result, so that none is computed once per use
-    measured = prepared.withColumns(
-        {"__deviation": total_of(deviation(s) for s in present), "__counted": F.col("__stats.__varying")}
-    ).drop("__stats")
+    measured = prepared.withColumns({"__deviation": total, "__counted": F.col("__stats.__varying")}).drop("__stats")
     averaged = measured.withColumn("__average", F.try_divide(F.col("__deviation"), F.col("__counted")))
     life_used = F.try_divide(F.col(series.clock), F.col("__last"))
     penalties = [
@@ -132,14 +135,16 @@ def equipment_health(
     stats_by: Sequence[str] = (),
     limits: SkewLimits = SkewLimits(),
     moments: DataFrame | None = None,
+    profile: GroupProfile | None = None,
 ) -> DataFrame:
     """The health fact: score, degradation, remaining life and risk per (unit, cycle).
 
     With ``moments`` (see :mod:`fleetlake.operators.partials`) the global
     statistics come from what is stored instead of another read of silver.
+    ``profile`` is as in :func:`health_score`.
     """
     series = series.on(silver)
-    scored = _scored(silver, weights, series, stats_by, SENSOR_COLUMNS, limits, moments)
+    scored = _scored(silver, weights, series, stats_by, SENSOR_COLUMNS, limits, moments, profile)
     score = F.col("health_score")
     return scored.select(
         equipment_key(silver.columns).alias("equipment_key"),
