@@ -13,6 +13,7 @@ from fleetlake.operators.health import dim_equipment
 from fleetlake.operators.ranks import global_rank
 from fleetlake.operators.series import over_series
 from fleetlake.operators.skew import profile_groups, split_hot
+from fleetlake.session import cut_lineage
 from fleetlake.settings import (
     READING_COLUMNS,
     SETTING_COLUMNS,
@@ -105,10 +106,11 @@ def fact_sensor_readings(staged: DataFrame, dim: DataFrame, limits: SkewLimits =
 
     The dimension is broadcast while it has few rows. Beyond that only hot
     units meet a broadcast (of their few dimension rows), the rest is joined
-    by shuffle.
+    by shuffle. It is stored first, since it may be made of the readings and
+    both its size and its rows are asked for.
     """
     keys = ["unit_id", "dataset_id"]
-    keyed = dim.select(*keys, "equipment_key")
+    keyed = cut_lineage(dim.select(*keys, "equipment_key"))
     if keyed.limit(limits.broadcast_groups + 1).count() <= limits.broadcast_groups:
         joined = staged.join(F.broadcast(keyed), keys, "inner")
     elif not (profile := profile_groups(staged, keys, limits)).hot_groups:
