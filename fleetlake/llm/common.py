@@ -50,6 +50,14 @@ def spare(name: str, taken: list[str]) -> str:
     return name
 
 
+def carried(docs: DataFrame, columns: list[str], names: list[str], text: str) -> tuple[DataFrame, int]:
+    """``columns`` under ``names``, and the place of the text: that of its own column, which is not sent twice, or one more."""
+    kept = [docs[c].alias(n) for c, n in zip(columns, names)]
+    if text in columns and docs.schema[text].dataType.simpleString() == "string":
+        return docs.select(*kept), columns.index(text)
+    return docs.select(*kept, docs[text].alias("__text")), len(names)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of column ``text``."""
     for batch in batches:
@@ -65,3 +73,5 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterat
                 start, size = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+    # A worker that waits for its next task holds no memory of this one.
+    pa.default_memory_pool().release_unused()

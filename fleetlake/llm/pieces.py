@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from fleetlake.llm.common import by_bytes, spare
+from fleetlake.llm.common import by_bytes, carried, spare
 
 #: Fixed values of the model format: the space mark, and the kinds of pieces.
 MARK = "▁"
@@ -221,14 +221,14 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", keep: list[st
     """
     columns = docs.columns if keep is None else keep
     names = [spare(c + "_", docs.columns) if c in RESULTS else c for c in columns]
-    taken = docs.select(*(docs[c].alias(n) for c, n in zip(columns, names)), docs[text].alias("__text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema.fields[:-1])
+    taken, place = carried(docs, columns, names, text)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema.fields[: len(names)])
     schema = f"{kept}, ids array<int>, starts array<int>, ends array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
-        for batch in by_bytes(batches, len(names), BATCH_BYTES):
-            texts = [t or "" for t in batch.column(len(names)).to_pylist()]
+        for batch in by_bytes(batches, place, BATCH_BYTES):
+            texts = [t or "" for t in batch.column(place).to_pylist()]
             encoded = encoder.encode(texts)
             decoded = encoder.library.decode([ids.tolist() for ids, _, _ in encoded], num_threads=1)
             offsets = pa.array(np.cumsum([0, *(len(ids) for ids, _, _ in encoded)]), pa.int32())
@@ -237,7 +237,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", keep: list[st
                 for i in range(3)
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *lists, pa.array(decoded, pa.string())], [*names, *RESULTS]
+                [*batch.columns[: len(names)], *lists, pa.array(decoded, pa.string())], [*names, *RESULTS]
             )
 
     return taken.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import by_bytes, spare, stored
+from fleetlake.llm.common import by_bytes, carried, spare, stored
 
 FEATURES, FOLDS, RIDGE = 256, 5, 1e-3
 #: The training sample, in rows on average.
@@ -215,16 +215,16 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", keep: list[s
     """
     columns = docs.columns if keep is None else keep
     names = [spare(c + "_", docs.columns) if c in ("score", "predicted") else c for c in columns]
-    taken = docs.select(*(docs[c].alias(n) for c, n in zip(columns, names)), F.coalesce(docs[text], F.lit("")).alias("__text"))
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in taken.schema.fields[:-1])
+    taken, place = carried(docs, columns, names, text)
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in taken.schema.fields[: len(names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, len(names), BATCH_BYTES):
+        for batch in by_bytes(batches, place, BATCH_BYTES):
             scores = np.ones(batch.num_rows)
             if model is not None and batch.num_rows:
-                scores = model.score(np.stack([statistics(t) for t in batch.column(len(names)).to_pylist()]))
+                scores = model.score(np.stack([statistics(t or "") for t in batch.column(place).to_pylist()]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))],
+                [*batch.columns[: len(names)], pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))],
                 [*names, "score", "predicted"],
             )
 

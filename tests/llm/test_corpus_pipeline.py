@@ -65,3 +65,16 @@ def test_edges(spark):
     assert P.encode(spark, docs, SF).where("NOT round_trip").count() == 0
     for _, stage in P.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_texts_go_to_a_worker_once(spark):
+    from fleetlake.llm import quality_model
+    from fleetlake.llm.pieces import encode_pieces
+
+    docs = spark.createDataFrame([(1, "a few words", "x"), (2, None, "y")], "doc_id long, text string, source string")
+    for taken in (quality_model.score(docs, None), encode_pieces(docs, P.MODEL, keep=["doc_id", "text"])):
+        assert "__text" not in taken._jdf.queryExecution().optimizedPlan().toString()
+        assert [r.text for r in taken.orderBy("doc_id").collect()] == ["a few words", None]
+    apart = quality_model.score(docs, None, keep=["doc_id", "source"])
+    assert apart.columns == ["doc_id", "source", "score", "predicted"]
+    assert [r.doc_id for r in encode_pieces(docs, P.MODEL, keep=["doc_id"]).orderBy("doc_id").collect()] == [1, 2]
