@@ -10,13 +10,14 @@ window of hundreds of ``lag`` columns costs a multiple of this per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.functions.windows import MAX_PARTS, NOISE
 from fleetlake.settings import SpikeRule
@@ -163,15 +164,60 @@ class BatchColumns:
         """
         if not self.inputs:
             return F.struct(*(F.lit(False).alias(name) for name in self.spiking))
+        found = self._found()
+
+        def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+            for _, rolled, spikes in found(batches):
+                out = rolled | {name: pa.array(flags) for name, flags in spikes.items()}
+                yield pa.StructArray.from_arrays(list(out.values()), list(out))
+
+        kinds = [*(f"`{name}` double" for name in self.rolled), *(f"`{name}` boolean" for name in self.spiking)]
+        function = F.arrow_udf(compute, ", ".join(kinds)).asNondeterministic()
+        return function(place, _packed(map(F.col, self.inputs), "double"))
+
+    def counted(self, df: DataFrame, place: str, unit: str, sums: Sequence[str], own: Column) -> DataFrame:
+        """How many rows spike, by name, with the sums of the columns ``sums`` and the number of rows, ``__total``.
+
+        One row for what a batch holds of a series, with its ``unit``; rows that are not ``own`` do not count.
+        """
+        found, spiking, sums = self._found(), list(self.spiking), list(sums)
+        kinds = [df.schema[unit], *(T.StructField(name, T.LongType()) for name in ("__total", *sums, *spiking))]
+        names = [kind.name for kind in kinds]
+
+        def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            units: list[pa.Array] = []
+            added: list[Values] = []
+
+            def series() -> Iterator[tuple[pa.Array, ...]]:
+                for batch in batches:
+                    if batch.num_rows:
+                        unit, numbers, packed = batch.columns
+                        places, own, *others = (values for values, _ in _unpacked(numbers, 2 + len(sums)))
+                        units[:], added[:] = [unit], [own, *(values * own for values in others)]
+                        yield pa.array(places), packed
+
+            for places, _, spikes in found(series()):
+                starts = np.union1d([0], np.flatnonzero(places == 1))
+                marks = [*added, *(spikes[name] * added[0] for name in spiking)]
+                counts = [np.add.reduceat(values, starts) for values in marks]
+                yield pa.RecordBatch.from_arrays([units[0].take(pa.array(starts)), *map(pa.array, counts)], names)
+
+        numbers = _packed([F.col(place), own, *map(F.col, sums)], "bigint").alias("__numbers")
+        inputs = _packed(map(F.col, self.inputs), "double").alias("__inputs")
+        return df.select(unit, numbers, inputs).mapInArrow(compute, T.StructType(kinds))
+
+    def _found(self) -> Callable[[Iterator[tuple[pa.Array, ...]]], Iterator[tuple[Values, dict[str, pa.Array], dict[str, Values]]]]:
+        """Goes through batches of places and packed inputs; for each the places, the rolled columns and the flags."""
         rolled, spiking, rule, before = self.rolled, self.spiking, self.rule, self.before
         inputs = self.inputs
         sizes = {c: self.sizes(c) for c in inputs}
 
-        def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        def found(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[tuple[Values, dict[str, pa.Array], dict[str, Values]]]:
             held: list[tuple[Values, Values | None]] = []
-            for arrays in batches:
-                rows = len(arrays[0])
-                read = [_joined(old, _read(array)) for old, array in zip(held or [None] * len(arrays), arrays)]
+            for places, packed in batches:
+                rows = len(places)
+                new = [_read(places), *_unpacked(packed, len(inputs))]
+                read = [_joined(*both) for both in zip(held or [None] * len(new), new)]
                 place = read[0][0]
                 extra = len(place) - rows
                 out: dict[str, pa.Array] = {}
@@ -181,21 +227,17 @@ class BatchColumns:
                         levels = Levels(values, valid, place, sizes[column])
                         for name, (c, stat, n) in rolled.items():
                             if c == column:
-                                found, known = levels.statistic(stat, n)
-                                out[name] = pa.array(found[extra:], pa.float64(), mask=~known[extra:], from_pandas=False)
+                                values_found, known = levels.statistic(stat, n)
+                                out[name] = pa.array(values_found[extra:], pa.float64(), mask=~known[extra:], from_pandas=False)
                         tested = [name for name, cs in spiking.items() if column in cs]
                         if tested:
                             spikes = levels.spikes(rule)[extra:]
                             for name in tested:
                                 any_spike[name] |= spikes
-                out |= {name: pa.array(found) for name, found in any_spike.items()}
-                names = [*rolled, *spiking]
-                yield pa.StructArray.from_arrays([out[name] for name in names], names)
+                yield place[extra:], {name: out[name] for name in rolled}, any_spike
                 held = [(values[-before:].copy(), None if valid is None else valid[-before:].copy()) for values, valid in read]
 
-        kinds = [*(f"`{name}` double" for name in rolled), *(f"`{name}` boolean" for name in spiking)]
-        function = F.arrow_udf(compute, ", ".join(kinds)).asNondeterministic()
-        return function(place, *(F.col(c).cast("double") for c in inputs))
+        return found
 
 
 _EXACT = Context(prec=700, rounding=ROUND_HALF_UP)
@@ -238,6 +280,22 @@ def _read(array: pa.Array) -> tuple[Values, Values | None]:
     return values, np.asarray(array.is_valid()) if array.null_count else None
 
 
+def _packed(columns: Iterable[Column], kind: str) -> Column:
+    """The columns as one array. Spark asks the size of every column of a batch with each row that it adds to it."""
+    return F.array(*(column.cast(kind) for column in columns))
+
+
+def _unpacked(array: pa.ListArray, columns: int) -> list[tuple[Values, Values | None]]:
+    """What :func:`_read` gives for each column that was packed."""
+    values, valid = _read(array.flatten())
+    rows = [None] * columns if valid is None else [None if v.all() else v for v in _by_column(valid, columns)]
+    return list(zip(_by_column(values, columns), rows))
+
+
+def _by_column(values: Values, columns: int) -> Values:
+    return np.ascontiguousarray(values.reshape(-1, columns).T)
+
+
 def _joined(old: tuple[Values, Values | None] | None, new: tuple[Values, Values | None]) -> tuple[Values, Values | None]:
     if old is None:
         return new

@@ -1,12 +1,13 @@
 """Data-quality checks. Each yields rows of one result table; suites share passes.
 
 A suite runs at most three aggregations whatever the number of checks: one over
-the columns, one over the duplicate keys and one over the unit series.
+the columns, one over the unit series, and one over the duplicate keys where
+these are not a series and its clock, whose copies lie side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from fleetlake.functions.columns import any_of, outside, percentage
 from fleetlake.functions.batches import BatchColumns
 from fleetlake.functions.windows import cycle_gap
-from fleetlake.operators.series import gap_list, over_series, spike_columns
+from fleetlake.operators.series import counted_series, gap_list, over_series, spike_columns
 from fleetlake.operators.silver import DUPLICATE_KEYS
 from fleetlake.operators.skew import flag_copies
 from fleetlake.settings import (
@@ -269,20 +270,17 @@ def duplicate_check(df: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Data
         missing = _row("duplicate_records", "duplicate", "WARN", details=_facts(absent=list(keys)))
         return collect_results(df, [Check(_count(), missing)])
     copies = df.groupBy(*keys_present).agg(F.count(F.lit(1)).alias("__n"))
-    failed = F.col("__failed")
-    row = _row(
-        "duplicate_records",
-        "duplicate",
-        F.when(failed == 0, "PASS").otherwise("FAIL"),
-        _total(),
-        failed,
-        _facts(keys=keys_present),
-    )
     measures = {
         "__total": F.coalesce(F.sum("__n"), F.lit(0)),
-        "__failed": F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)),
+        "copies": F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)),
     }
-    return collect_results(copies, [Check(measures, row)])
+    return collect_results(copies, [Check(measures, _duplicate_row(keys_present))])
+
+
+def _duplicate_row(keys: Sequence[str]) -> Column:
+    failed = F.col("copies")
+    status = F.when(failed == 0, "PASS").otherwise("FAIL")
+    return _row("duplicate_records", "duplicate", status, _total(), failed, _facts(keys=list(keys)))
 
 
 def duplicate_rows(
@@ -411,10 +409,12 @@ def series_results(
     gaps: bool = True,
     spikes: bool = True,
     limits: SkewLimits = SkewLimits(),
+    copies: Sequence[str] = (),
 ) -> DataFrame:
-    """Gap and spike results in one pass over the series.
+    """Gap and spike results in one pass over the series, after the result on copies if their keys are given.
 
     Flags are counted per unit where the windows left them, then added up.
+    Keys of copies have to be those of :func:`copies_in_series`.
     """
     if any(c not in df.columns for c in (series.clock, "unit_id")):
         rows = [_row("cycle_gaps", "cycle_gap", "FAIL", details="Required columns unit_id and cycle not found")]
@@ -424,21 +424,52 @@ def series_results(
 
     tests = BatchColumns(spikes={f"spikes_{s}": [s] for s in present}, rule=rule)
 
-    def flags(w: SeriesWindow) -> dict[str, Column | str]:
-        return {"gaps": cycle_gap(series.clock, w)} if gaps else {}
+    def gap(w: SeriesWindow) -> dict[str, Column]:
+        return {"gaps": cycle_gap(series.clock, w).cast("int")}
 
+    sums = [*([gap] if gaps else []), *(copy_stages(series.clock) if copies else [])]
     slim = df.select(*series.keys, *series.order, *series.ties, *present)
-    flagged = over_series(slim, tests, flags, series=series, before=tests.before, limits=limits)
-    counted = [f"spikes_{s}" for s in present] + (["gaps"] if gaps else [])
-    per_unit = flagged.groupBy(*series.keys).agg(
-        F.count(F.lit(1)).alias("__total"), *(F.expr(f"count_if({c}) AS {c}") for c in counted)
-    )
-    measures = {c: F.expr(f"coalesce(sum({c}), 0)") for c in ("__total", *counted)}
-    units = {"__units": F.count_distinct("unit_id") + F.max(F.col("unit_id").isNull().cast("int"))}
-    checks = [Check({**measures, **units}, _gap_row(F.coalesce("__units", F.lit(0))))] if gaps else []
+    summed = [*(["gaps"] if gaps else []), *(["copies"] if copies else [])]
+    if present:
+        per_unit = counted_series(slim, tests, *sums, unit="unit_id", series=series, before=COPY_ROWS, limits=limits)
+    else:
+        flagged = over_series(slim, *sums, series=series, before=COPY_ROWS, limits=limits)
+        per_unit = flagged.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("__total"), *(F.sum(c).alias(c) for c in summed))
+    measures = {c: F.expr(f"coalesce(sum({c}), 0)") for c in ("__total", *(f"spikes_{s}" for s in present), *summed)}
+    units = {"__units": F.count_distinct("unit_id") + F.max(F.col("unit_id").isNull().cast("int"))} if gaps else {}
+    rows = [_duplicate_row(copies)] if copies else []
+    rows += [_gap_row(F.coalesce("__units", F.lit(0)))] if gaps else []
+    rows += [_spike_row(s, rule) for s in present]
     # The measures are the same for all; one check brings them.
-    checks += [Check({} if i or gaps else measures, _spike_row(s, rule)) for i, s in enumerate(present)]
-    return collect_results(per_unit, checks)
+    return collect_results(per_unit, [Check({} if i else {**measures, **units}, row) for i, row in enumerate(rows)])
+
+
+#: So many rows back a row sees whether it is a copy, and whether the row before it was one.
+COPY_ROWS = 2
+
+
+def copy_stages(clock: str) -> list[Callable[[SeriesWindow], dict[str, Column]]]:
+    """``copies``: how many a row adds to those before it, two where it is the first to repeat a clock value, then one each.
+
+    NULL clock values are equal.
+    """
+    back = range(1, COPY_ROWS + 1)
+
+    def look(w: SeriesWindow) -> dict[str, Column]:
+        return {"__row": F.row_number().over(w.spec), **{f"__clock_{n}": F.lag(clock, n).over(w.spec) for n in back}}
+
+    def count(_: SeriesWindow) -> dict[str, Column]:
+        again = [(F.col("__row") > n) & F.col(clock).eqNullSafe(F.col(f"__clock_{n}")) for n in back]
+        return {"copies": F.when(again[0], F.when(again[1], 1).otherwise(2)).otherwise(0)}
+
+    return [look, count]
+
+
+def copies_in_series(df: DataFrame, keys: Sequence[str], series: Series) -> bool:
+    """Whether rows with the same keys are those of one unit at one clock value, which come one after the other."""
+    if any(c not in df.columns for c in (series.clock, "unit_id")) or len(series.order) > 1:
+        return False
+    return {k for k in keys if k in df.columns} == {*series.on(df).keys, series.clock}
 
 
 def cycle_gaps(df: DataFrame, series: Series = Series(), **options) -> tuple[DataFrame, DataFrame]:
@@ -478,15 +509,13 @@ def validate_bronze(
         *range_checks(df, settings.ranges),
         freshness_check(df, "bronze", now, settings.freshness),
     ]
-    return _stamped(
-        [
-            collect_results(df, wide),
-            duplicate_check(df),
-            series_results(df, rule=settings.spikes, series=settings.series, limits=settings.limits),
-        ],
-        run_id,
-        now,
-    )
+    series = {"rule": settings.spikes, "series": settings.series, "limits": settings.limits}
+    if copies_in_series(df, DUPLICATE_KEYS, settings.series):
+        keys = [k for k in DUPLICATE_KEYS if k in df.columns]
+        ordered = [series_results(df, copies=keys, **series)]
+    else:
+        ordered = [duplicate_check(df), series_results(df, **series)]
+    return _stamped([collect_results(df, wide), *ordered], run_id, now)
 
 
 def silver_checks(df: DataFrame, now: datetime | None = None, settings: Settings = Settings()) -> list[Check]:

@@ -146,6 +146,34 @@ def over_split_series(
     return _plain(rest, stages, series, totals, running).unionByName(chunked)
 
 
+def counted_series(
+    df: DataFrame,
+    batch: BatchColumns,
+    *sums: Callable[[SeriesWindow], Mapping[str, Column]],
+    unit: str,
+    series: Series = Series(),
+    before: int = 1,
+    limits: SkewLimits = SkewLimits(),
+) -> DataFrame:
+    """The flags of ``batch`` and the numbers ``sums`` added up where the windows leave the rows.
+
+    One row for what a batch of rows holds of a unit (:meth:`BatchColumns.counted`), so that no flag of a single row
+    leaves a Python worker. ``before`` as in :func:`over_series`.
+    """
+    series = series.on(df)
+    profile = profile_groups(df, series.keys, limits)
+
+    def plain(part: DataFrame) -> DataFrame:
+        placed, names = _add_stages(part, [*sums, batch], series.window())
+        return batch.counted(placed, PLACE, unit, [n for n in names if n not in batch.names], F.lit(True))
+
+    if not profile.hot_groups:
+        return plain(df)
+    rest, hot = split_hot(df, profile, series.keys)
+    _, chunked, names, own = _in_chunks(hot, [*sums, batch], series, max(before, batch.before), 0, profile, limits)
+    return plain(rest).unionByName(batch.counted(chunked, PLACE, unit, [n for n in names if n not in batch.names], own))
+
+
 def _plain(df, stages, series, totals, running) -> DataFrame:
     w = series.window()
     unit = W.partitionBy(*series.keys)
@@ -203,11 +231,11 @@ def _running(value: Column, summed: Column, frame: WindowSpec) -> Column:
     return F.when(value.isNotNull(), F.sum(summed).over(frame))
 
 
-def _chunked(df, stages, series, before, after, totals, running, profile, limits) -> DataFrame:
+def _in_chunks(df, stages, series, before, after, profile, limits) -> tuple[DataFrame, DataFrame, list[str], Column]:
+    """(numbered rows, rows of the chunks with the stages' columns, those to keep, which rows are a chunk's own)."""
     rows = limits.chunk_rows
     if rows <= max(before, after):
         raise ValueError(f"chunks of {rows} rows cannot hold frames of {max(before, after)} rows")
-    original = df.columns
     position = F.col("__position")
     numbered = _with_position(
         df, [*series.order, *series.ties], "__position", series.keys, _range_partitions(df, profile, limits)
@@ -221,11 +249,17 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
             F.when((offset < after) & (home > 0), home - 1),
         )
     )
+    numbered = numbered.withColumn("__home", home)
     w = SeriesWindow((*series.keys, "__chunk"), ("__position",))
-    chunked = numbered.withColumn("__home", home).withColumn("__chunk", F.explode(copies))
-    chunked, kept = _add_stages(chunked, stages, w)
-    own = F.col("__home") == F.col("__chunk")
+    chunked, kept = _add_stages(numbered.withColumn("__chunk", F.explode(copies)), stages, w)
+    return numbered, chunked, kept, F.col("__home") == F.col("__chunk")
+
+
+def _chunked(df, stages, series, before, after, totals, running, profile, limits) -> DataFrame:
+    original = df.columns
+    numbered, chunked, kept, own = _in_chunks(df, stages, series, before, after, profile, limits)
     if running:
+        w = SeriesWindow((*series.keys, "__chunk"), ("__position",))
         cumulative = w.spec.rowsBetween(W.unboundedPreceding, 0)
         chunked = chunked.withColumns(
             {name: _running(value, F.when(own, value), cumulative) for name, value in running.items()}
@@ -234,7 +268,7 @@ def _chunked(df, stages, series, before, after, totals, running, profile, limits
         chunked = _add_batched(chunked, batched)
     chunked = chunked.filter(own)
     if running:
-        chunked = _add_offsets(chunked, numbered.withColumn("__chunk", home), running, series)
+        chunked = _add_offsets(chunked, numbered.withColumnRenamed("__home", "__chunk"), running, series)
     if totals:
         chunked = with_group_totals(chunked, totals, series.keys, limits, profile=_few(profile))
     return chunked.select(*original, *kept, *totals, *running)
