@@ -27,6 +27,7 @@ from fleetlake.functions.windows import Spikes
 from fleetlake.operators.series import numbered_series
 from fleetlake.operators.silver import CLEAN, with_outcome
 from fleetlake.operators.skew import join_on
+from fleetlake.session import COMPACT, shuffles_dropped
 from fleetlake.settings import SENSOR_COLUMNS, Settings
 from fleetlake.sources.layers import delete_path, list_names, path_exists, read_layer
 
@@ -76,7 +77,8 @@ def refresh_silver(
         units = units.withColumn("__anew", F.coalesce("__anew", F.lit(True)))
     # Stored, so that a unit is treated alike by every step that follows.
     staged = f"{path}/units/{BATCH}={batch}"
-    units.select(*keys, "__anew").write.mode("overwrite").parquet(staged)
+    with shuffles_dropped(spark):
+        units.select(*keys, "__anew").write.mode("overwrite").parquet(staged)
     units = spark.read.schema(units.select(*keys, "__anew").schema).parquet(staged)
     anew, grown = units.filter("__anew"), units.filter("NOT __anew")
 
@@ -91,7 +93,8 @@ def refresh_silver(
     # The duplicates' keys and all frames lie within a unit, so that the mark may ride along.
     flagged = with_outcome(rows, settings, now)
     fresh = flagged.filter((F.col("outcome") == CLEAN) & F.col("__new")).drop("outcome", "__new")
-    fresh.write.parquet(f"{path}/silver/{BATCH}={batch}")
+    with shuffles_dropped(spark):
+        fresh.write.options(**COMPACT).parquet(f"{path}/silver/{BATCH}={batch}")
 
     present = [s for s in SENSOR_COLUMNS if s in columns]
     before = max(1, Spikes(present, settings.spikes).before)
@@ -105,12 +108,14 @@ def refresh_silver(
     kept = ordered.filter(F.col("__place") <= before).groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("rows"))
     last = flagged.groupBy(*keys).agg(F.max(clock).alias("__seen"))
     made = join_on(join_on(join_on(units, last, keys), kept, keys), _ends(tails, units, keys), keys)
-    made.select(
+    made = made.select(
         *keys,
         F.greatest("__seen", F.when(~F.col("__anew"), F.col("last_cycle"))).alias("last_cycle"),
         F.when(F.col("__anew"), F.lit(batch).cast("long")).otherwise(F.coalesce("since", F.lit(batch).cast("long"))).alias("since"),
         F.coalesce("rows", F.array().cast(kept.schema["rows"].dataType)).alias("rows"),
-    ).write.parquet(f"{path}/tails/{BATCH}={batch}")
+    )
+    with shuffles_dropped(spark):
+        made.write.options(**COMPACT).parquet(f"{path}/tails/{BATCH}={batch}")
     if len(_tail_batches(spark, path, batch + 1)[1]) >= gather_after:
         gather_tails(spark, path, batch)
 
@@ -145,7 +150,8 @@ def gather_tails(spark: SparkSession, path: str, batch: int) -> None:
     """Write the tails of all units as of a finished batch together; until that write is done they are read as before."""
     tails = latest_tails(spark, path, batch + 1)
     if tails is not None:
-        tails.write.mode("overwrite").parquet(f"{path}/all-tails/{BATCH}={batch}")
+        with shuffles_dropped(spark):
+            tails.write.mode("overwrite").options(**COMPACT).parquet(f"{path}/all-tails/{BATCH}={batch}")
 
 
 def _tail_batches(spark: SparkSession, path: str, before: int | None) -> tuple[list[int], list[int]]:
